@@ -153,3 +153,107 @@ def doubles(*names: str) -> str:
 
 def longs(*names: str) -> str:
     return ", ".join(f"CAST({n} AS BIGINT) AS {n.split('.')[-1]}" for n in names)
+
+
+# Purchase plan for 1999-06, all stocks -------------------------------------------
+
+VIEWS["p_card"] = """
+SELECT STOCK_ID, WORKING_CODE, OPERATE_DATE, RECORD_NUMBER, R_S_STATUS, FREE_FLAG, VALUE, ACTIVE_QTY, REMAIN_QTY,
+ year(OPERATE_DATE)*100+month(OPERATE_DATE) AS ym,
+ CASE WHEN R_S_STATUS='C' THEN -ACTIVE_QTY ELSE ACTIVE_QTY END AS used
+FROM card WHERE STOCK_ID IS NOT NULL AND WORKING_CODE<>''"""
+
+VIEWS["p_use"] = """
+SELECT STOCK_ID, WORKING_CODE,
+ CAST(sum(CASE WHEN ym BETWEEN 199610 AND 199709 THEN used ELSE 0 END) AS DOUBLE) AS r1,
+ CAST(sum(CASE WHEN ym BETWEEN 199710 AND 199809 THEN used ELSE 0 END) AS DOUBLE) AS r2,
+ CAST(sum(CASE WHEN ym BETWEEN 199810 AND 199906 THEN used ELSE 0 END) AS DOUBLE)*12/9.0::DOUBLE AS r3
+FROM p_card WHERE ym BETWEEN 199610 AND 199906 AND R_S_STATUS IN ('T','S','C')
+ AND WORKING_CODE IN (SELECT WORKING_CODE FROM drug_gn) GROUP BY 1,2"""
+
+VIEWS["p_hand"] = """
+SELECT STOCK_ID, WORKING_CODE, CAST(REMAIN_QTY AS DOUBLE) AS on_hand FROM p_card WHERE ym<=199906
+QUALIFY row_number() OVER (PARTITION BY STOCK_ID, WORKING_CODE ORDER BY OPERATE_DATE DESC, RECORD_NUMBER DESC)=1"""
+
+VIEWS["p_trade_pack"] = """
+SELECT WORKING_CODE, LAST_PACK_RATIO AS v FROM drug_vn WHERE LAST_BUY_COST>0
+QUALIFY row_number() OVER (PARTITION BY WORKING_CODE ORDER BY LAST_BUY DESC, TRADE_CODE DESC)=1"""
+
+VIEWS["p_receipt_pack"] = """
+SELECT WORKING_CODE, CAST(ACTIVE_PACK AS DOUBLE) AS v FROM card WHERE R_S_STATUS='R' AND ACTIVE_PACK>0
+QUALIFY row_number() OVER (PARTITION BY WORKING_CODE ORDER BY OPERATE_DATE DESC, RECORD_NUMBER DESC)=1"""
+
+VIEWS["p_invoice_cost"] = """
+SELECT l.WORKING_CODE, l.BUY_UNIT_COST AS v FROM ms_ivo_c l LEFT JOIN ms_ivo i ON i.RECEIVE_NO=l.RECEIVE_NO
+QUALIFY row_number() OVER (PARTITION BY l.WORKING_CODE
+ ORDER BY RECEIVE_DATE DESC NULLS LAST, l.RECEIVE_NO DESC, LINE_NO DESC, TRADE_CODE DESC, BUY_UNIT_COST DESC)=1"""
+
+VIEWS["p_trade_cost"] = """
+SELECT WORKING_CODE, LAST_BUY_COST AS v FROM drug_vn
+QUALIFY row_number() OVER (PARTITION BY WORKING_CODE ORDER BY LAST_BUY DESC, TRADE_CODE DESC)=1"""
+
+VIEWS["p_free"] = """
+SELECT STOCK_ID, WORKING_CODE, CAST(sum(VALUE) AS DOUBLE) AS free_value, CAST(sum(ACTIVE_QTY) AS DOUBLE) AS free_qty
+FROM p_card WHERE R_S_STATUS IN ('R','A') AND FREE_FLAG='Y' AND OPERATE_DATE BETWEEN DATE '1998-10-01' AND DATE '1999-06-30'
+GROUP BY 1,2"""
+
+VIEWS["p_ratio"] = """
+SELECT *, a>0 AS ok FROM (SELECT STOCK_ID, WORKING_CODE, CAST(sum(used) AS DOUBLE) AS a,
+ CAST(sum(CASE WHEN month(OPERATE_DATE) IN (10,11,12) THEN used ELSE 0 END) AS DOUBLE) AS t1,
+ CAST(sum(CASE WHEN month(OPERATE_DATE) IN (1,2,3) THEN used ELSE 0 END) AS DOUBLE) AS t2,
+ CAST(sum(CASE WHEN month(OPERATE_DATE) IN (4,5,6) THEN used ELSE 0 END) AS DOUBLE) AS t3,
+ CAST(sum(CASE WHEN month(OPERATE_DATE) IN (7,8,9) THEN used ELSE 0 END) AS DOUBLE) AS t4
+FROM p_card WHERE R_S_STATUS IN ('T','S','C') AND OPERATE_DATE BETWEEN DATE '1998-10-01' AND DATE '1999-06-30' GROUP BY 1,2)"""
+
+VIEWS["p_base"] = """
+SELECT u.STOCK_ID AS DEPT_ID, u.WORKING_CODE, CAST(2000 AS BIGINT) AS YEAR, CAST(6 AS BIGINT) AS CAL_MONTH, d.MOD_SYS,
+ r1 AS RATE_1_YEAR, r2 AS RATE_2_YEAR, r3 AS RATE_3_YEAR, coalesce(h.on_hand,0) AS QTY_ON_HAND,
+ f.free_value AS VALUE_FREE_Y3, f.free_qty AS QTY_FREE_Y3,
+ coalesce(tp.v, rp.v, d.LAST_PACK_RATIO) AS PACK_RATIO, CAST(coalesce(ic.v, tc.v, g.LAST_BUY_COST) AS DOUBLE) AS PACK_UNIT_COST,
+ CASE WHEN coalesce(d.FORECAST,0)>0 THEN d.FORECAST ELSE coalesce(e.FORECAST,0) END AS FORECAST,
+ CASE WHEN q.ok THEN q.t1/q.a END AS DISP_RATIO1, CASE WHEN q.ok THEN q.t2/q.a END AS DISP_RATIO2,
+ CASE WHEN q.ok THEN q.t3/q.a END AS DISP_RATIO3, CASE WHEN q.ok THEN q.t4/q.a END AS DISP_RATIO4
+FROM p_use u JOIN inv_md d ON d.WORKING_CODE=u.WORKING_CODE AND d.DEPT_ID=u.STOCK_ID AND d.FIRST_PACK_RATIO IS NOT NULL
+ AND (d.HIDE='N' OR d.HIDE IS NULL OR d.HIDE='')
+LEFT JOIN drug_gn g ON g.WORKING_CODE=u.WORKING_CODE LEFT JOIN ed_group e ON e.CODE=g.GROUP_CODE
+LEFT JOIN p_hand h ON h.STOCK_ID=u.STOCK_ID AND h.WORKING_CODE=u.WORKING_CODE
+LEFT JOIN p_free f ON f.STOCK_ID=u.STOCK_ID AND f.WORKING_CODE=u.WORKING_CODE
+LEFT JOIN p_ratio q ON q.STOCK_ID=u.STOCK_ID AND q.WORKING_CODE=u.WORKING_CODE
+LEFT JOIN p_trade_pack tp ON tp.WORKING_CODE=u.WORKING_CODE LEFT JOIN p_receipt_pack rp ON rp.WORKING_CODE=u.WORKING_CODE
+LEFT JOIN p_invoice_cost ic ON ic.WORKING_CODE=u.WORKING_CODE LEFT JOIN p_trade_cost tc ON tc.WORKING_CODE=u.WORKING_CODE"""
+
+VIEWS["p_avg"] = """
+SELECT *, CASE WHEN n>0 THEN round((RATE_1_YEAR+RATE_2_YEAR+RATE_3_YEAR)/n,0) END AS AVG_3_YEAR FROM (SELECT *,
+ CASE WHEN RATE_1_YEAR<=0 THEN 0 ELSE 1 END + CASE WHEN RATE_2_YEAR<=0 THEN 0 ELSE 1 END + CASE WHEN RATE_3_YEAR<=0 THEN 0 ELSE 1 END AS n
+ FROM p_base)"""
+
+VIEWS["p_pre"] = """
+SELECT *, CASE WHEN pre<0 THEN 0 ELSE pre END AS QTY_PRE_PLAN FROM (
+ SELECT *, AVG_3_YEAR+round(RATE_3_YEAR/12,0)-QTY_ON_HAND AS pre FROM p_avg)"""
+
+VIEWS["p_need"] = """
+SELECT *, (coalesce(QTY_PRE_PLAN,0)+coalesce(QTY_FORECAST,0)-coalesce(QTY_FREE_Y3,0))/coalesce(PACK_RATIO,1) AS need
+FROM (SELECT *, QTY_PRE_PLAN*(coalesce(FORECAST,0)/100) AS QTY_FORECAST FROM p_pre)"""
+
+VIEWS["p_qty"] = """
+SELECT *, CASE WHEN q2<0 THEN 0 ELSE q2 END AS QTY_THIS_YEAR FROM (
+ SELECT *, CASE WHEN q1%4>0 THEN q1+10 ELSE q1 END * coalesce(PACK_RATIO,1) AS q2 FROM (
+  SELECT *, floor((need+9)/10)*10 AS q1 FROM p_need))"""
+
+VIEWS["p_plan"] = """
+SELECT *, VALUE_THIS_YEAR/4 AS quarter_value, CASE WHEN VALUE_THIS_YEAR>0 THEN
+ (SELECT min(BUYMET_CODE) FROM buymethod b WHERE b.HIDE='N' AND b.MIN_AMT<=VALUE_THIS_YEAR AND b.MAX_AMT>=VALUE_THIS_YEAR) ELSE '0' END AS BUYMET_CODE
+FROM (SELECT *, round(QTY_THIS_YEAR/12,0) AS MIN_LEVEL,
+ CAST(CAST(CAST(coalesce(QTY_THIS_YEAR/coalesce(PACK_RATIO,1),0) AS DECIMAL(18,4))*CAST(coalesce(PACK_UNIT_COST,0) AS DECIMAL(18,6))
+  AS DECIMAL(18,2)) AS DOUBLE) AS VALUE_THIS_YEAR FROM p_qty)"""
+
+VIEWS["plan_tracking"] = """
+SELECT p.*, BUY_QTY, BUY_VALUE, b1 AS QTY_BUY_TRI1, b2 AS QTY_BUY_TRI2, b3 AS QTY_BUY_TRI3, b4 AS QTY_BUY_TRI4, QTY_THIS_YEAR/4 AS QTY_TRI
+FROM p_plan p LEFT JOIN (SELECT source_warehouse_code, source_item_code, CAST(sum(received_qty) AS DOUBLE) AS BUY_QTY,
+ CAST(sum(received_value) AS DOUBLE) AS BUY_VALUE,
+ CAST(sum(CASE WHEN quarter(gr_date)=4 THEN received_qty END) AS DOUBLE) AS b1,
+ CAST(sum(CASE WHEN quarter(gr_date)=1 THEN received_qty END) AS DOUBLE) AS b2,
+ CAST(sum(CASE WHEN quarter(gr_date)=2 THEN received_qty END) AS DOUBLE) AS b3,
+ CAST(sum(CASE WHEN quarter(gr_date)=3 THEN received_qty END) AS DOUBLE) AS b4
+ FROM gr_src WHERE gr_date BETWEEN DATE '1999-10-01' AND DATE '2000-09-30' GROUP BY 1,2) r
+ ON r.source_warehouse_code=p.DEPT_ID AND r.source_item_code=p.WORKING_CODE"""
