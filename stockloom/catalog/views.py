@@ -257,3 +257,106 @@ FROM p_plan p LEFT JOIN (SELECT source_warehouse_code, source_item_code, CAST(su
  CAST(sum(CASE WHEN quarter(gr_date)=3 THEN received_qty END) AS DOUBLE) AS b4
  FROM gr_src WHERE gr_date BETWEEN DATE '1999-10-01' AND DATE '2000-09-30' GROUP BY 1,2) r
  ON r.source_warehouse_code=p.DEPT_ID AND r.source_item_code=p.WORKING_CODE"""
+
+
+# Report views ----------------------------------------------------------------------
+
+VIEWS["v_balance"] = f"""
+SELECT b.dim_item_id, b.dim_warehouse_id, b.quantity, b.last_updated, r.REORDER_QTY AS reorder_point FROM (
+ SELECT dim_item_id, dim_warehouse_id, snapshot_date AS last_updated, sum(qty_on_hand) AS quantity FROM f_stock GROUP BY 1,2,3
+ QUALIFY row_number() OVER (PARTITION BY dim_item_id, dim_warehouse_id ORDER BY snapshot_date DESC)=1) b
+LEFT JOIN (SELECT {_id('WORKING_CODE')} AS dim_item_id, REORDER_QTY FROM drug_gn) r ON r.dim_item_id=b.dim_item_id"""
+
+VIEWS["v_named"] = """
+SELECT coalesce(i.source_item_code,'Unknown') AS item_code, coalesce(i.item_name,'Unknown') AS item_name,
+ coalesce(w.warehouse_name,'Unknown') AS warehouse, quantity, coalesce(reorder_point,0) AS reorder_point, last_updated
+FROM v_balance b LEFT JOIN d_item i ON i.dim_item_id=b.dim_item_id LEFT JOIN d_warehouse w ON w.dim_warehouse_id=b.dim_warehouse_id"""
+
+VIEWS["v_order"] = """
+SELECT po_no AS po_number, po_date, f.dim_vendor_id, v.vendor_name, ordered_value AS total_amount,
+ CASE po_status WHEN 'approved' THEN 'OPEN' WHEN 'pending' THEN 'PENDING' WHEN 'received_partial' THEN 'PARTIAL'
+  WHEN 'received_full' THEN 'CLOSED' WHEN 'cancelled' THEN 'CANCELLED' END AS status
+FROM f_po f LEFT JOIN d_vendor v ON v.dim_vendor_id=f.dim_vendor_id"""
+
+VIEWS["v_receipt"] = f"""
+SELECT c.INVOICE_NO AS reference_number, i.INVOICE_DATE AS receipt_date, v.vendor_name, c.QTY_ORDER AS total_quantity,
+ CASE WHEN i.RCV_FLAG<>'Y' THEN 'PENDING' WHEN p.PROCESS='2' THEN 'PARTIAL'
+  WHEN EXISTS (SELECT 1 FROM quali_rcv q WHERE q.QUALI_VALUE='N' AND q.RECEIVE_NO=c.RECEIVE_NO AND q.WORKING_CODE=c.WORKING_CODE) THEN 'AWAITING_QC'
+  ELSE 'RECEIVED' END AS status
+FROM ms_ivo_c c JOIN ms_ivo i ON i.INVOICE_NO=c.INVOICE_NO LEFT JOIN ms_po p ON p.PO_NO=i.PO_NO
+LEFT JOIN vendor_src v ON v.source_vendor_code={_code('i.VENDOR_CODE')}"""
+
+VIEWS["v_move"] = """
+SELECT dim_item_id, dim_warehouse_id, CASE movement_type WHEN 'issue' THEN 'CONSUMPTION' ELSE upper(movement_type) END AS movement_type,
+ txn_date AS movement_date, expiry_date, qty AS quantity, unit_cost FROM f_move"""
+
+VIEWS["v_budget"] = """
+SELECT u.category, u.year, u.month, b.allocated, u.consumed, coalesce(b.allocated,0)-u.consumed AS remaining FROM (
+ SELECT category, year(spend_date) AS year, month(spend_date) AS month, sum(amount) AS consumed,
+  year(spend_date) + CASE WHEN month(spend_date)>=10 THEN 1 ELSE 0 END AS fy, quarter(spend_date)%4+1 AS fq FROM bdg_use GROUP BY ALL) u
+LEFT JOIN (SELECT BUDGET_TYPE, FISCAL_YEAR, q, CAST(round(CAST(amt AS DECIMAL(30,8))/3,2) AS DECIMAL(24,2)) AS allocated FROM (
+ SELECT BUDGET_TYPE, FISCAL_YEAR, 1 AS q, BUDGET_AMT_TRI1 AS amt FROM bdg_amt UNION ALL
+ SELECT BUDGET_TYPE, FISCAL_YEAR, 2, BUDGET_AMT_TRI2 FROM bdg_amt UNION ALL
+ SELECT BUDGET_TYPE, FISCAL_YEAR, 3, BUDGET_AMT_TRI3 FROM bdg_amt UNION ALL
+ SELECT BUDGET_TYPE, FISCAL_YEAR, 4, BUDGET_AMT_TRI4 FROM bdg_amt)) b
+ ON b.BUDGET_TYPE=u.category AND b.FISCAL_YEAR=u.fy AND b.q=u.fq"""
+
+VIEWS["v_quality"] = """
+SELECT q.event_id, q.test_date, g.DRUG_NAME AS item_name, d.DEPT_NAME AS warehouse_name, q.test_type, q.result_status, q.notes
+FROM quality_result q LEFT JOIN drug_gn g ON g.WORKING_CODE=q.WORKING_CODE LEFT JOIN dept_id d ON d.DEPT_ID=q.DEPT_ID"""
+
+VIEWS["r_low"] = "SELECT *, quantity AS stock_qty FROM v_named WHERE quantity <= reorder_point"
+
+VIEWS["r_expiring"] = """
+SELECT coalesce(i.source_item_code,'Unknown') AS item_code, coalesce(i.item_name,'Unknown') AS item_name,
+ coalesce(w.warehouse_name,'Unknown') AS warehouse, expiry_date, quantity AS stock_qty,
+ CAST(expiry_date - DATE '1999-06-30' AS BIGINT) AS days_to_expiry
+FROM v_move m LEFT JOIN d_item i ON i.dim_item_id=m.dim_item_id LEFT JOIN d_warehouse w ON w.dim_warehouse_id=m.dim_warehouse_id
+WHERE expiry_date <= DATE '1999-06-30' + 90 AND quantity>0"""
+
+VIEWS["r_by_item"] = """
+SELECT i.source_item_code AS item_code, i.item_name, sum(quantity) AS total_consumed,
+ CAST(sum(quantity*unit_cost) AS DECIMAL(24,4)) AS total_cost
+FROM v_move m LEFT JOIN d_item i ON i.dim_item_id=m.dim_item_id
+WHERE movement_type='CONSUMPTION' AND movement_date >= DATE '1999-06-30' - 30 GROUP BY 1,2 ORDER BY 3 DESC, 1 LIMIT 50"""
+
+VIEWS["r_dead"] = """
+SELECT i.source_item_code AS item_code, i.item_name, w.warehouse_name, sum(quantity) AS stock_qty, max(movement_date) AS last_movement,
+ CAST(DATE '1999-06-30' - max(movement_date) AS BIGINT) AS days_inactive
+FROM v_move m LEFT JOIN d_item i ON i.dim_item_id=m.dim_item_id LEFT JOIN d_warehouse w ON w.dim_warehouse_id=m.dim_warehouse_id
+GROUP BY 1,2,3 HAVING max(movement_date) < DATE '1999-06-30' - 90 AND sum(quantity)>0"""
+
+VIEWS["r_moves"] = """
+SELECT movement_type, CAST(count(*) AS BIGINT) AS transaction_count, sum(quantity) AS total_quantity,
+ CAST(sum(quantity*unit_cost) AS DECIMAL(24,4)) AS total_value
+FROM v_move WHERE movement_date >= DATE '1999-06-30' - 30 GROUP BY 1"""
+
+VIEWS["r_vendors"] = """
+SELECT dim_vendor_id, vendor_name, CAST(count(*) AS BIGINT) AS order_count, sum(total_amount) AS total_amount,
+ round(CAST(sum(total_amount) AS DOUBLE)/count(total_amount),6) AS avg_order_value
+FROM v_order WHERE po_date >= DATE '1999-06-30' - 180 GROUP BY 1,2 ORDER BY 4 DESC, 1 LIMIT 10"""
+
+VIEWS["r_burn"] = """
+SELECT month, CAST(coalesce(sum(allocated),0) AS DOUBLE) AS budget_allocated, CAST(coalesce(sum(consumed),0) AS DOUBLE) AS budget_consumed,
+ CAST(coalesce(sum(remaining),0) AS DOUBLE) AS budget_remaining FROM v_budget WHERE year=1999 GROUP BY 1"""
+
+VIEWS["r_category"] = """
+SELECT coalesce(category,'Other') AS category, CAST(coalesce(sum(allocated),0) AS DOUBLE) AS allocated,
+ CAST(coalesce(sum(consumed),0) AS DOUBLE) AS consumed, CAST(coalesce(sum(remaining),0) AS DOUBLE) AS remaining
+FROM v_budget WHERE year=1999 GROUP BY 1"""
+
+VIEWS["r_quality"] = """
+SELECT result_status, CAST(count(*) AS BIGINT) AS count FROM v_quality WHERE test_date >= DATE '2024-01-30' - 30 GROUP BY 1"""
+
+VIEWS["r_monthly"] = """
+SELECT year(txn_date) AS YEAR, month(txn_date) AS MONTH, CAST(sum(CASE WHEN movement_direction='out' THEN abs(signed_qty) ELSE 0 END) AS DOUBLE) AS total_quantity,
+ CAST(sum(CASE WHEN movement_direction='out' THEN abs(signed_value) ELSE 0 END) AS DOUBLE) AS total_value
+FROM f_move WHERE year(txn_date) IN (1998,1999) GROUP BY 1,2"""
+
+VIEWS["r_fresh"] = """
+SELECT t AS table_name, d AS last_updated, CAST(date_diff('hour', CAST(d AS TIMESTAMP), TIMESTAMP '2001-12-01 00:00:00') AS DOUBLE) AS hours_since_update
+FROM (SELECT 'core.fact_stock_snapshot' AS t, max(snapshot_date) AS d FROM f_stock
+ UNION ALL SELECT 'core.fact_stock_lot_snapshot', max(snapshot_date) FROM f_lot
+ UNION ALL SELECT 'core.fact_inventory_movement', max(txn_date) FROM f_move
+ UNION ALL SELECT 'core.fact_purchase_order_line', max(po_date) FROM f_po
+ UNION ALL SELECT 'core.fact_goods_receipt_line', max(gr_date) FROM f_gr)"""

@@ -202,6 +202,10 @@ SELECT s.BUDGET_TYPE, s.FISCAL_YEAR,
  CAST(s.T3 AS DECIMAL(24,2)) AS TOTAL_BUY_TRI3, CAST(s.T4 AS DECIMAL(24,2)) AS TOTAL_BUY_TRI4
 FROM {bdg_spend} s LEFT JOIN {bdg_spend} p ON p.BUDGET_TYPE=s.BUDGET_TYPE AND p.FISCAL_YEAR=s.FISCAL_YEAR-1"""
 
+ADAPTERS["bdg_use"] = """
+SELECT c_mktsegment AS category, CAST(o_orderdate AS DATE) AS spend_date, CAST(o_totalprice AS DECIMAL(18,2)) AS amount
+FROM {orders} JOIN {customer} ON o_custkey=c_custkey"""
+
 ADAPTERS["bdg_type"] = """
 SELECT DISTINCT c_mktsegment AS BUDGET_TYPE, concat('Budget ',c_mktsegment) AS BUDGET_NAME,
  CASE WHEN c_mktsegment='FURNITURE' THEN 'Y' ELSE 'N' END AS HIDE FROM {customer}"""
