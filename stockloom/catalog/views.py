@@ -360,3 +360,65 @@ FROM (SELECT 'core.fact_stock_snapshot' AS t, max(snapshot_date) AS d FROM f_sto
  UNION ALL SELECT 'core.fact_inventory_movement', max(txn_date) FROM f_move
  UNION ALL SELECT 'core.fact_purchase_order_line', max(po_date) FROM f_po
  UNION ALL SELECT 'core.fact_goods_receipt_line', max(gr_date) FROM f_gr)"""
+
+
+# Subject-area model, snapshot of 2000-06-30 -------------------------------------------
+
+VIEWS["m_snapshot"] = """
+SELECT *, CASE WHEN qty_on_hand<=0 THEN 'out' WHEN low_stock_flag THEN 'low' ELSE 'in_stock' END AS stock_status FROM (
+SELECT DATE '2000-06-30' AS snapshot_date, c.WORKING_CODE AS working_code, c.TRADE_CODE AS trade_code, c.DEPT_ID AS dept_id,
+ c.LOCATION AS location, c.LOT_NO AS lot_no, c.EXPIRED_DATE AS expired_date, CAST(c.VENDOR_CODE AS VARCHAR) AS vendor_code,
+ c.QTY_ON_HAND AS qty_on_hand, c.LOT_COST AS lot_cost, c.PACK_COST AS pack_cost,
+ coalesce(c.LOT_VALUE, CAST(c.QTY_ON_HAND*c.LOT_COST AS DECIMAL(18,2)), CAST(c.QTY_ON_HAND*c.PACK_COST AS DECIMAL(18,2))) AS stock_value,
+ CAST(c.EXPIRED_DATE - DATE '2000-06-30' AS BIGINT) AS days_to_expiry,
+ CASE WHEN c.EXPIRED_DATE IS NULL THEN 'no_expiry' WHEN c.EXPIRED_DATE - DATE '2000-06-30'<=0 THEN 'Expired'
+  WHEN c.EXPIRED_DATE - DATE '2000-06-30'<=30 THEN '0-30 Days' WHEN c.EXPIRED_DATE - DATE '2000-06-30'<=90 THEN '30-90 Days'
+  WHEN c.EXPIRED_DATE - DATE '2000-06-30'<=180 THEN '90-180 Days' ELSE '180+ Days' END AS expiry_bucket,
+ coalesce(g.REORDER_QTY, g.MIN_LEVEL, i.MIN_LEVEL) AS reorder_threshold, x.d AS last_movement_date,
+ coalesce(DATE '2000-06-30' - x.d >= 180, false) AS dead_stock_flag,
+ coalesce(CAST(c.QTY_ON_HAND AS DOUBLE) < coalesce(g.REORDER_QTY, g.MIN_LEVEL, i.MIN_LEVEL), false) AS low_stock_flag,
+ c.QTY_ON_HAND<=0 AS out_of_stock_flag
+FROM inv_md_c c LEFT JOIN drug_gn g ON g.WORKING_CODE=c.WORKING_CODE
+LEFT JOIN inv_md i ON i.WORKING_CODE=c.WORKING_CODE AND i.DEPT_ID=c.DEPT_ID
+LEFT JOIN (SELECT WORKING_CODE, TRADE_CODE, DEPT_ID, LOT_NO, max(OPERATE_DATE) AS d FROM card GROUP BY 1,2,3,4) x
+ ON x.WORKING_CODE=c.WORKING_CODE AND x.TRADE_CODE=c.TRADE_CODE AND x.DEPT_ID=c.DEPT_ID AND x.LOT_NO=c.LOT_NO)"""
+
+VIEWS["m_move"] = """
+SELECT RECORD_NUMBER AS movement_id, OPERATE_DATE AS operate_date, WORKING_CODE AS working_code, TRADE_CODE AS trade_code, DEPT_ID AS dept_id,
+ STOCK_ID AS stock_id, LOT_NO AS lot_no, EXPIRED_DATE AS expired_date, CAST(VENDOR_CODE AS VARCHAR) AS vendor_code, R_S_STATUS AS rs_status,
+ R_S_NUMBER AS rs_number, VALUE AS value, COST AS cost, ACTIVE_QTY AS active_qty, REMAIN_QTY AS remain_qty, FREE_FLAG AS free_flag,
+ CANCEL_FLAG AS cancel_flag, CASE WHEN R_S_STATUS IN ('R','I','B') THEN 'IN' WHEN R_S_STATUS IN ('S','D','O') THEN 'OUT'
+  WHEN R_S_STATUS IN ('A','C','X') THEN 'ADJ' ELSE 'UNKNOWN' END AS movement_direction, abs(ACTIVE_QTY) AS movement_qty_abs,
+ CAST(CASE WHEN CANCEL_FLAG='Y' THEN 0 ELSE 1 END AS BIGINT) AS valid_flag FROM card"""
+
+VIEWS["m_disp"] = """
+SELECT d.RECORD_NUMBER AS dispense_id, CAST(strptime(d.DISP_DATE,'%Y%m%d') AS DATE) AS disp_date, d.MED_CODE AS med_code,
+ g.WORKING_CODE AS working_code, CASE WHEN g.WORKING_CODE IS NULL THEN 'unresolved' ELSE 'direct' END AS mapping_status,
+ d.DISP_QTY AS disp_qty, d.DISP_DEPT AS disp_dept, coalesce(s.c, CAST(i.WA_COST AS DECIMAL(18,6)), g.LAST_BUY_COST) AS unit_cost_basis,
+ CAST(d.DISP_QTY*coalesce(s.c, CAST(i.WA_COST AS DECIMAL(18,6)), g.LAST_BUY_COST) AS DECIMAL(24,2)) AS disp_value
+FROM dispensed d LEFT JOIN drug_gn g ON g.WORKING_CODE=d.MED_CODE
+LEFT JOIN (SELECT working_code, CAST(round(CAST(sum(stock_value) AS DOUBLE)/CAST(sum(qty_on_hand) AS DOUBLE),6) AS DECIMAL(18,6)) AS c
+ FROM m_snapshot WHERE qty_on_hand>0 AND stock_value IS NOT NULL GROUP BY 1) s ON s.working_code=g.WORKING_CODE
+LEFT JOIN inv_md i ON i.WORKING_CODE=g.WORKING_CODE AND i.DEPT_ID=d.DISP_DEPT"""
+
+VIEWS["m_request"] = """
+SELECT REQ_NO AS req_no, WORKING_CODE AS working_code, QTY_REQ AS qty_req, QTY_DIST AS qty_dist,
+ CAST(try_strptime(REQ_DATE,'%Y%m%d') AS DATE) AS req_date, CAST(try_strptime(nullif(CONFIRM_DATE,'00000000'),'%Y%m%d') AS DATE) AS confirm_date,
+ DEPT_ID AS dept_id, DEL_FLAG AS del_flag, round(CAST(QTY_DIST AS DOUBLE)/nullif(CAST(QTY_REQ AS DOUBLE),0),6) AS fill_rate,
+ QTY_REQ-QTY_DIST AS pending_qty FROM accr_disp"""
+
+VIEWS["m_budget"] = """
+SELECT FISCAL_YEAR AS fiscal_year, a.BUDGET_TYPE AS budget_type, t.BUDGET_NAME AS budget_name, BUDGET_AMOUNT AS budget_amount, TOTAL_BUY AS total_buy,
+ BUDGET_REMAIN AS budget_remain, DEBT AS debt, BUDGET_AMT_TRI1 AS tri1_budget, BUDGET_AMT_TRI2 AS tri2_budget, BUDGET_AMT_TRI3 AS tri3_budget,
+ BUDGET_AMT_TRI4 AS tri4_budget, TOTAL_BUY_TRI1 AS tri1_buy, TOTAL_BUY_TRI2 AS tri2_buy, TOTAL_BUY_TRI3 AS tri3_buy, TOTAL_BUY_TRI4 AS tri4_buy,
+ BUDGET_AMT_TRI1-TOTAL_BUY_TRI1 AS tri1_remain, BUDGET_AMT_TRI2-TOTAL_BUY_TRI2 AS tri2_remain, BUDGET_AMT_TRI3-TOTAL_BUY_TRI3 AS tri3_remain,
+ BUDGET_AMT_TRI4-TOTAL_BUY_TRI4 AS tri4_remain,
+ CASE WHEN BUDGET_AMOUNT>0 THEN round(CAST(TOTAL_BUY AS DOUBLE)/CAST(BUDGET_AMOUNT AS DOUBLE),6) END AS burn_rate
+FROM bdg_amt a LEFT JOIN bdg_type t ON t.BUDGET_TYPE=a.BUDGET_TYPE"""
+
+VIEWS["m_contract"] = f"""
+SELECT c.CNT_NO AS cnt_no, WORKING_CODE AS working_code, TRADE_CODE AS trade_code, {_code('PARTIES_CODE')} AS vendor_contract_ref,
+ CAST(strptime(EFFECTIVE_DATE,'%Y%m%d') AS DATE) AS effective_date, CAST(try_strptime(nullif(END_DATE,'00000000'),'%Y%m%d') AS DATE) AS contract_end_date,
+ QTY_CNT AS qty_cnt, COST_CNT AS cost_cnt, COST_REMAIN AS cost_remain, TOTAL_COST AS total_contract_cost,
+ round(CAST(COST_CNT-COST_REMAIN AS DOUBLE)/nullif(CAST(COST_CNT AS DOUBLE),0),6) AS utilization_rate
+FROM cnt_c c JOIN cnt h ON h.CNT_NO=c.CNT_NO"""
