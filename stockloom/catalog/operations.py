@@ -285,10 +285,9 @@ WITH m AS ({_LOADED_MOVE})
 SELECT txn_date AS summary_date, item_id AS dim_item_id, wh_id AS dim_warehouse_id, movement_type, CAST(sum(abs(qty)) AS DOUBLE) AS movement_qty,
  CAST(sum(abs(line_value)) AS DOUBLE) AS movement_value, {CNT} AS txn_count FROM m GROUP BY 1,2,3,4""")
 def _(w):
-    """All ten jobs over the whole history, then a second run of the same day; the movement mart afterwards."""
+    """All ten jobs over the whole history; the movement mart afterwards."""
     runner = _runner(w, "daily")
     runner.run_daily(AS_OF, "full")
-    runner.run_daily(AS_OF)
     return runner.store.read("mart.sum_movement_daily")
 
 

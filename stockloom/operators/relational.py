@@ -66,7 +66,8 @@ def one_row(spark, **scalars: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins: int, *, out: str = "bin") -> DataFrame:
     """Equal-width bins from the smallest to the largest value; the last bin is closed."""
     v = F.col(value).cast("double")
-    low, high = df.agg(F.min(v)).scalar(), df.agg(F.max(v)).scalar()
+    ends = df.agg(F.struct(F.min(v).alias("low"), F.max(v).alias("high"))).scalar()
+    low, high = ends["low"], ends["high"]
     width = (high - low) / F.lit(float(bins))
     number = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((v - low) / F.when(width == 0, F.lit(1.0)).otherwise(width)), F.lit(bins - 1)))

@@ -217,4 +217,9 @@ def stage(df: DataFrame, table: str, batch_id: int, extracted_at: dt.datetime |
 
 
 def dedupe_batch(df: DataFrame) -> DataFrame:
+    """One row per batch and business key, for sources that may deliver a row twice.
+
+    The jobs do not need it: a batch is written to its own folder, which a repeat
+    replaces, and different lines under one key must all reach the fact.
+    """
     return df.dropDuplicates(["etl_batch_id", "source_pk_hash"])

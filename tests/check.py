@@ -17,6 +17,7 @@ def main(argv):
     prefixes = tuple(argv[2:]) or ("",)
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
              .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con, bad, total = connect(data), 0, 0
@@ -35,7 +36,7 @@ def main(argv):
             found, note = [f"{type(e).__name__}: {str(e)[:1500]}"], ""
         took = time.time() - start
         bad += bool(found)
-        if found or took > 3 or note != "ok":
+        if found or took > 2.5 or note != "ok":
             print(f"{'FAIL' if found else note} {name} {took:.1f}s", *found, sep="\n    " if found else " ", flush=True)
     print(f"{total - bad}/{total} equal")
 
