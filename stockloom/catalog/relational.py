@@ -228,7 +228,7 @@ def _(w):
     orders = w.src.ms_po_c.groupBy("PO_NO").agg(
         F.sum(F.col("QTY_ORDER") * F.col("BUY_UNIT_COST")).cast("decimal(18,2)").cast("double").alias("order_value"))
     return lookups.band_lookup(orders, "order_value", w.src.buymethod.filter("HIDE = 'N'"), "MIN_AMT", "MAX_AMT",
-                               "BUYMET_CODE", ["PO_NO"], "method")
+                               "BUYMET_CODE", "method")
 
 
 @query("jon_10_cast_key", f"""

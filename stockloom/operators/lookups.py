@@ -21,17 +21,17 @@ def _octave(value: Column) -> Column:
     return F.when(v < 1, F.lit(0)).otherwise(F.least(F.floor(F.log2(v)).cast("int") + 1, F.lit(_OCTAVES)))
 
 
-def band_lookup(df: DataFrame, value: str, bands: DataFrame, low: str, high: str, code: str, keys: list[str],
-                out: str) -> DataFrame:
+def band_lookup(df: DataFrame, value: str, bands: DataFrame, low: str, high: str, code: str, out: str) -> DataFrame:
     """Lowest ``code`` among the bands with ``low <= value <= high``; NULL if none.
 
-    An equality join on the power of two keeps this a hash join whatever the
-    number of bands.
+    The bands (a price list, not data) are listed per power of two they touch;
+    an equality join on it gives each row one short list to search, so no row
+    is ever repeated and there is no theta join.
     """
-    spans = bands.select(
-        F.explode(F.sequence(_octave(F.col(low)), _octave(F.col(high)))).alias("_oct"),
-        F.col(low).alias("_low"), F.col(high).alias("_high"), F.col(code).alias("_code"))
-    probe = df.select(*keys, F.col(value).alias("_v"), _octave(F.col(value)).alias("_oct"))
-    hits = (probe.join(spans, "_oct").filter("_low <= _v AND _high >= _v")
-            .groupBy(*keys).agg(F.min("_code").alias(out)))
-    return df.join(hits, keys, "left")
+    spans = (bands.select(F.explode(F.sequence(_octave(F.col(low)), _octave(F.col(high)))).alias("_oct"),
+                          F.struct(F.col(low).alias("low"), F.col(high).alias("high"), F.col(code).alias("code")).alias("_band"))
+             .groupBy("_oct").agg(F.collect_list("_band").alias("_bands")))
+    v = F.col(value)
+    fits = F.filter("_bands", lambda b: (b["low"] <= v) & (b["high"] >= v))
+    return (df.withColumn("_oct", _octave(v)).join(spans, "_oct", "left")
+            .withColumn(out, F.array_min(F.transform(fits, lambda b: b["code"]))).drop("_oct", "_bands"))

@@ -84,7 +84,7 @@ def latest_trade_cost(drug_vn: DataFrame) -> DataFrame:
 
 def card_measures(card: DataFrame, windows: PlanWindows, history_from: int | None = None,
                   dept: str | None = None) -> DataFrame:
-    """Everything the plan needs from the card, in one scan and one shuffle per stock and item."""
+    """Everything the plan needs from the card per stock and item."""
     start, end = history_from or windows.year_1[0], windows.year_3[1]
     low, high = month_bounds(start, end)
     status, day = F.col("R_S_STATUS"), F.to_date("OPERATE_DATE")
@@ -100,19 +100,24 @@ def card_measures(card: DataFrame, windows: PlanWindows, history_from: int | Non
     def usage(window: tuple[int, int]) -> Column:
         return F.sum(F.when(used & _within(window), qty).otherwise(0)).cast("double")
 
-    newest = F.when(day <= F.lit(high), F.struct("OPERATE_DATE", "RECORD_NUMBER"))
     quarters = [F.sum(F.when(recent & (D.fiscal_quarter(day) == q), qty).otherwise(0)).cast("double").alias(f"use_q{q}")
                 for q in (1, 2, 3, 4)]
-    return (rows.groupBy(F.col("STOCK_ID").alias("DEPT_ID"), "WORKING_CODE").agg(
+    # only dates some measure looks at; the sums then run as one hash aggregation
+    dated = rows.filter((day >= F.lit(min(low, windows.first_day))) & (day <= F.lit(max(high, windows.last_day))))
+    sums = (dated.groupBy(F.col("STOCK_ID").alias("DEPT_ID"), "WORKING_CODE").agg(
         F.count_if(used).alias("_used"),
         usage(windows.year_1).alias("RATE_1_YEAR"), usage(windows.year_2).alias("RATE_2_YEAR"),
         usage(windows.year_3).alias("_rate_3"),
-        F.coalesce(F.max_by("REMAIN_QTY", newest).cast("double"), F.lit(0.0)).alias("QTY_ON_HAND"),
         F.sum(F.when(free, F.col("VALUE"))).cast("double").alias("VALUE_FREE_Y3"),
         F.sum(F.when(free, F.col("ACTIVE_QTY"))).cast("double").alias("QTY_FREE_Y3"),
         F.sum(F.when(recent, qty)).cast("double").alias("use_all"), *quarters)
         .filter("_used > 0").drop("_used")
         .withColumn("RATE_3_YEAR", F.col("_rate_3") * 12 / float(windows.months)).drop("_rate_3"))
+    # the newest balance needs the record number, a string, and so a sort; it shares the grouping, so joining adds no shuffle
+    newest = latest(rows.filter(day <= F.lit(high)), ["STOCK_ID", "WORKING_CODE"], [F.col("OPERATE_DATE"), F.col("RECORD_NUMBER")],
+                    ["REMAIN_QTY"]).withColumnRenamed("STOCK_ID", "DEPT_ID")
+    return (sums.join(newest, ["DEPT_ID", "WORKING_CODE"], "left")
+            .withColumn("QTY_ON_HAND", F.coalesce(F.col("REMAIN_QTY").cast("double"), F.lit(0.0))).drop("REMAIN_QTY"))
 
 
 def order_quantity(need: Column, pack: Column) -> Column:
@@ -170,7 +175,7 @@ def _quantities(plan: DataFrame) -> DataFrame:
 
 def _purchase_method(plan: DataFrame, buymethod: DataFrame) -> DataFrame:
     bands = buymethod.filter("HIDE = 'N'")
-    found = band_lookup(plan, "VALUE_DEFENCE", bands, "MIN_AMT", "MAX_AMT", "BUYMET_CODE", ["DEPT_ID", "WORKING_CODE"], "_method")
+    found = band_lookup(plan, "VALUE_DEFENCE", bands, "MIN_AMT", "MAX_AMT", "BUYMET_CODE", "_method")
     return found.withColumn("BUYMET_CODE", F.when(F.col("VALUE_DEFENCE") > 0, F.col("_method")).otherwise(F.lit("0"))).drop("_method")
 
 

@@ -124,14 +124,10 @@ FROM {{lineitem}} WHERE l_linestatus='F'"""
 
 ADAPTERS["inv_md_c"] = """
 SELECT WORKING_CODE, TRADE_CODE, DEPT_ID, concat('LOC',CAST(min(ITEM_NO)%4 AS STRING)) AS LOCATION,
- LOT_NO, EXPIRED_DATE, max(VENDOR_CODE) AS VENDOR_CODE,
- max_by(REMAIN_QTY, concat(R_S_DATE,RECORD_NUMBER)) AS QTY_ON_HAND,
- CASE WHEN min(ITEM_NO)%6=0 THEN CAST(NULL AS DECIMAL(18,6))
-      ELSE max_by(COST, concat(R_S_DATE,RECORD_NUMBER)) END AS LOT_COST,
- CASE WHEN min(ITEM_NO)%12=0 THEN CAST(NULL AS DECIMAL(18,6))
-      ELSE CAST(max_by(COST, concat(R_S_DATE,RECORD_NUMBER)) AS DECIMAL(18,2)) END AS PACK_COST,
- CASE WHEN min(ITEM_NO)%3=0 THEN CAST(NULL AS DECIMAL(18,2))
-      ELSE max_by(REMAIN_VALUE, concat(R_S_DATE,RECORD_NUMBER)) END AS LOT_VALUE
+ LOT_NO, EXPIRED_DATE, max(VENDOR_CODE) AS VENDOR_CODE, min(REMAIN_QTY) AS QTY_ON_HAND,
+ CASE WHEN min(ITEM_NO)%6=0 THEN CAST(NULL AS DECIMAL(18,6)) ELSE max(COST) END AS LOT_COST,
+ CASE WHEN min(ITEM_NO)%12=0 THEN CAST(NULL AS DECIMAL(18,6)) ELSE CAST(max(COST) AS DECIMAL(18,2)) END AS PACK_COST,
+ CASE WHEN min(ITEM_NO)%3=0 THEN CAST(NULL AS DECIMAL(18,2)) ELSE max(REMAIN_VALUE) END AS LOT_VALUE
 FROM {card} GROUP BY WORKING_CODE, TRADE_CODE, DEPT_ID, LOT_NO, EXPIRED_DATE"""
 
 ADAPTERS["inv_md"] = """
