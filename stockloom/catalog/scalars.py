@@ -86,7 +86,7 @@ SELECT CAST(try_strptime(CONFIRM_DATE,'%Y%m%d') AS DATE) AS confirm_date,
 UNION ALL SELECT NULL, NULL, {CNT} FROM accr_disp WHERE CONFIRM_DATE='00000000'""")
 def _(w):
     strict = D.parse_date8("CONFIRM_DATE")
-    lenient = F.when(F.col("CONFIRM_DATE") != "00000000", D.parse_date8_lenient("CONFIRM_DATE"))
+    lenient = D.parse_date8_lenient("CONFIRM_DATE")
     return w.src.accr_disp.groupBy(strict.alias("confirm_date"), lenient.alias("lenient_date")).agg(count_rows())
 
 

@@ -21,9 +21,9 @@ def _col(c: Column | str) -> Column:
 
 
 def parse_date8(text: Column | str) -> Column:
-    """``YYYYMMDD`` text to date; anything else is NULL."""
+    """``YYYYMMDD`` text to date; anything else, and the year 0000, is NULL."""
     t = F.trim(_col(text))
-    return F.when(t.rlike("^[0-9]{8}$"), F.try_to_timestamp(t, F.lit("yyyyMMdd")).cast("date"))
+    return F.when(t.rlike("^(?!0000)[0-9]{8}$"), F.try_to_timestamp(t, F.lit("yyyyMMdd")).cast("date"))
 
 
 def parse_date8_lenient(text: Column | str) -> Column:
