@@ -77,17 +77,27 @@ _TEXT = """'[' || LOT_NO || ' : ' || strftime(EXPIRED_DATE,'%d/%m/%y') || ' : '
  CASE WHEN REMAIN_QTY_LOT % ACTIVE_PACK > 0 THEN ' (' || rtrim(rtrim(CAST(CAST(REMAIN_QTY_LOT % ACTIVE_PACK AS DECIMAL(18,4)) AS VARCHAR),'0'),'.') || ')' ELSE '' END || ']'"""
 
 
-@query("onh_01_on_hand_lots", f"""
+_LINES = f"""
 WITH l AS (SELECT STOCK_ID, WORKING_CODE, TRADE_CODE, LOT_NO, EXPIRED_DATE, REMAIN_QTY_LOT, nullif(ACTIVE_PACK,0) AS ACTIVE_PACK FROM card
  WHERE OPERATE_DATE<=DATE '1999-06-30' AND ACTIVE_QTY>0 AND STOCK_ID IS NOT NULL
  QUALIFY row_number() OVER (PARTITION BY STOCK_ID,WORKING_CODE,TRADE_CODE,LOT_NO,EXPIRED_DATE ORDER BY RECORD_NUMBER DESC)=1),
  t AS (SELECT *, {_TEXT} AS line FROM l WHERE REMAIN_QTY_LOT>0)
+"""
+
+
+@query("onh_01_on_hand_lots", f"""{_LINES}
 SELECT STOCK_ID, WORKING_CODE, string_agg(line, chr(10) ORDER BY EXPIRED_DATE, LOT_NO, TRADE_CODE) AS on_hand, CAST(count(*) AS BIGINT) AS lots
 FROM t WHERE line IS NOT NULL GROUP BY 1,2""")
 def _(w):
     return P.on_hand_text(w.src.card, AS_OF)
 
 
+@query("onh_01b_on_hand_lines", f"""{_LINES}
+SELECT STOCK_ID, WORKING_CODE, TRADE_CODE, LOT_NO, EXPIRED_DATE, CAST(REMAIN_QTY_LOT AS DOUBLE) AS REMAIN_QTY_LOT, line FROM t WHERE line IS NOT NULL""")
+def _(w):
+    return P.on_hand_lines(w.src.card, AS_OF).drop("ACTIVE_PACK")
+
+
 _TRADE = """SELECT g.WORKING_CODE, g.DRUG_NAME, v.TRADE_CODE, v.TRADE_NAME, c.COMPANY_NAME AS MANUFAC_NAME, CAST(g.SALE_UNIT_ID AS BIGINT) AS SALE_UNIT_ID,
  v.MANUFAC_CODE, CAST(g.IS_ED AS BIGINT) AS IS_ED, CAST(g.COLOR AS BIGINT) AS COLOR, h.PROD_TYPE, d.DFORM_NAME, u.SALE_UNIT, v.LAST_BUY
 FROM drug_gn g LEFT JOIN drug_vn v ON v.WORKING_CODE=g.WORKING_CODE LEFT JOIN company c ON CAST(v.MANUFAC_CODE AS BIGINT)=c.COMPANY_CODE

@@ -206,17 +206,28 @@ def on_hand_lots(card: DataFrame, as_of: dt.date) -> DataFrame:
     return latest(rows, lot, [F.col("RECORD_NUMBER")], ["REMAIN_QTY_LOT", "ACTIVE_PACK"]).filter("REMAIN_QTY_LOT > 0")
 
 
-def on_hand_text(card: DataFrame, as_of: dt.date) -> DataFrame:
-    """Per stock and item one line per lot: ``[lot : expiry : packs x size (rest)]``."""
+def on_hand_lines(card: DataFrame, as_of: dt.date) -> DataFrame:
+    """One row per lot on hand with its text ``[lot : expiry : packs x size (rest)]``.
+
+    A lot without number, expiry or pack size has no text and is left out.
+    """
     pack = F.nullif(F.col("ACTIVE_PACK"), F.lit(0).cast("decimal(18,4)"))
     packs = F.floor(F.try_divide(F.col("REMAIN_QTY_LOT"), pack))
     rest = F.try_mod(F.col("REMAIN_QTY_LOT"), pack)
     text = F.concat(F.lit("["), "LOT_NO", F.lit(" : "), F.date_format("EXPIRED_DATE", "dd/MM/yy"), F.lit(" : "),
                     packs.cast("bigint").cast("string"), F.lit(" x "), _plain_number(pack),
                     F.when(rest > 0, F.concat(F.lit(" ("), _plain_number(rest), F.lit(")"))).otherwise(F.lit("")), F.lit("]"))
-    lots = on_hand_lots(card, as_of).withColumn("line", text).filter("line IS NOT NULL")
+    return on_hand_lots(card, as_of).withColumn("line", text).filter("line IS NOT NULL")
+
+
+def on_hand_text(card: DataFrame, as_of: dt.date) -> DataFrame:
+    """The lines of `on_hand_lines` as one text per stock and item.
+
+    The text holds every lot of the item, so it is for showing one item's lots;
+    jobs over all lots use the lines.
+    """
     in_order = F.array_sort(F.collect_list(F.struct("EXPIRED_DATE", "LOT_NO", "TRADE_CODE", "line")))
-    return (lots.groupBy("STOCK_ID", "WORKING_CODE")
+    return (on_hand_lines(card, as_of).groupBy("STOCK_ID", "WORKING_CODE")
             .agg(F.concat_ws("\n", F.transform(in_order, lambda x: x["line"])).alias("on_hand"), F.count(F.lit(1)).alias("lots")))
 
 

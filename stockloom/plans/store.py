@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -190,12 +191,19 @@ class Store:
         version = self.current_version(table)
         return None if version is None else self.spark.read.parquet(f"{self.path(table)}/version={version}").drop("version")
 
-    def swap(self, df: DataFrame, table: str) -> int:
-        """Write a whole table beside the current version, then point readers to it."""
+    def swap(self, df: DataFrame, table: str, check: Callable[[DataFrame], None] | None = None) -> int:
+        """Write a whole table beside the current version, then point readers to it.
+
+        ``check`` sees the written rows and may raise; the pointer then stays
+        where it was.
+        """
         version = (self.current_version(table) or 0) + 1
+        path = f"{self.path(table)}/version={version}"
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{self.path(table)}/version={version}")
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
         rows = _metric(seen, "n", 0)
+        if check is not None:
+            check(self.spark.read.parquet(path))
         fs, p = self._fs(self._pointer(table))
         stream = fs.create(p, True)
         try:
