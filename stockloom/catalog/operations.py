@@ -329,10 +329,10 @@ def _broken(_run):
 
 
 @query("job_05_failure_policy", f"""
-SELECT pipeline_name, batch_status, CAST(jobs AS BIGINT) AS jobs, items FROM (VALUES ('daily','failed',1), ('job ETL-002','success',1), ('job ETL-009','partial',1)) AS t(pipeline_name, batch_status, jobs),
+SELECT pipeline_name, batch_status, CAST(jobs AS BIGINT) AS jobs, items FROM (VALUES ('daily','failed',3), ('job ETL-002','success',1), ('job ETL-009','partial',1)) AS t(pipeline_name, batch_status, jobs),
  (SELECT {CNT} AS items FROM warehouse_src)""")
 def _(w):
-    """A failed dimension stops a batch, a failed mart makes it partial; the ledger tells."""
+    """A failed dimension stops a batch after the dimensions, a failed mart makes it partial; the ledger tells."""
     jobs = dict(JOBS)
     jobs["ETL-001"] = Job("ETL-001", "load_item_master", "dimension", "core.dim_item", _broken)
     jobs["ETL-009"] = Job("ETL-009", "refresh_marts", "mart", "mart.*", _broken)

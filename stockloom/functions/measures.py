@@ -73,6 +73,8 @@ def status_direction(status: Column, preset: str = "mapping") -> Column:
     return out
 
 
+# The status and class names below, and the codes they stand for.
+
 def order_status(process: Column, ok: Column) -> Column:
     return (F.when(process == "3", "received_full").when(process == "2", "received_partial")
             .when(process == "1", "approved").when((process == "4") | (ok == "N"), "cancelled")
@@ -94,6 +96,8 @@ def expiry_status(expiry: Column, as_of: Column, near_days: int = S.NEAR_EXPIRY_
             .when(left <= near_days, "near_expiry").otherwise("healthy"))
 
 
+# Expiry ranges in order, with their upper bounds in days.
+
 def expiry_range(days_left: Column) -> Column:
     return (F.when(days_left <= 0, "Expired").when(days_left <= 30, "0-30 Days")
             .when(days_left <= 90, "30-90 Days").when(days_left <= 180, "90-180 Days").otherwise("180+ Days"))

@@ -94,7 +94,7 @@ def test_fail_policy_stops_on_bad_rows(spark, data):
         runner.run_daily(AS_OF, "full")
     assert not store.exists("core.fact_stock_snapshot")
     runs = values(runner.ledger.runs(), "job_code", "run_status")
-    assert runs == [("ETL-001", "success"), ("ETL-002", "failed")]
+    assert runs == [("ETL-001", "success"), ("ETL-002", "failed"), ("ETL-003", "success")]
     strict = Runner(spark, data, Store(spark, work_folder(spark, "strict"), "month"), "fail", clock=CLOCK)
     with pytest.raises(JobFailed, match="blank"):
         strict.run_job("ETL-001")
