@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,6 +18,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that start from another folder find this package; clusters have it installed."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, (root, env.get("PYTHONPATH"))))
+
+
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    importable(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder name below the folder all executors see; the warehouse where none is configured."""
     root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, sharding
+from . import mixing, packing, quality, sharding, tokencounts
 from .common import read
 
 
@@ -14,16 +14,24 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op3_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents")).drop("ids")
+
+
 def op8_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(read(spark, sf_dir, "documents"))
 
 
+def op9_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.token_counts(read(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), ("doc_id",)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_source_mix, op8_kd_shards, op10_quality_rules)}
+    f.__name__: f for f in (op3_window_packing, op7_source_mix, op8_kd_shards, op9_prefix_counts, op10_quality_rules)}
 
 SQL: dict[str, str] = {}
