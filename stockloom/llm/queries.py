@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality, sharding, tokencounts
+from . import mixing, packing, privacy, quality, sharding, tokencounts
 from .common import read
 
 
@@ -14,6 +14,10 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.replaced(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents")).drop("ids")
 
@@ -32,6 +36,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_window_packing, op7_source_mix, op8_kd_shards, op9_prefix_counts, op10_quality_rules)}
+    f.__name__: f for f in (op1_surrogates, op3_window_packing, op7_source_mix, op8_kd_shards, op9_prefix_counts, op10_quality_rules)}
 
 SQL: dict[str, str] = {}
