@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, privacy, quality, sharding, tokencounts
+from . import mixing, packing, privacy, quality, sharding, tokencounts, toxicity
 from .common import read
 
 
+def op6_toxic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("n_hits")
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
@@ -36,6 +40,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_surrogates, op3_window_packing, op7_source_mix, op8_kd_shards, op9_prefix_counts, op10_quality_rules)}
+    f.__name__: f for f in (op1_surrogates, op3_window_packing, op6_toxic_terms, op7_source_mix, op8_kd_shards, op9_prefix_counts, op10_quality_rules)}
 
 SQL: dict[str, str] = {}
