@@ -22,7 +22,7 @@ FOLDS = 5
 MAX_LABELLED = 50_000
 #: A term is learned from so many toxic texts, at such a share of toxic among the texts that have it.
 MIN_TOXIC, MIN_SHARE, MAX_TERMS = 5, 0.8, 2000
-#: A term's log likelihood must pass that of the luckiest of all words by so much; a misspelling's log odds must reach CLEAR.
+#: A term's log likelihood must pass that of the luckiest of all words that are frequent enough by so much; a misspelling's log odds must reach CLEAR.
 SURE, CLEAR = 0.0, 1.5
 #: Shortest stem that stands for all words it begins, and the different words it must begin.
 STEM, MIN_WORDS = 4, 5
@@ -179,7 +179,7 @@ def learn(labelled: DataFrame) -> Model:
         return Model({})
     by_word = written(by_word)
     share = F.col("pos") / F.col("n")
-    prior, luck = n_pos / (n_pos + n_neg), math.log(max(1, by_word.count())) + SURE
+    prior, luck = n_pos / (n_pos + n_neg), math.log(max(1, by_word.where(F.col("n") >= MIN_TOXIC).count())) + SURE
     rest = F.col("n") - F.col("pos")
     likelihood = F.col("pos") * F.log(share / prior) + F.when(rest > 0, rest * F.log((1 - share) / max(1e-9, 1 - prior))).otherwise(F.lit(0.0))
     whole = by_word.where((F.col("pos") >= MIN_TOXIC) & (share >= MIN_SHARE) & (likelihood > luck) & (F.length("word") >= STEM))

@@ -12,14 +12,14 @@ import pyarrow.compute as pc
 CHUNK_BYTES = 24 << 20
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """The batch in slices of bounded text, each with its texts (null as empty)."""
+def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES, rows: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """The batch in slices of bounded text and rows, each with its texts (null as empty)."""
     texts = pc.fill_null(batch.column(column), "")
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(texts):
         base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + limit, "right")))
+        stop = min(start + rows, max(start + 1, int(np.searchsorted(ends, base + limit, "right"))))
         yield batch.slice(start, stop - start), texts.slice(start, stop - start)
         start = stop
 
