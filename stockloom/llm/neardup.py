@@ -10,17 +10,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, discard, map_arrow, written
-from .words import chunks, distinct, without_empty
+from .common import components, discard, importable, map_arrow, written
+from .words import chunks, distinct, ragged, without_empty
 
 #: Words of a shingle, and the weighted Jaccard similarity of a link.
 SHINGLE, SIMILAR = 5, 0.8
 #: Coordinates of a signature; a band is so many of them.
 COORDINATES, BAND = 120, 5
-#: Signatures of a linked pair agree in this share of coordinates but once in some 10**9 pairs (0.8 less six standard deviations).
-HOPEFUL = SIMILAR - 6 * (SIMILAR * (1 - SIMILAR) / COORDINATES) ** 0.5
+#: Signatures of a linked pair agree in this share of coordinates, but for one pair in some 10**6 (five standard deviations).
+HOPEFUL = SIMILAR - 5 * (SIMILAR * (1 - SIMILAR) / COORDINATES) ** 0.5
 #: Likewise for a pair at twice the distance of a link.
-WEAK = (2 * SIMILAR - 1) - 6 * (0.25 / COORDINATES) ** 0.5
+WEAK = (2 * SIMILAR - 1) - 5 * (0.25 / COORDINATES) ** 0.5
+#: A group is one task's work up to so many texts and so many texts times words; beyond, ``links`` spreads it.
+TASK_TEXTS, TASK_WORK = 4000, 2 * 10**9
 #: Expected darts for a signature: all coordinates are hit with these, but for one text in some thousands, which throws on.
 DARTS = COORDINATES * (np.log(COORDINATES) + 8)
 
@@ -200,25 +202,28 @@ def links(held: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) enough to connect all similar texts that share a bucket of ``held(bucket, id)``.
 
     The texts of a bucket are compared with its heads, never all with each
-    other.  In each turn some of the texts that no head is linked to become
-    heads, twice as many as in the turn before, and meet all texts of the
+    other.  In each turn some of the texts that no head is linked to, those
+    with the most company first, become heads, twice as many as in the turn before, and meet all texts of the
     bucket; it ends when every text is a head or linked to one, so a large
     family of near copies costs a few passes.  Then only two texts linked to
     heads of different components may still be an unseen link.  Each is within
     twice a link's distance of the other's head, so texts that come so near to
     a head of another component meet the whole bucket as well.
     """
-    open_ = held.withColumn("rank", F.xxhash64("id"))
+    # the text that meets the most others is nearest the middle of its family, and links the most
+    crowd = held.groupBy("bucket").agg(F.count("*").alias("n"))
+    met_by = held.join(crowd, "bucket").groupBy("id").agg((-F.sum("n")).alias("crowd"))
+    open_ = written(held.join(met_by, "id").withColumn("rank", F.xxhash64("id")))
     heads, met, known, close = 1, None, None, None
-    add = lambda old, new: written(new if old is None else old.union(new))
+    add = lambda old, new: new if old is None else old.union(new)
     while True:
-        chosen = (open_.groupBy("bucket", F.pmod("rank", F.lit(heads)).alias("slot")).agg(F.min(F.struct("rank", "id")).alias("h"))
+        chosen = (open_.groupBy("bucket", F.pmod("rank", F.lit(heads)).alias("slot")).agg(F.min(F.struct("crowd", "rank", "id")).alias("h"))
                   .select("bucket", F.col("h.id").alias("head")))
         meets = written(held.join(chosen, "bucket").where("id <> head"))
         pairs = as_pairs(meets) if known is None else as_pairs(meets).join(known.select("a", "b"), ["a", "b"], "left_anti")
         pairs = written(pairs)
         near = written(agreeing(pairs, sigs))
-        good = verified(near.where("hopeful"), texts)
+        good = written(verified(near.where("hopeful"), texts))
         met, known, close = add(met, meets), add(known, pairs), add(close, good)
         linked = meets.join(both_ways(close).select(F.col("a").alias("id"), F.col("b").alias("head")), ["id", "head"], "left_semi")
         done = linked.select("bucket", "id").union(meets.select("bucket", F.col("head").alias("id"))).distinct()
@@ -241,6 +246,72 @@ def links(held: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(close.union(verified(agreeing(pairs, sigs).where("hopeful"), texts)))
 
 
+def spanning(held: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect, in each bucket, what signatures that may be similar connect: at most one per row.
+
+    A bucket too large for a task is connected whole; the next step tells its
+    texts apart.
+    """
+    def run(group: pa.Table) -> pa.Table:
+        ids = group.column("id").to_numpy()
+        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint32).reshape(-1, COORDINATES)
+        total = group.column("total").to_numpy()
+        left, queue, out = np.arange(len(ids)), [], []
+        while len(left):
+            if not queue:
+                queue, left = [left[0]], left[1:]
+            u = queue.pop()
+            near = ((sig[left] == sig[u]).mean(axis=1) >= HOPEFUL) & (np.minimum(total[left], total[u]) >= SIMILAR * np.maximum(total[left], total[u]))
+            out += [(ids[u], ids[v]) for v in left[near]]
+            queue += left[near].tolist()
+            left = left[~near]
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    sizes = held.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    known = held.join(sizes, "bucket")
+    importable(held.sparkSession)
+    small = known.where(F.col("n") <= TASK_TEXTS).select("bucket", "id").join(sigs, "id").groupBy("bucket").applyInArrow(run, "a bigint, b bigint")
+    large = known.where((F.col("n") > TASK_TEXTS) & (F.col("id") != F.col("first"))).select(F.col("first").alias("a"), F.col("id").alias("b"))
+    return small.union(large).distinct()
+
+
+def told_apart(families: DataFrame) -> DataFrame:
+    """Edges (a, b) of exact similarity that connect the texts of each family (family, id, text): a search from text to text.
+
+    A text meets only those that no link has reached yet, all at once, by the
+    postings of its shingles.
+    """
+    def run(group: pa.Table) -> pa.Table:
+        ids = group.column("id").to_numpy()
+        values, index, sizes = distinct(pc.ascii_split_whitespace(group.column("text").combine_chunks()))
+        index, sizes = without_empty(values, index, sizes)
+        x, weight, per = shingles(word_hashes(values)[index], sizes)
+        owner, ends = np.repeat(np.arange(len(ids)), per), np.cumsum(per)
+        code = np.unique(x, return_inverse=True)[1]
+        order = np.argsort(code, kind="stable")
+        begin = np.searchsorted(code[order], np.arange(code.max() + 2)) if len(code) else np.zeros(1, np.int64)
+        total = np.bincount(owner, weight, len(ids))
+        open_, queue, out = np.ones(len(ids), bool), [], []
+        for start in range(len(ids)):
+            if open_[start]:
+                open_[start] = False
+                queue = [start]
+            while queue:
+                u = queue.pop()
+                mine = slice(ends[u] - per[u], ends[u])
+                counts = (begin[code[mine] + 1] - begin[code[mine]]).astype(np.int64)
+                at = order[ragged(np.arange(len(order)), begin[code[mine]], counts)]
+                common = np.bincount(owner[at], np.minimum(weight[at], np.repeat(weight[mine], counts)), len(ids))
+                near = np.flatnonzero(open_ & (common >= SIMILAR * (total + total[u] - common) - 1e-9) & (common > 0))
+                open_[near] = False
+                out += [(ids[u], ids[v]) for v in near]
+                queue += near.tolist()
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    importable(families.sparkSession)
+    return families.groupBy("family").applyInArrow(run, "a bigint, b bigint")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, key, class_id, kept) for every row of ``docs``.
 
@@ -259,11 +330,17 @@ def classes(docs: DataFrame) -> DataFrame:
     one = busy.groupBy("n", "who").agg(F.min("bucket").alias("bucket")).select("bucket")
     held = written(members.join(one, "bucket", "left_semi"))
     discard(members)
-    wanted = held.select("id").distinct().join(sigs.select("id", "key"), "id")
-    texts = docs.select("text", text_key().alias("key")).join(wanted, "key").groupBy("id").agg(F.first("text").alias("text"))
-    found = held if held.isEmpty() else links(held, sigs.select("id", "total", "sig"), written(texts))
-    if "bucket" in found.columns:
-        found = held.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    signs = sigs.select("id", "total", "sig")
+    family = components(spanning(held, signs)).select(F.col("node").alias("id"), F.col("component").alias("family"))
+    family = written(family.join(sigs.select("id", "key", "total"), "id"))
+    size = family.groupBy("family").agg((F.count("*") * F.sum("total")).alias("work"), F.count("*").alias("n"))
+    family = written(family.join(size, "family").withColumn("large", (F.col("n") > TASK_TEXTS) | (F.col("work") > TASK_WORK)))
+    texts = written(docs.select("text", text_key().alias("key")).join(family.select("id", "key", "family", "large"), "key")
+                    .groupBy("id", "family", "large").agg(F.first("text").alias("text")))
+    found = told_apart(texts.where("not large").select("family", "id", "text"))
+    large = texts.where("large")
+    if not large.isEmpty():
+        found = found.union(links(written(held.join(large.select("id"), "id", "left_semi").select("bucket", "id")), signs, large.select("id", "text")))
     part = components(found).withColumnRenamed("node", "id")
     whole = written(sigs.select("id", "key", "least_id").join(part, "id", "left").withColumn("component", F.coalesce("component", "id")))
     least = whole.groupBy("component").agg(F.min("least_id").alias("class_id"))
