@@ -46,6 +46,13 @@ def written(df: DataFrame) -> DataFrame:
     return out
 
 
+def again(df: DataFrame) -> DataFrame:
+    """A second reading of what ``written`` wrote, for joining it with itself."""
+    out = df.sparkSession.read.schema(df.schema).parquet(df._folder)
+    out._folder = df._folder
+    return out
+
+
 def discard(df: DataFrame) -> None:
     """Delete what ``written`` wrote, once nothing reads it any more."""
     spark = df.sparkSession

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, neardup, packing, privacy, quality, sharding, tokencounts, toxicity
+from . import embeddings, mixing, neardup, packing, privacy, quality, sharding, tokencounts, toxicity
 from .common import read
 
 
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_copies(read(spark, sf_dir, "embeddings"))
+
+
 def op5_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "kept")
 
@@ -44,6 +48,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_surrogates, op3_window_packing, op5_near_copies, op6_toxic_terms, op7_source_mix, op8_kd_shards, op9_prefix_counts, op10_quality_rules)}
+    f.__name__: f for f in (op1_surrogates, op3_window_packing, op4_near_vectors, op5_near_copies, op6_toxic_terms, op7_source_mix, op8_kd_shards, op9_prefix_counts, op10_quality_rules)}
 
 SQL: dict[str, str] = {}
