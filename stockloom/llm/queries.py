@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embeddings, mixing, neardup, packing, privacy, quality, sharding, tokencounts, toxicity
+from . import embeddings, mixing, neardup, packing, privacy, quality, scoring, sharding, tokencounts, toxicity
 from .common import read
 
 
@@ -30,6 +30,10 @@ def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.replaced(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.scores(read(spark, sf_dir, "documents"))
+
+
 def op3_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents")).drop("ids")
 
@@ -48,6 +52,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_surrogates, op3_window_packing, op4_near_vectors, op5_near_copies, op6_toxic_terms, op7_source_mix, op8_kd_shards, op9_prefix_counts, op10_quality_rules)}
+    f.__name__: f for f in (op1_surrogates, op2_attention_scores, op3_window_packing, op4_near_vectors, op5_near_copies, op6_toxic_terms, op7_source_mix, op8_kd_shards, op9_prefix_counts, op10_quality_rules)}
 
 SQL: dict[str, str] = {}
