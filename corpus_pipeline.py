@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stockloom.llm import mixing, quality
+from stockloom.llm import mixing, neardup, packing, privacy, quality
 from stockloom.llm.common import read, written
 
 
@@ -13,18 +14,37 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.judged(docs).where("kept").select(*docs.columns)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one of the least id, of each class of near copies."""
+    return neardup.without_copies(docs)
+
+
+def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced; n_chars follows the text."""
+    out = privacy.replaced(docs)
+    chars = F.when(F.col("n_entities") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", chars).select(*docs.columns)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as rows as often as the mix takes them."""
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("source_mix", source_mix)]
+def window_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences, with their token ids."""
+    return packing.pack(docs)
+
+
+STAGES = [("quality_rules", quality_rules), ("near_copies", near_copies), ("surrogates", surrogates),
+          ("source_mix", source_mix), ("window_packing", window_packing)]
 
 #: Sketches of near copies, keyed surrogates and token ids are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over ``documents``, each one's result written and read by the next."""
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir))
