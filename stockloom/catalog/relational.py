@@ -424,8 +424,8 @@ def _(w):
 
 
 @query("win_06_abc_classes", f"""
-SELECT WORKING_CODE, CAST(v AS DOUBLE) AS total_value, CASE WHEN s<=0.80 THEN 'A' WHEN s<=0.95 THEN 'B' ELSE 'C' END AS abc_class FROM (
- SELECT *, CAST(sum(v) OVER (ORDER BY v DESC) AS DOUBLE)/CAST(sum(v) OVER () AS DOUBLE) AS s FROM ({_ITEM_VALUE}))""")
+SELECT WORKING_CODE, CAST(v AS DOUBLE) AS total_value, CASE WHEN s<0.80 THEN 'A' WHEN s<0.95 THEN 'B' ELSE 'C' END AS abc_class FROM (
+ SELECT *, CAST(sum(v) OVER (ORDER BY v DESC) - v*count(*) OVER (PARTITION BY v) AS DOUBLE)/CAST(sum(v) OVER () AS DOUBLE) AS s FROM ({_ITEM_VALUE}))""")
 def _(w):
     items = w.src.card.filter("R_S_STATUS = 'S'").groupBy("WORKING_CODE").agg(F.sum("VALUE").alias("total_value"))
     return ordered.abc_classes(items, "total_value")

@@ -58,16 +58,16 @@ def dead(w):
     return P.dead_stock(moves(w), w.items, w.dim_warehouse, AS_OF)
 
 
-def by_item(w):
-    return P.consumption_by_item(moves(w), w.items, AS_OF)
+def by_item(w, limit=50):
+    return P.consumption_by_item(moves(w), w.items, AS_OF, limit=limit)
 
 
 def monthly(w):
     return P.consumption_monthly(marts.consumption_monthly(w.fact_inventory_movement, 199801, 199912), AS_OF)
 
 
-def vendors(w):
-    return P.top_vendors(orders(w), w.dim_vendor, AS_OF)
+def vendors(w, limit=10):
+    return P.top_vendors(orders(w), w.dim_vendor, AS_OF, limit=limit)
 
 
 def fresh(w):
@@ -274,14 +274,14 @@ def _(w):
 
 
 @query("rpt_27a_vendor_metrics", f"""
-SELECT {CNT} AS vendors, CAST(sum(total_amount) AS DOUBLE) AS total_spent, CAST(sum(total_amount) AS DOUBLE)/greatest(CAST(count(*) AS DOUBLE),1) AS avg_vendor_value FROM r_vendors""")
+SELECT {CNT} AS vendors, CAST(sum(total_amount) AS DOUBLE) AS total_spent, CAST(sum(total_amount) AS DOUBLE)/greatest(CAST(count(*) AS DOUBLE),1) AS avg_vendor_value FROM r_vendors_all""")
 def _(w):
-    return P.vendor_metrics(vendors(w))
+    return P.vendor_metrics(vendors(w, None))
 
 
-@query("rpt_27b_vendors_by_orders", "SELECT vendor_name, order_count, CAST(total_amount AS DOUBLE) AS total_amount FROM r_vendors ORDER BY order_count DESC, dim_vendor_id LIMIT 5")
+@query("rpt_27b_vendors_by_orders", "SELECT vendor_name, order_count, CAST(total_amount AS DOUBLE) AS total_amount FROM r_vendors_all ORDER BY order_count DESC, dim_vendor_id LIMIT 10")
 def _(w):
-    return R.top(vendors(w), 5, F.desc("order_count"), F.col("dim_vendor_id")).select("vendor_name", "order_count", "total_amount")
+    return R.top(vendors(w, None), 10, F.desc("order_count"), F.col("dim_vendor_id")).select("vendor_name", "order_count", "total_amount")
 
 
 @query("rpt_28a_budget_metrics", """
@@ -314,24 +314,24 @@ def _(w):
     return P.quality_filter_counts(quality(w), item="RED|bolt", status="PASSED", test_type=R.ALL)
 
 
-@query("rpt_31a_consumption_metrics", f"SELECT {CNT} AS items, CAST(sum(total_consumed) AS DOUBLE) AS total_quantity, CAST(sum(total_cost) AS DOUBLE) AS total_cost FROM r_by_item")
+@query("rpt_31a_consumption_metrics", f"SELECT {CNT} AS items, CAST(sum(total_consumed) AS DOUBLE) AS total_quantity, CAST(sum(total_cost) AS DOUBLE) AS total_cost FROM r_by_item_all")
 def _(w):
-    return P.consumption_metrics(by_item(w))
+    return P.consumption_metrics(by_item(w, None))
 
 
 def _unit(order):
     return f"""SELECT item_code, item_name, {doubles('total_consumed','total_cost')},
- CAST(total_cost AS DOUBLE)/greatest(CAST(total_consumed AS DOUBLE),1) AS unit_cost FROM r_by_item ORDER BY {order} DESC, item_code LIMIT 20"""
+ CAST(total_cost AS DOUBLE)/greatest(CAST(total_consumed AS DOUBLE),1) AS unit_cost FROM r_by_item_all ORDER BY {order} DESC, item_code LIMIT 20"""
 
 
-@query("rpt_31b_top_by_quantity", _unit("r_by_item.total_consumed"))
+@query("rpt_31b_top_by_quantity", _unit("r_by_item_all.total_consumed"))
 def _(w):
-    return P.consumption_unit_cost(by_item(w))
+    return P.consumption_unit_cost(by_item(w, None))
 
 
-@query("rpt_31c_top_by_cost", _unit("r_by_item.total_cost"))
+@query("rpt_31c_top_by_cost", _unit("r_by_item_all.total_cost"))
 def _(w):
-    return P.consumption_unit_cost(by_item(w), by="total_cost")
+    return P.consumption_unit_cost(by_item(w, None), by="total_cost")
 
 
 @query("rpt_32_monthly_trend", "SELECT *, CAST(MONTH AS VARCHAR) || '/' || CAST(YEAR AS VARCHAR) AS date_label FROM r_monthly")

@@ -336,6 +336,10 @@ SELECT dim_vendor_id, vendor_name, CAST(count(*) AS BIGINT) AS order_count, sum(
  round(CAST(sum(total_amount) AS DOUBLE)/count(total_amount),6) AS avg_order_value
 FROM v_order WHERE po_date >= DATE '1999-06-30' - 180 GROUP BY 1,2 ORDER BY 4 DESC, 1 LIMIT 10"""
 
+# every vendor and item, for totals and other rankings
+for _name in ("r_vendors", "r_by_item"):
+    VIEWS[f"{_name}_all"] = VIEWS[_name].rsplit("ORDER BY", 1)[0]
+
 VIEWS["r_burn"] = """
 SELECT month, CAST(coalesce(sum(allocated),0) AS DOUBLE) AS budget_allocated, CAST(coalesce(sum(consumed),0) AS DOUBLE) AS budget_consumed,
  CAST(coalesce(sum(remaining),0) AS DOUBLE) AS budget_remaining FROM v_budget WHERE year=1999 GROUP BY 1"""

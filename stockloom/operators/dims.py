@@ -119,9 +119,9 @@ def with_unknown(dim_rows: DataFrame, dim: str) -> DataFrame:
 
 
 def colliding_ids(dim_rows: DataFrame, dim: str) -> DataFrame:
-    """Ids shared by several codes; must be empty before a dimension is written."""
+    """Ids held by several rows, of several codes or of one; must be empty before a dimension is written."""
     code, id_col, _, _ = DIMENSIONS[dim]
-    return dim_rows.groupBy(id_col).agg(F.count_distinct(code).alias("codes")).filter("codes > 1")
+    return dim_rows.groupBy(id_col).agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(code).alias("codes")).filter("row_count > 1")
 
 
 def date_dimension(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:

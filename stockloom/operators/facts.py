@@ -64,14 +64,8 @@ def goods_receipt_line(staged: DataFrame, item_keys: DataFrame, warehouse_keys:
 # Reload rules: what the fact holds after a batch ------------------------------
 
 def insert_absent(current: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
-    """Batch rows whose key the fact does not hold yet, one per key.
-
-    The fact is first reduced to the batch's keys, so only the batch is ever
-    compared and the fact contributes one scan of its key columns.
-    """
-    fresh = batch.dropDuplicates(key)
-    held = current.select(*key).join(fresh.select(*key), key, "left_semi").distinct()
-    return fresh.join(held, key, "left_anti")
+    """All batch rows whose key the fact does not hold yet; rows of one batch that share a key are all new."""
+    return batch.join(current.select(*key).distinct(), key, "left_anti")
 
 
 def replace_keys(current: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
@@ -79,11 +73,6 @@ def replace_keys(current: DataFrame, batch: DataFrame, key: list[str]) -> DataFr
     return current.join(batch.select(*key).distinct(), key, "left_anti").unionByName(batch)
 
 
-def replace_dates(current: DataFrame, batch: DataFrame, date_col: str) -> DataFrame:
-    """Current rows without the batch's dates, plus the batch."""
-    return current.join(batch.select(date_col).distinct(), date_col, "left_anti").unionByName(batch)
-
-
 def replace_window(current: DataFrame, batch: DataFrame, column: str, low, high) -> DataFrame:
     """Current rows outside the closed window, plus the recomputed window."""
     return current.filter(~F.col(column).between(low, high)).unionByName(batch)

@@ -146,12 +146,12 @@ def _cost() -> Column:
     return F.sum(F.col("quantity") * F.col("unit_cost")).cast("decimal(24,4)")
 
 
-def consumption_by_item(moves: DataFrame, items: DataFrame, as_of: dt.date, days: int = 30, limit: int = 50) -> DataFrame:
+def consumption_by_item(moves: DataFrame, items: DataFrame, as_of: dt.date, days: int = 30, limit: int | None = 50) -> DataFrame:
     used = R.trailing(moves.filter("movement_type = 'CONSUMPTION'"), "movement_date", as_of, days)
     per_item = used.groupBy("dim_item_id").agg(F.sum("quantity").alias("total_consumed"), _cost().alias("total_cost"))
     named = per_item.join(items.select("dim_item_id", F.col("source_item_code").alias("item_code"), "item_name"), "dim_item_id", "left")
-    return R.top(named.select("item_code", "item_name", "total_consumed", "total_cost"), limit,
-                 F.desc("total_consumed"), F.col("item_code"))
+    rows = named.select("item_code", "item_name", "total_consumed", "total_cost")
+    return rows if limit is None else R.top(rows, limit, F.desc("total_consumed"), F.col("item_code"))
 
 
 def _with_vendor(df: DataFrame, vendors: DataFrame) -> DataFrame:
@@ -214,11 +214,11 @@ def movement_summary(moves: DataFrame, as_of: dt.date, days: int = 30) -> DataFr
             .orderBy(F.desc("transaction_count")))
 
 
-def top_vendors(orders: DataFrame, vendors: DataFrame, as_of: dt.date, days: int = 180, limit: int = 10) -> DataFrame:
+def top_vendors(orders: DataFrame, vendors: DataFrame, as_of: dt.date, days: int = 180, limit: int | None = 10) -> DataFrame:
     per_vendor = (R.trailing(orders, "po_date", as_of, days).groupBy("dim_vendor_id")
                   .agg(_count().alias("order_count"), F.sum("total_amount").alias("total_amount"),
                        M.mean(F.sum("total_amount"), F.count("total_amount")).alias("avg_order_value")))
-    first = R.top(per_vendor, limit, F.desc("total_amount"), F.col("dim_vendor_id"))
+    first = per_vendor if limit is None else R.top(per_vendor, limit, F.desc("total_amount"), F.col("dim_vendor_id"))
     return (_with_vendor(first, vendors).select("dim_vendor_id", "vendor_name", "order_count", "total_amount", "avg_order_value")
             .orderBy(F.desc("total_amount"), "dim_vendor_id"))
 

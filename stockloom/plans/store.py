@@ -15,6 +15,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,8 +36,13 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
 
 def _metric(seen: Observation, name: str, default):
-    """Observed value; a plan that proved empty reports none."""
-    return seen.get.get(name, default)
+    """Observed value; a plan that proved empty reports none, or a row without columns."""
+    try:
+        return seen.get.get(name, default)
+    except Py4JJavaError as e:
+        if "assertion failed" not in str(e.java_exception):
+            raise
+        return default
 
 
 class Store:
@@ -108,13 +114,15 @@ class Store:
         return self.spark.read.parquet(f"{self.path(table)}/etl_batch_id={batch_id}").withColumn(
             "etl_batch_id", F.lit(batch_id).cast("bigint"))
 
-    def _overwrite_parts(self, df: DataFrame, table: str) -> tuple[int, set[dt.date]]:
-        """Replace the partitions present in ``df``; returns rows and partitions written."""
-        seen = Observation()
-        out = df.hint("rebalance", PART).observe(
-            seen, F.count(F.lit(1)).alias("n"), F.collect_set(PART).alias("parts"))
+    def _overwrite_parts(self, new: DataFrame, table: str, kept: DataFrame | None = None) -> tuple[int, set[dt.date]]:
+        """Replace the partitions present in ``new`` and ``kept``; returns the new rows and the partitions written."""
+        loaded, seen = Observation(), Observation()
+        df = new.observe(loaded, F.count(F.lit(1)).alias("n"))
+        if kept is not None:
+            df = df.unionByName(kept.select(*new.columns))
+        out = df.hint("rebalance", PART).observe(seen, F.collect_set(PART).alias("parts"))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self.path(table)))
-        return _metric(seen, "n", 0), set(_metric(seen, "parts", []))
+        return _metric(loaded, "n", 0), set(_metric(seen, "parts", []))
 
     def _drop_parts(self, table: str, parts: set[dt.date]) -> None:
         for day in parts:
@@ -128,27 +136,26 @@ class Store:
         return {dt.date.fromisoformat(n.split("=", 1)[1]) for n in names if n.startswith(f"{PART}=")}
 
     def replace_range(self, df: DataFrame, table: str, date: str, low: dt.date, high: dt.date) -> int:
-        """Make the rows of a closed date range exactly ``df``; returns the rows of the touched partitions."""
+        """Make the rows of a closed date range exactly ``df``; returns the rows of ``df``."""
         new = df.withColumn(PART, self.part(F.col(date)))
         first, last = self.part_of(low), self.part_of(high)
         held = {p for p in self.parts(table) if first <= p <= last}
+        kept = None
         if held:
             current = self.spark.read.parquet(self.path(table)).filter(F.col(PART).between(F.lit(first), F.lit(last)))
             kept = current.filter(~F.coalesce(F.col(date).between(F.lit(low), F.lit(high)), F.lit(False)))
-            new = new.unionByName(kept.select(*new.columns))
-        rows, written = self._overwrite_parts(new, table)
+        rows, written = self._overwrite_parts(new, table, kept)
         self._drop_parts(table, held - written)  # ranges the recomputation left empty
         return rows
 
     def replace_days(self, df: DataFrame, table: str, date: str) -> int:
         """Replace every day present in ``df``."""
-        new = df.withColumn(PART, self.part(F.col(date)))
+        new, kept = df.withColumn(PART, self.part(F.col(date))), None
         if self.grain == "month" and self.exists(table):
             current = self.spark.read.parquet(self.path(table))
             months = new.select(PART).distinct()
             kept = (current.join(months, PART, "left_semi").join(new.select(date).distinct(), date, "left_anti"))
-            new = new.unionByName(kept.select(*new.columns))
-        return self._overwrite_parts(new, table)[0]
+        return self._overwrite_parts(new, table, kept)[0]
 
     def replace_keys(self, df: DataFrame, table: str, key: list[str], date: str) -> int:
         """Delete the rows that share a key with ``df`` wherever they are, then add ``df``.
@@ -163,15 +170,24 @@ class Store:
         hit = current.join(wanted, key, "left_semi").select(PART).union(new.select(PART)).distinct()
         touched = sorted(r[0] for r in hit.collect())  # at most one value per partition of the table
         kept = current.filter(F.col(PART).isin(*touched)).join(wanted, key, "left_anti")
-        rows, written = self._overwrite_parts(new.unionByName(kept.select(*new.columns)), table)
+        rows, written = self._overwrite_parts(new, table, kept)
         self._drop_parts(table, set(touched) - written)
         return rows
 
     def insert_absent(self, df: DataFrame, table: str, key: list[str], date: str) -> int:
-        """Add the rows whose key the table does not hold."""
+        """Add the rows whose key the table does not hold; a key keeps its date, so only the batch's dates are looked at."""
         from stockloom.operators.facts import insert_absent
-        fresh = insert_absent(self.read(table), df, key) if self.exists(table) else df.dropDuplicates(key)
-        return self.append(fresh, table, date)
+        if not self.exists(table):
+            return self.append(df, table, date)
+        span = df.agg(F.min(F.col(date).cast("date")).alias("low"), F.max(F.col(date).cast("date")).alias("high")).first()
+        if span["low"] is None:
+            return 0 if df.isEmpty() else self.append(insert_absent(self.read(table), df, key), table, date)
+        return self.append(insert_absent(self.current_range(table, span["low"], span["high"]), df, key), table, date)
+
+    def current_range(self, table: str, low: dt.date, high: dt.date) -> DataFrame:
+        """The partitions that hold a date range, and rows without a date; others are not read."""
+        df = self.spark.read.parquet(self.path(table))
+        return df.filter(F.col(PART).between(F.lit(self.part_of(low)), F.lit(self.part_of(high))) | F.col(PART).isNull()).drop(PART)
 
     # versioned tables -------------------------------------------------------------------
     def _pointer(self, table: str) -> str:

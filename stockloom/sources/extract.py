@@ -11,18 +11,27 @@ from stockloom import schemas as S
 from stockloom.functions import keys, measures as M
 
 CHUNK_ROWS = 500_000
+DEFAULT_PARTS = 64  # parts of a read whose size is not known
 
 
 # Reading --------------------------------------------------------------------
 
 def jdbc_options(url: str, table: str, column: str | None = None, low=None, high=None,
                  rows: int | None = None, chunk_rows: int = CHUNK_ROWS) -> dict[str, str]:
-    """Reader options; above ``chunk_rows`` rows the read is split on ``column``."""
+    """Reader options: the read is split on ``column`` from ``low`` to ``high``, at about ``chunk_rows`` rows a part.
+
+    Without a column the whole table would be one task, so that has to be asked
+    for by ``rows``, at most one part's.
+    """
     options = {"url": url, "dbtable": table, "fetchsize": "10000", "pushDownPredicate": "true"}
-    if column and rows and rows > chunk_rows:
-        options |= {"partitionColumn": column, "lowerBound": str(low), "upperBound": str(high),
-                    "numPartitions": str(-(-rows // chunk_rows))}
-    return options
+    if column is None:
+        if rows is None or rows > chunk_rows:
+            raise ValueError(f"{table}: a read in one task needs rows of at most {chunk_rows}; else name a column and its bounds")
+        return options
+    if low is None or high is None:
+        raise ValueError(f"{table}: splitting on {column} needs its smallest and largest value")
+    parts = DEFAULT_PARTS if rows is None else max(1, -(-rows // chunk_rows))
+    return options | {"partitionColumn": column, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(parts)}
 
 
 def read_jdbc(spark: SparkSession, **kwargs) -> DataFrame:
@@ -50,22 +59,6 @@ def read_window(df: DataFrame, mode: str, column: str, watermark_from: dt.date |
     return df
 
 
-# Read class of each source table.
-READ_CLASS = {
-    "master": ("drug_gn", "drug_vn", "company", "dept_id", "bdg_type"),
-    "transaction": ("card", "dispensed", "accr_disp", "ms_po", "ms_po_c", "ms_ivo", "ms_ivo_c", "cnt", "cnt_c"),
-    "snapshot": ("inv_md", "inv_md_c", "bdg_amt", "buyplan_c"),
-}
-
-
-def watermark_column(columns: list[str]) -> str | None:
-    """Best available watermark; None means a full read."""
-    for name in ("source_updated_ts", "txn_ts", "txn_date", "snapshot_date"):
-        if name in columns:
-            return name
-    return None
-
-
 def daily_snapshot(df: DataFrame, as_of: dt.date) -> DataFrame:
     """Current-state table stamped with the day it was read."""
     return df.withColumn("snapshot_date", F.lit(as_of))

@@ -6,14 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .adapters import ADAPTERS, PARQUET_TABLES, inputs_of
 
-# Columns that spread a table evenly; needed only for tables delivered as one file.
-SPREAD_BY = {
-    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey"),
-    "orders": ("o_orderkey",),
-    "events": ("event_id",),
-}
-SPREAD_BYTES = 1 << 20
-
 
 class SourceTables:
     """Source tables by name; every table is a lazy plan over parquet."""
@@ -40,17 +32,5 @@ class SourceTables:
         return self.spark.sql(sql, **{n: self[n] for n in inputs_of(sql)})
 
     def _read(self, name: str) -> DataFrame:
-        """A parquet folder as it is; one single file is spread over the cores.
-
-        One file may be one row group and would then be one task.  A folder of
-        files, the usual form of a large table, is never shuffled here.
-        """
-        path = f"{self.data_dir}/{name}.parquet"
-        df = self.spark.read.parquet(path)
-        if name not in SPREAD_BY:
-            return df
-        sc = self.spark.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        status = p.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(p)
-        tasks = min(sc.defaultParallelism, status.getLen() // SPREAD_BYTES) if status.isFile() else 0
-        return df.repartition(int(tasks), *SPREAD_BY[name]) if tasks > 1 else df
+        """A parquet table as it was delivered."""
+        return self.spark.read.parquet(f"{self.data_dir}/{name}.parquet")

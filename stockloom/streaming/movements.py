@@ -1,7 +1,8 @@
 """Streaming movements: exactly-once ingest, daily summary, alerts.
 
-Rows may arrive up to the watermark delay late; later ones are dropped, as the
-batch path drops rows older than its look-back.
+The daily summary loses no row; ``once``, and a summary that is given a delay,
+drop rows that are later than the watermark delay, as the batch path drops rows
+older than its look-back.
 """
 
 from __future__ import annotations
@@ -38,9 +39,14 @@ def once(moves: DataFrame, delay: str = f"{LATE_DAYS} days") -> DataFrame:
     return with_hash(moves).withWatermark("ts", delay).dropDuplicatesWithinWatermark(EVENT_KEY)
 
 
-def daily_summary(moves: DataFrame, delay: str = f"{LATE_DAYS} days") -> DataFrame:
-    """Quantity and count per day and type; one state row per open day and type."""
-    return (moves.withWatermark("ts", delay).groupBy(F.window("ts", "1 day"), "movement_type")
+def daily_summary(moves: DataFrame, delay: str | None = None) -> DataFrame:
+    """Quantity and count per day and type, however late a row is: the state holds one row per day and type.
+
+    With a ``delay`` a day is closed that long after the newest row, and later
+    rows for it are dropped.
+    """
+    rows = moves if delay is None else moves.withWatermark("ts", delay)
+    return (rows.groupBy(F.window("ts", "1 day"), "movement_type")
             .agg(F.count(F.lit(1)).alias("txn_count"), F.sum(F.abs("qty")).alias("movement_qty"))
             .select(F.to_date("window.start").alias("summary_date"), "movement_type", "txn_count", "movement_qty"))
 

@@ -121,8 +121,8 @@ def test_top_share_equals_percent_rank(spark):
 def test_abc_classes_equal_brute_force(spark):
     rows = [r for r in skewed_items() if r[1] >= 0]
     total = sum(v for _, v in rows)
-    share = {v: sum(x for _, x in rows if x >= v) / total for v in {v for _, v in rows}}
-    want = {i: "A" if share[v] <= Decimal("0.8") else "B" if share[v] <= Decimal("0.95") else "C" for i, v in rows}
+    share = {v: sum(x for _, x in rows if x > v) / total for v in {v for _, v in rows}}
+    want = {i: "A" if share[v] < Decimal("0.8") else "B" if share[v] < Decimal("0.95") else "C" for i, v in rows}
     got = ordered.abc_classes(spark.createDataFrame(rows, "item string, v decimal(18,2)"), "v")
     assert {r["item"]: r["abc_class"] for r in got.collect()} == want
 

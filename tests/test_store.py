@@ -117,7 +117,7 @@ def test_summary_with_covering_delay_equals_batch(spark, data, store):
     folder = f"{store.root}/in"
     shuffled_files(spark, data, folder)
     stream = T.event_stream(spark, folder, files_per_trigger=1)
-    T.run_to_store(T.daily_summary(stream, "40 days"), store, "mart.event_daily", ["summary_date", "movement_type"], "summary_date", "update")
+    T.run_to_store(T.daily_summary(stream), store, "mart.event_daily", ["summary_date", "movement_type"], "summary_date", "update")
     assert store.read("mart.event_daily").agg(F.sum("txn_count")).first()[0] == day_totals(spark, data)
 
 
@@ -125,7 +125,7 @@ def test_summary_with_short_delay_drops_late_rows(spark, data, store):
     folder = f"{store.root}/in"
     shuffled_files(spark, data, folder)
     stream = T.event_stream(spark, folder, files_per_trigger=1)
-    T.run_to_store(T.daily_summary(stream), store, "mart.event_daily", ["summary_date", "movement_type"], "summary_date", "update")
+    T.run_to_store(T.daily_summary(stream, "3 days"), store, "mart.event_daily", ["summary_date", "movement_type"], "summary_date", "update")
     assert store.read("mart.event_daily").agg(F.sum("txn_count")).first()[0] < day_totals(spark, data)
 
 
@@ -143,3 +143,72 @@ def test_ingest_restart_adds_only_new_files(spark, data, store):
     assert drain() == half  # nothing new
     events.coalesce(1).write.mode("append").parquet(folder)  # the other half, and the first one again
     assert drain() == events.count()
+
+
+def test_rows_that_share_a_key_are_all_loaded(spark, store):
+    batch = rows(spark, ("2026-01-05", "a", 1), ("2026-01-05", "a", 2))
+    assert store.insert_absent(batch, "f.t", ["k"], "d") == 2
+    more = rows(spark, ("2026-01-05", "a", 3), ("2026-01-06", "b", 4), ("2026-01-06", "b", 5))
+    assert store.insert_absent(more, "f.t", ["k"], "d") == 2
+    assert store.read("f.t").count() == 4
+
+
+def test_insert_reads_only_the_days_of_the_batch(spark, store):
+    import datetime as dt
+    store.insert_absent(rows(spark, ("2026-01-05", "a", 1), ("2026-02-05", "b", 2)), "f.t", ["k"], "d")
+    plan = store.current_range("f.t", dt.date(2026, 2, 5), dt.date(2026, 2, 5))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "2026-02-05" in plan
+
+
+def test_counts_are_rows_loaded_not_rewritten(spark, store):
+    import datetime as dt
+    first = rows(spark, *[("2026-01-05", f"k{i}", i) for i in range(20)])
+    assert store.replace_range(first, "f.t", "d", dt.date(2026, 1, 5), dt.date(2026, 1, 5)) == 20
+    assert store.replace_keys(rows(spark, ("2026-01-05", "k3", 99)), "f.t", ["k"], "d") == 1
+    assert store.read("f.t").count() == 20
+
+
+def test_fiscal_running_totals_survive_an_incremental_run(spark, store, data, as_of):
+    import datetime as dt
+    from stockloom.operators import marts
+    from stockloom.plans import jobs
+    from stockloom.plans.warehouse import Warehouse
+    fact = Warehouse(spark, data).fact_goods_receipt_line
+    store.append(fact, "core.fact_goods_receipt_line", "gr_date")
+    run = lambda mode: jobs.Run(spark, None, store, 1, mode, None, None)
+    jobs.refresh_monthly_mart(run("full"), "sum_budget_burn_monthly", dt.date(1992, 1, 1), dt.date(1999, 12, 31))
+    jobs.refresh_monthly_mart(run("incremental"), "sum_budget_burn_monthly", dt.date(1997, 7, 3), dt.date(1997, 9, 3))
+    key = ["year_month", "actual_spend_amount", "ytd_actual_spend", "ytd_fiscal"]
+    read = lambda df: sorted(map(tuple, df.select(*key).collect()))
+    assert read(store.read("mart.sum_budget_burn_monthly")) == read(marts.budget_burn_monthly(fact).filter("year_month <= 199912"))
+
+
+def test_duplicate_codes_are_refused(spark):
+    from stockloom.operators import dims
+    twice = spark.createDataFrame([(1, "7"), (1, "7"), (2, "8")], "dim_vendor_id bigint, source_vendor_code string")
+    assert [r["dim_vendor_id"] for r in dims.colliding_ids(twice, "dim_vendor").collect()] == [1]
+
+
+def test_duplicate_keys_are_set_aside(spark):
+    from stockloom import schemas as S
+    from stockloom.operators import quality
+    key = S.STAGING["stock_balance"].unique
+    df = spark.createDataFrame([tuple(["x"] * len(key)), tuple(["x"] * len(key)), tuple(["y"] * len(key))], ", ".join(f"{c} string" for c in key))
+    kept, bad = quality.split_duplicates(df, "stock_balance")
+    assert kept.count() == 1 and bad.count() == 2
+
+
+def test_submit_entry(spark, store, data):
+    from stockloom.__main__ import main
+    assert main(["job", data, store.root, "ETL-002"], spark) == [1]
+    assert store.read_version("core.dim_warehouse").count() > 1
+
+
+def test_reads_over_jdbc_are_split():
+    import pytest
+    from stockloom.sources.extract import jdbc_options
+    assert jdbc_options("jdbc:x", "card", "ID", 1, 10)["numPartitions"] == "64"
+    assert "numPartitions" not in jdbc_options("jdbc:x", "dept", rows=10)
+    for bad in ({}, {"rows": 10**7}, {"column": "ID"}):
+        with pytest.raises(ValueError):
+            jdbc_options("jdbc:x", "card", **bad)
