@@ -54,4 +54,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_surrogates, op2_attention_scores, op3_window_packing, op4_near_vectors, op5_near_copies, op6_toxic_terms, op7_source_mix, op8_kd_shards, op9_prefix_counts, op10_quality_rules)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op10_quality_rules": r"""
+WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS body FROM documents),
+split AS (SELECT *, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS words,
+ list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM texts),
+grams AS (SELECT rid, i, array_to_string(words[i:i + 4], ' ') AS gram FROM (SELECT rid, words, unnest(range(1, len(words) - 3)) AS i FROM split WHERE len(words) >= 5)),
+twice AS (SELECT rid, i FROM grams QUALIFY count(*) OVER (PARTITION BY rid, gram) > 1),
+covered AS (SELECT rid, sum(least(5, next - i)) AS n FROM (SELECT rid, i, lead(i, 1, i + 5) OVER (PARTITION BY rid ORDER BY i) AS next FROM twice) GROUP BY rid),
+counted AS (SELECT s.*, CAST(len(words) AS BIGINT) AS n_words, array_to_string(words, '') AS chars, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+ CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines FROM split s LEFT JOIN covered c USING (rid)),
+measured AS (SELECT *, CAST(length(chars) AS BIGINT) AS word_chars, CAST(length(regexp_replace(chars, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+ length(regexp_replace(chars, '[^\p{Lu}]+', '', 'g')) AS n_capitals, length(regexp_replace(chars, '[^!?.,;:]+', '', 'g')) AS n_marks,
+ n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted),
+valued AS (SELECT rid, lang, source, unnest([
+ {'rule': 'symbols', 'v': 1000 * n_symbols // word_chars, 'reach': 4, 'slack': 60}, {'rule': 'capitals', 'v': 1000 * n_capitals // word_chars, 'reach': 4, 'slack': 250},
+ {'rule': 'marks', 'v': 1000 * n_marks // word_chars, 'reach': 4, 'slack': 180}, {'rule': 'dup_lines', 'v': 1000 * n_dup_lines // greatest(n_lines, 1), 'reach': 4, 'slack': 350},
+ {'rule': 'word_length', 'v': 100 * word_chars // n_words, 'reach': 4, 'slack': 600}], recursive := true) FROM measured WHERE NOT base_failed),
+binned AS (SELECT *, v - v % CAST(pow(2, greatest(length(bin(v)) - 8, 0)) AS BIGINT) AS b FROM valued),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY lang, source, rule ORDER BY b) AS upto, count(*) OVER (PARTITION BY lang, source, rule) AS total FROM binned),
+fences AS (SELECT lang, source, rule, min(CASE WHEN upto * 4 >= total THEN b END) AS q1, min(CASE WHEN upto * 4 >= total * 3 THEN b END) AS q3 FROM ranked GROUP BY 1, 2, 3),
+refused AS (SELECT DISTINCT rid FROM binned x JOIN fences f ON x.lang IS NOT DISTINCT FROM f.lang AND x.source IS NOT DISTINCT FROM f.source AND x.rule = f.rule
+ WHERE b > q3 + (q3 - q1) * reach + slack)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rid NOT IN (SELECT rid FROM refused) AS kept FROM measured"""}

@@ -174,3 +174,10 @@ def test_odd_rows(spark, odd):
     assert mixing.mix(clean).count() == clean.count() == sharding.sharded(odd).count()
     assert {r.n_entities for r in privacy.replaced(odd).collect()} == {0}
     assert mixing.mixed_documents(clean).columns == clean.columns
+
+
+def test_quality_equals_sql(spark, data):
+    from stockloom.llm import queries
+    from tests.compare import connect, differences
+    name = "op10_quality_rules"
+    assert differences(queries.QUERIES[name](spark, data), connect(data), queries.SQL[name]) == []
