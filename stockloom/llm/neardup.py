@@ -335,7 +335,8 @@ def classes(docs: DataFrame) -> DataFrame:
     family = written(family.join(sigs.select("id", "key", "total"), "id"))
     size = family.groupBy("family").agg((F.count("*") * F.sum("total")).alias("work"), F.count("*").alias("n"))
     family = written(family.join(size, "family").withColumn("large", (F.col("n") > TASK_TEXTS) | (F.col("work") > TASK_WORK)))
-    texts = written(docs.select("text", text_key().alias("key")).join(family.select("id", "key", "family", "large"), "key")
+    # families grow with the documents: joined by a shuffle at every size, never broadcast
+    texts = written(docs.select("text", text_key().alias("key")).join(family.select("id", "key", "family", "large").hint("merge"), "key")
                     .groupBy("id", "family", "large").agg(F.first("text").alias("text")))
     found = told_apart(texts.where("not large").select("family", "id", "text"))
     large = texts.where("large")
