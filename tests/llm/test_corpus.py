@@ -181,6 +181,8 @@ def test_model_is_a_distribution_and_trains():
     for i in range(8):
         scoring.fit(x, want, p, t, i)
     assert scoring.log_probs(scoring.forward(x, p, t)["logits"], want).sum() > before * 0.5
+    slow, fast = scoring.log_probs(scoring.forward(x, p, t)["logits"], want), scoring.scored_windows(x, want, p, t, scoring.projected(p, t))
+    assert np.allclose(slow, fast, atol=1e-3)
     # a later token changes nothing before it
     y = x[:1].copy()
     y[0, -1] = 7
