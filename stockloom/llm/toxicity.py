@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACE, map_arrow, written
+from .neardup import classes
 from .words import chunks, distinct, without_empty
 
 #: Folds by the CRC of the id; rows of fold 0 are held out.
@@ -157,10 +158,12 @@ def _counted(labelled: DataFrame) -> tuple[DataFrame, int, int]:
     """Families of texts with each word, by label.
 
     Near copies of one text would make all its rare words look toxic, so a
-    family, the texts with the same least word hash, counts once for a word.
+    family, the texts of one class of verified near copies, counts once for a
+    word; all other texts count each.
     """
     words = F.array_distinct(F.transform(F.split(F.lower("text"), f"[{SPACE}]+"), lambda w: F.regexp_replace(w, "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", "")))
-    texts = labelled.select("toxic", words.alias("words")).withColumn("family", F.array_min(F.transform("words", lambda w: F.xxhash64(w))))
+    families = classes(labelled.select("doc_id", "text")).select(F.col("doc_id").alias("_id"), F.col("class_id").alias("family"))
+    texts = written(labelled.join(families, F.col("doc_id") == F.col("_id")).select("toxic", "family", words.alias("words")))
     n = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.countDistinct("family").alias("n")).collect()}
     by_word = (texts.select("toxic", "family", F.explode("words").alias("word")).where("length(word) >= 3").distinct()
                .groupBy("word").agg(F.sum("toxic").cast("long").alias("pos"), F.count("*").alias("n")))

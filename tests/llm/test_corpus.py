@@ -151,6 +151,20 @@ def test_toxicity_learns_and_spares(spark):
     assert toxicity.toxicity(docs.limit(0), labels.limit(0)).count() == 0
 
 
+def test_toxic_terms_count_unrelated_texts_each(spark):
+    import random
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    common = [word() for _ in range(40)]
+    text = lambda: " ".join(w for c in common for w in (c, word()))
+    near = text().split()
+    rows = [(i, text(), i % 2) for i in range(40)] + [(100 + i, " ".join([*near[:-1], word()]), 1) for i in range(10)]
+    by_word, n_pos, n_neg = toxicity._counted(spark.createDataFrame(rows, "doc_id bigint, text string, toxic int"))
+    assert (n_pos, n_neg) == (21, 20)
+    got = {r.word: (r.pos, r.n) for r in by_word.collect()}
+    assert all(got[c] == (21, 41) for c in common) and got[near[1]] == (1, 1)
+
+
 def tokens(text):
     return [*WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or "")), None]
 
