@@ -316,10 +316,12 @@ def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, key, class_id, kept) for every row of ``docs``.
 
     class_id is the least doc_id of all documents that exact copies and links
-    of similarity 0.8 or more reach; kept marks the row with that id.  A null
-    text counts as an empty one; texts without words are copies of equal texts
-    only; repeated rows share their class; a null doc_id is the last choice; an
-    empty table gives no rows.
+    of similarity 0.8 or more reach; kept marks the row with that id, and the
+    least key among several such texts.  A null text counts as an empty one;
+    texts without words are copies of equal texts only; repeated rows share
+    their class; a null doc_id is the last choice, and a class without any id
+    has a null class_id, but keeps a text of its own; an empty table gives no
+    rows.
     """
     rows = written(signed(docs))
     distinct_texts = rows.groupBy("key").agg(F.min("doc_id").alias("least_id"), F.first("total").alias("total"), F.first("sig").alias("sig"))
@@ -344,17 +346,17 @@ def classes(docs: DataFrame) -> DataFrame:
         found = found.union(links(written(held.join(large.select("id"), "id", "left_semi").select("bucket", "id")), signs, large.select("id", "text")))
     part = components(found).withColumnRenamed("node", "id")
     whole = written(sigs.select("id", "key", "least_id").join(part, "id", "left").withColumn("component", F.coalesce("component", "id")))
-    least = whole.groupBy("component").agg(F.min("least_id").alias("class_id"))
-    named = whole.join(least, "component").select(F.col("key").alias("_key"), "class_id")
+    # nulls sort first in a struct, so an id goes before none by the flag
+    first = F.min(F.struct(F.col("least_id").isNull().alias("none"), "least_id", "key")).alias("first")
+    least = whole.groupBy("component").agg(first).select("component", F.col("first.least_id").alias("class_id"), F.col("first.key").alias("_first"))
+    named = whole.join(least, "component").select(F.col("key").alias("_key"), "class_id", "_first")
     out = rows.select("doc_id", "key").join(named, F.col("key") == F.col("_key"))
-    return out.select("doc_id", "key", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    return out.select("doc_id", "key", "class_id", (F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("key") == F.col("_first"))).alias("kept"))
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """One document of each class, with the columns of ``docs``; of repeated rows of one id, one."""
-    chosen = (classes(docs).where("kept").groupBy("class_id", F.col("doc_id").alias("_id")).agg(F.min("key").alias("_key"), F.count("*").alias("_n"))
-              .select("_id", "_key", "_n"))
-    chosen = written(chosen)
+    """One document of each class, with the columns of ``docs``; of repeated rows of one id and text, one."""
+    chosen = written(classes(docs).where("kept").groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.count("*").alias("_n")))
     kept = docs.withColumn("_own", text_key()).join(chosen, (F.col("_own") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
     once = kept.where("_n = 1").select(*docs.columns)
     return once.union(kept.where("_n > 1").dropDuplicates(["_own", "doc_id"]).select(*docs.columns))

@@ -71,6 +71,16 @@ def test_near_copies_of_odd_rows(odd, empty):
     assert neardup.without_copies(odd).count() == 5
 
 
+def test_near_copies_without_ids(spark):
+    text = lambda name, last: " ".join(f"{name}{k}" for k in range(60)) + f" {last}"
+    rows = [(None, text("a", "x")), (None, text("b", "x")), (None, text("b", "y")), (None, text("c", "x")), (None, text("c", "x")), (7, text("d", "x")), (None, text("d", "y")), (7, text("e", "x"))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = neardup.without_copies(docs).collect()
+    assert sorted((str(r.doc_id), r.text[0]) for r in got) == [("7", "d"), ("7", "e"), ("None", "a"), ("None", "b"), ("None", "c")]
+    marked = {(r.doc_id, r.key) for r in neardup.classes(docs).collect() if r.kept}
+    assert len(marked) == 5
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 140), (140, 120), (7, 7)]
     got = {r.node: r.component for r in common.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
