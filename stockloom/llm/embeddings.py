@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 from .common import again, components, importable, map_arrow, written
 
 COSINE = 0.93
-#: Vectors that the codebooks and the number of visited cells are fitted on, at most; every vector is indexed.
+#: Vectors that the codebooks are fitted on, at most; every vector is indexed.
 SAMPLE = 20_000
-#: Mean vectors per cell that the codebooks aim at, the largest codebook, and the cells a query visits at most.
+#: Mean vectors per cell that the codebooks aim at, the largest codebook, and the cells a query visits at most; where
+#: that finds too few links, cells are made larger, up to whole labels.
 PER_CELL, MAX_CODES, MAX_VISITS = 64, 256, 128
-#: Share of the sample's links that the visits must find.
+#: Share of a vector's links that the visits must find, in the mean of the measured vectors.
 RECALL = 0.9998
+#: Vectors compared with all of their label to measure that, at first and at most, and those with links that are enough.
+QUERIES, MAX_QUERIES, ENOUGH = 16_384, 65_536, 5000
 #: Points and queries that meet in one task at once.
 BLOCK = 4096
 
@@ -69,28 +72,96 @@ def nearest_cells(x: np.ndarray, first: np.ndarray, second: np.ndarray, visits:
     return np.take_along_axis(o1, i[best], 1) * len(second) + np.take_along_axis(o2, j[best], 1)
 
 
-def fitted(sample: np.ndarray, labels: np.ndarray, n: int, cosine: float, recall: float) -> tuple[np.ndarray, np.ndarray, int]:
-    """Codebooks for ``n`` vectors, and the visits with which the sample's links are found at the wanted recall."""
-    groups = max(1, len(np.unique(labels)))
-    k = int(np.clip(np.sqrt(n / groups / PER_CELL), 1, MAX_CODES))
-    h = sample.shape[1] // 2
-    first, second = codebook(sample[:, :h], k), codebook(sample[:, h:], k)
-    most = min(MAX_VISITS, len(first) * len(second))
-    ranks = []
-    for label in np.unique(labels):
-        x = sample[labels == label]
-        own = nearest_cells(x, first, second, 1)[:, 0]
-        for start in range(0, len(x), 1024):
-            a, b = np.nonzero(x[start:start + 1024] @ x.T >= cosine)
-            pairs = np.flatnonzero(a + start != b)[:200_000]
-            if len(pairs):
-                cells = nearest_cells(x[start:start + 1024], first, second, most)
-                hit = cells[a[pairs]] == own[b[pairs]][:, None]
-                ranks.append(np.where(hit.any(axis=1), hit.argmax(axis=1), most))
-    if not ranks:
-        return first, second, most
+def ranks(x: np.ndarray, cells: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """For each row, how many cells of the product grid are nearer to it than the given one, or as near."""
+    h = x.shape[1] // 2
+    d1, d2 = distances(x[:, :h], first), distances(x[:, h:], second)
+    at = np.arange(len(x))
+    own = d1[at, cells // len(second)] + d2[at, cells % len(second)]
+    out = np.empty(len(x), np.int64)
+    step = max(1, (1 << 22) // (len(first) * len(second)))
+    for start in range(0, len(x), step):
+        part = slice(start, start + step)
+        out[part] = (d1[part, :, None] + d2[part, None, :] <= own[part, None, None]).sum(axis=(1, 2)) - 1
+    return out
+
+
+def measured(points: DataFrame, queries: list[tuple[int, int, bytes]], first: np.ndarray, second: np.ndarray, cosine: float) -> np.ndarray:
+    """(query, rank, links) as rows: to how many points of its label each query is linked whose cell is the rank-th nearest to it.
+
+    Ranks are binned to their top four bits, rounded up, so what comes back is
+    bounded by the queries, however many links they have.
+    """
+    spark = points.sparkSession
+    ids, of = np.array([q[0] for q in queries]), np.array([q[1] for q in queries])
+    shared = spark.sparkContext.broadcast((ids, of, np.frombuffer(b"".join(q[2] for q in queries), np.float64).reshape(len(ids), -1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, of, q = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.frombuffer(b"".join(batch.column("x").to_pylist()), np.float64).reshape(batch.num_rows, -1)
+            own, pid, label = nearest_cells(x, first, second, 1)[:, 0], batch.column("id").to_numpy(), batch.column("label").to_numpy()
+            n_cells, bins = len(first) * len(second), []
+            for name in np.unique(label):
+                mine, theirs = np.flatnonzero(of == name), np.flatnonzero(label == name)
+                for start in range(0, len(mine), 256):
+                    some = mine[start:start + 256]
+                    a, b = np.nonzero((q[some] @ x[theirs].T >= cosine) & (ids[some][:, None] != pid[theirs][None, :]))
+                    pair, n = np.unique(some[a] * n_cells + own[theirs[b]], return_counts=True)
+                    if len(pair):
+                        r = ranks(q[pair // n_cells], pair % n_cells, first, second)
+                        width = np.left_shift(1, np.maximum(np.frexp(r.astype(np.float64))[1] - 4, 0))
+                        bins.append(np.stack([pair // n_cells, r - r % width + width - 1, n]))
+            if bins:
+                both = np.concatenate(bins, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in both], names=["query", "rank", "links"])
+
+    found = map_arrow(points.select("id", "label", "x"), run, "query bigint, rank bigint, links bigint").groupBy("query", "rank").agg(F.sum("links").alias("links")).toArrow()
+    return np.stack([found.column(c).to_numpy() for c in ("query", "rank", "links")], axis=1).astype(np.int64)
+
+
+def visits_for(found: np.ndarray, recall: float) -> int:
+    """The visits that find the wanted share of a query's links, in the mean of the queries that have any."""
+    if not len(found):
+        return 1
+    query = np.unique(found[:, 0], return_inverse=True)[1]
+    weight = found[:, 2] / np.bincount(query, found[:, 2])[query]
+    order = np.argsort(found[:, 1], kind="stable")
+    upto = np.cumsum(weight[order]) / weight.sum()
     # a link is found from either end, so one end may miss it
-    return first, second, int(min(most, np.quantile(np.concatenate(ranks), 1 - (1 - recall) / 2, method="higher") + 1))
+    return int(found[order[min(np.searchsorted(upto, 1 - (1 - recall) / 2 - 1e-12), len(order) - 1)], 1]) + 1
+
+
+def fitted(points: DataFrame, sample: np.ndarray, groups: int, n: int, cosine: float, recall: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """Codebooks for ``n`` points, and the visits with which the measured vectors' links are found at the wanted recall.
+
+    Queries, chosen by a hash, are compared with all points of their labels;
+    there are more where few have links.  Codebooks whose cells would need more
+    than ``MAX_VISITS`` visits give way to ones of half the codes; a single
+    cell is the whole label.  That is also taken where too few queries are
+    linked to tell.
+    """
+    k = int(np.clip(np.sqrt(n / groups / PER_CELL), 1, MAX_CODES))
+    h, many = sample.shape[1] // 2, min(QUERIES, n)
+    while k > 1:
+        first, second = codebook(sample[:, :h], k), codebook(sample[:, h:], k)
+        while True:
+            chosen = points.select("id", "label", "x").orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(many).toArrow()
+            queries = list(zip(*(chosen.column(c).to_pylist() for c in ("id", "label", "x"))))
+            found = measured(points, queries, first, second, cosine)
+            known = many >= n or len(np.unique(found[:, 0])) >= ENOUGH
+            if known or many >= MAX_QUERIES:
+                break
+            many = min(4 * many, MAX_QUERIES, n)
+        if not known:
+            break
+        visits = min(visits_for(found, recall), len(first) * len(second))
+        if visits <= MAX_VISITS:
+            return first, second, visits
+        k //= 2
+    return codebook(sample[:, :h], 1), codebook(sample[:, h:], 1), 1
 
 
 def indexed(vectors: DataFrame, first: np.ndarray, second: np.ndarray, visits: int) -> DataFrame:
@@ -200,7 +271,7 @@ def near_copies(vectors: DataFrame, cosine: float = COSINE, recall: float = RECA
     if not sample.num_rows:
         sample = points.select("label", "x").orderBy("id").limit(1).toArrow()
     x = np.frombuffer(b"".join(sample.column("x").to_pylist()), np.float64).reshape(sample.num_rows, -1)
-    first, second, visits = fitted(x, sample.column("label").to_numpy(), n, cosine, recall)
+    first, second, visits = fitted(points, x, points.select("label").distinct().count(), n, cosine, recall)
     index = written(indexed(points.select("id", "label", "n", "x"), first, second, visits))
     probes = again(index).select("id", "label", "n", "x", "own", F.explode("visited").alias("cell"))
     size = index.groupBy("label", F.col("own").alias("cell")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks_p"))

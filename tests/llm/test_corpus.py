@@ -107,6 +107,40 @@ def test_vectors_equal_brute_force(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+def test_vectors_of_many_cells(spark, monkeypatch):
+    """A large group of near copies beside sparse links, more cells than visits, and queries that are a part of all vectors."""
+    monkeypatch.setattr(embeddings, "PER_CELL", 2)
+    monkeypatch.setattr(embeddings, "MAX_VISITS", 6)
+    monkeypatch.setattr(embeddings, "QUERIES", 64)
+    monkeypatch.setattr(embeddings, "ENOUGH", 1000)
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal((900, 16))
+    x = np.concatenate([base, base + rng.standard_normal(base.shape) * 0.33, base[:1] + rng.standard_normal((700, 16)) * 0.02])
+    rows = [(i, [float(v) for v in r], 1) for i, r in enumerate(x)]
+    got = {r.vec_id: r.n_links for r in embeddings.near_copies(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")).collect()}
+    u = np.float32(x).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    near = u @ u.T >= 0.93
+    np.fill_diagonal(near, False)
+    want = near.sum(axis=1)
+    linked = [i for i in range(len(x)) if want[i]]
+    assert len(linked) > 1500 and all(got[i] <= want[i] for i in range(len(x)))
+    assert np.mean([got[i] / want[i] for i in linked]) >= 0.999
+
+
+def test_visits_weigh_vectors_alike():
+    found = np.array([[0, 0, 10**6], [1, 0, 1], [2, 40, 1]])
+    assert embeddings.visits_for(found, 0.9) == 41 and embeddings.visits_for(found[:0], 0.9) == 1
+
+
+def test_ranks_follow_the_traversal():
+    rng = np.random.default_rng(2)
+    x, first, second = rng.standard_normal((50, 6)), rng.standard_normal((7, 3)), rng.standard_normal((5, 3))
+    cells = embeddings.nearest_cells(x, first, second, 35)
+    for k in (0, 6, 34):
+        assert (embeddings.ranks(x, cells[:, k], first, second) == k).all()
+
+
 def test_odd_vectors(spark):
     rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, None, 1), (3, [0.0, 0.0], 1), (4, [float("nan"), 1.0], 1), (5, [1.0, 0.01], 1),
             (6, [1.0, 0.01], None), (7, [1.0], 1), (8, [None, 1.0], 1), (9, [1.0, 0.0], 2)]
