@@ -225,6 +225,29 @@ def test_scores(spark, documents, odd):
     assert all(r.score < 0 for r in got)
 
 
+def test_rare_beginnings_count_as_well(spark, documents, monkeypatch):
+    """Scores do not depend on how many beginnings every task gets."""
+    monkeypatch.setattr(scoring, "ROUNDS", 0)
+    docs = documents.select("doc_id", "text").limit(60)
+    full = {r.doc_id: r.score for r in scoring.scores(docs).collect()}
+    monkeypatch.setattr(scoring, "TOP_BEGINNINGS", 100)
+    assert {r.doc_id: r.score for r in scoring.scores(docs).collect()} == pytest.approx(full, rel=1e-6)
+
+
+def test_all_training_texts_move_the_weights(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    fit = scoring.fit
+    def counted(x, *rest):
+        seen.add(len(x))
+        fit(x, *rest)
+    monkeypatch.setattr(scoring, "fit", counted)
+    monkeypatch.setattr(scoring, "ROUNDS", 1)
+    t = scoring.Tables(np.ones(32000))
+    docs = spark.createDataFrame([(i, "one two three") for i in range(100)], "doc_id bigint, text string")
+    weights = scoring.trained(docs, t, scoring.public_tokenizers.path(scoring.FILE))
+    assert weights["out"].shape == (scoring.WIDTH, 256) and seen.value == 100
+
+
 def test_model_is_a_distribution_and_trains():
     rng = np.random.default_rng(0)
     ids = np.tile(np.array([3, 5, 9, 11], np.int32), 400)
