@@ -72,11 +72,13 @@ class Automaton:
 
     LIMIT = 200_000
 
-    def __init__(self, terms: dict[str, tuple[bool, float]]):
+    def __init__(self, terms: dict[str, tuple[bool, float]], words: frozenset[str] = frozenset()):
         self.trie, self.terms = Trie(), terms
+        for term in words:  # stems that are whole terms too, with the edits of those
+            self.trie.add(term, False, allowed_errors(term, False))
         for term, (is_stem, _) in terms.items():
             self.trie.add(term, is_stem, allowed_errors(term, is_stem))
-        self.most = max((allowed_errors(t, s) for t, (s, _) in terms.items()), default=0)
+        self.most = max((allowed_errors(t, s and t not in words) for t, (s, _) in terms.items()), default=0)
         # the most edits any term below a node allows: nothing is followed further
         self.room = [-1] * len(self.trie.children)
         for node in range(len(self.trie.children) - 1, -1, -1):
@@ -118,7 +120,7 @@ class Automaton:
                     reach[node] = e
 
             for node, e in self.states[state]:
-                if node in self.trie.stem:
+                if node in self.trie.stem and e <= self.trie.stem[node][1]:
                     put(node, e)  # a stem takes any ending
                 put(node, e + 1)  # a letter too many
                 for c, child in self.trie.children[node].items():
@@ -147,6 +149,8 @@ class Model:
     bias: float = -3.0
     #: What a misspelling tells, by (term, edits), as far as labelled texts show it.
     fuzzy: dict[tuple[str, int], float] = field(default_factory=dict)
+    #: Stems that are whole terms as well.
+    words: frozenset[str] = frozenset()
 
     def weight(self, term: str, edits: int) -> float:
         """Logarithm of the odds that a match adds; never below nothing."""
@@ -175,7 +179,8 @@ def learn(labelled: DataFrame) -> Model:
 
     Words are counted by Spark; only those with enough toxic texts, at most
     ``MAX_TERMS`` of each kind, reach the driver.  A stem is kept where many
-    different words begin with it and no learned term already covers it.
+    different words begin with it and no shorter one already covers it; whole
+    terms stay beside it, as they allow edits.
     """
     by_word, n_pos, n_neg = _counted(labelled)
     if not n_pos:
@@ -195,11 +200,13 @@ def learn(labelled: DataFrame) -> Model:
     for stem, pos, n in sorted(take(stems, "stem"), key=lambda x: len(x[0])):
         if not any(stem.startswith(s) for s in terms):
             terms[stem] = (True, odds(pos, n))
-    covered = tuple(terms)
+    both = set()
     for word, pos, n in take(whole, "word"):
-        if not word.startswith(covered or ("\0",)):
+        if word in terms:
+            both.add(word)
+        else:
             terms[word] = (False, odds(pos, n))
-    return Model(terms, bias=math.log((n_pos + 1) / (n_neg + 1)))
+    return Model(terms, bias=math.log((n_pos + 1) / (n_neg + 1)), words=frozenset(both))
 
 
 def hits(words: list[str], index: np.ndarray, sizes: np.ndarray, automaton: Automaton, seen: dict[str, tuple[str, int] | None]) -> dict[int, list[tuple[int, str, int]]]:
@@ -256,7 +263,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     of the prior; repeated rows score alike; an empty table gives no rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, seen = Automaton(model.terms), {}
+        automaton, seen = Automaton(model.terms, model.words), {}
         for batch in batches:
             for rows, texts in chunks(batch):
                 values, index, sizes = distinct(pc.ascii_split_whitespace(texts))
@@ -285,7 +292,7 @@ def calibrated(texts: DataFrame, model: Model) -> Model:
     those that no labelled text has keep what their length and edits tell.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, seen = Automaton(model.terms), {}
+        automaton, seen = Automaton(model.terms, model.words), {}
         for batch in batches:
             for rows, own in chunks(batch):
                 values, index, sizes = distinct(pc.ascii_split_whitespace(own))
@@ -306,7 +313,7 @@ def calibrated(texts: DataFrame, model: Model) -> Model:
     odds = lambda pos, n: math.log((pos + 0.1) / (n - pos + 0.5)) - model.bias
     fuzzy = {}
     for t, (is_stem, w) in model.terms.items():
-        for e in range(1, allowed_errors(t, is_stem) + 1):
+        for e in range(1, allowed_errors(t, is_stem and t not in model.words) + 1):
             seen_here = found.get((t, e)) or pooled.get((len(t), e))
             if seen_here:
                 own = min(w, odds(*seen_here))

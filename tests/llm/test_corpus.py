@@ -195,6 +195,20 @@ def test_toxicity_learns_and_spares(spark):
     assert toxicity.toxicity(docs.limit(0), labels.limit(0)).count() == 0
 
 
+def test_misspelt_terms_that_a_stem_covers(spark):
+    import random
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abdegh") for _ in range(6))
+    bad = ["scoun", "scoundrel", "scounder", "scounding", "scounly", "scounish"]
+    rows = [(i, " ".join([word() for _ in range(12)] + [bad[i // 2 % 6]] * (i % 2)), i % 2) for i in range(240)]
+    model = toxicity.learn(spark.createDataFrame(rows, "doc_id bigint, text string, toxic int"))
+    assert "scou" in model.terms and model.terms["scou"][0]
+    a = toxicity.Automaton(model.terms, model.words)
+    assert a.match("skoundrel") == ("scoundrel", 1) and a.match("scoundrels") == ("scou", 0) and a.match("skouxxxndrel") is None
+    a = toxicity.Automaton({"idiot": (True, 1.0)}, frozenset({"idiot"}))
+    assert a.match("idoot") == ("idiot", 1) and a.match("idiotic") == ("idiot", 0) and a.match("idootic") is None
+
+
 def test_toxic_terms_count_unrelated_texts_each(spark):
     import random
     rng = random.Random(8)
