@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embeddings, mixing, neardup, packing, privacy, quality, scoring, sharding, tokencounts, toxicity
+from . import embeddings, fourier, mixing, neardup, packing, prefixtrie, privacy, quality, repair, scoring, sharding, tokencounts, toxicity
 from .common import read
 
 
@@ -51,8 +51,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(read(spark, sf_dir, "conversations"))
+
+
+def op12_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fourier.classified(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repairs(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_surrogates, op2_attention_scores, op3_window_packing, op4_near_vectors, op5_near_copies, op6_toxic_terms, op7_source_mix, op8_kd_shards, op9_prefix_counts, op10_quality_rules)}
+    f.__name__: f for f in (op1_surrogates, op2_attention_scores, op3_window_packing, op4_near_vectors, op5_near_copies, op6_toxic_terms, op7_source_mix, op8_kd_shards, op9_prefix_counts, op10_quality_rules,
+                                op11_prefix_trie, op12_quality_scores, op13_structure_repair)}
 
 SQL: dict[str, str] = {"op10_quality_rules": r"""
 WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS body FROM documents),
