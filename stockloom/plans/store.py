@@ -19,7 +19,10 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from stockloom.plans.keyindex import KeyIndex
+
 PART = "part"
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder of rows without a date
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -120,20 +123,20 @@ class Store:
         df = new.observe(loaded, F.count(F.lit(1)).alias("n"))
         if kept is not None:
             df = df.unionByName(kept.select(*new.columns))
-        out = df.hint("rebalance", PART).observe(seen, F.collect_set(PART).alias("parts"))
+        out = df.hint("rebalance", PART).observe(seen, F.collect_set(PART).alias("parts"), F.count_if(F.col(PART).isNull()).alias("undated"))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self.path(table)))
-        return _metric(loaded, "n", 0), set(_metric(seen, "parts", []))
+        return _metric(loaded, "n", 0), set(_metric(seen, "parts", [])) | ({None} if _metric(seen, "undated", 0) else set())
 
-    def _drop_parts(self, table: str, parts: set[dt.date]) -> None:
+    def _drop_parts(self, table: str, parts: set[dt.date | None]) -> None:
         for day in parts:
-            fs, p = self._fs(f"{self.path(table)}/{PART}={day.isoformat()}")
+            fs, p = self._fs(f"{self.path(table)}/{PART}={NO_DATE if day is None else day.isoformat()}")
             if fs.exists(p):
                 fs.delete(p, True)
 
     def parts(self, table: str) -> set[dt.date]:
         """Partitions on disk."""
         names = self._children(self.path(table))
-        return {dt.date.fromisoformat(n.split("=", 1)[1]) for n in names if n.startswith(f"{PART}=")}
+        return {dt.date.fromisoformat(n.split("=", 1)[1]) for n in names if n.startswith(f"{PART}=") and not n.endswith(NO_DATE)}
 
     def replace_range(self, df: DataFrame, table: str, date: str, low: dt.date, high: dt.date) -> int:
         """Make the rows of a closed date range exactly ``df``; returns the rows of ``df``."""
@@ -157,37 +160,78 @@ class Store:
             kept = (current.join(months, PART, "left_semi").join(new.select(date).distinct(), date, "left_anti"))
         return self._overwrite_parts(new, table, kept)[0]
 
-    def replace_keys(self, df: DataFrame, table: str, key: list[str], date: str) -> int:
+    def replace_keys(self, df: DataFrame, table: str, key: list[str], date: str,
+                     before: Callable[[set[dt.date | None]], None] | None = None) -> int:
         """Delete the rows that share a key with ``df`` wherever they are, then add ``df``.
 
-        Only partitions that hold such a row or receive a new one are rewritten.
+        The key index tells which partitions hold such a row; they and the ones
+        that receive a new row are rewritten, no other is read.  ``before``
+        hears of them first.
         """
         new = df.withColumn(PART, self.part(F.col(date)))
-        if not self.exists(table):
-            return self._overwrite_parts(new, table)[0]
-        current = self.spark.read.parquet(self.path(table))
-        wanted = df.select(*key).distinct()
-        hit = current.join(wanted, key, "left_semi").select(PART).union(new.select(PART)).distinct()
-        touched = sorted(r[0] for r in hit.collect())  # at most one value per partition of the table
-        kept = current.filter(F.col(PART).isin(*touched)).join(wanted, key, "left_anti")
-        rows, written = self._overwrite_parts(new, table, kept)
-        self._drop_parts(table, set(touched) - written)
-        return rows
+        index = KeyIndex(self, table, key, PART)
+        wanted = new.select(*key, PART).distinct().persist()
+        try:
+            hit = index.parts(wanted)
+            arriving = {r[0] for r in wanted.select(PART).distinct().collect()}
+            if before is not None:
+                before(hit | arriving)
+            index.add(wanted)
+            if not self.exists(table):
+                return self._overwrite_parts(new, table)[0]
+            touched = hit | arriving
+            kept = self.read_parts(table, touched).join(wanted.select(*key).distinct(), key, "left_anti")
+            rows, written = self._overwrite_parts(new, table, kept)
+            self._drop_parts(table, touched - written)
+            return rows
+        finally:
+            wanted.unpersist()
+
+    def insert_absent(self, df: DataFrame, table: str, key: list[str], date: str,
+                      before: Callable[[set[dt.date | None]], None] | None = None) -> int:
+        """Add the rows whose key the table does not hold, whatever its date there.
 
-    def insert_absent(self, df: DataFrame, table: str, key: list[str], date: str) -> int:
-        """Add the rows whose key the table does not hold; a key keeps its date, so only the batch's dates are looked at."""
+        Only partitions that the key index names are read.  ``before`` hears of
+        the partitions that may receive rows.
+        """
         from stockloom.operators.facts import insert_absent
-        if not self.exists(table):
+        new = df.withColumn(PART, self.part(F.col(date)))
+        index = KeyIndex(self, table, key, PART)
+        wanted = new.select(*key, PART).distinct().persist()
+        try:
+            hit = index.parts(wanted)
+            if before is not None:
+                before({r[0] for r in wanted.select(PART).distinct().collect()})
+            index.add(wanted)
+            if hit and self.exists(table):
+                df = insert_absent(self.read_parts(table, hit), df, key)
             return self.append(df, table, date)
-        span = df.agg(F.min(F.col(date).cast("date")).alias("low"), F.max(F.col(date).cast("date")).alias("high")).first()
-        if span["low"] is None:
-            return 0 if df.isEmpty() else self.append(insert_absent(self.read(table), df, key), table, date)
-        return self.append(insert_absent(self.current_range(table, span["low"], span["high"]), df, key), table, date)
+        finally:
+            wanted.unpersist()
 
-    def current_range(self, table: str, low: dt.date, high: dt.date) -> DataFrame:
-        """The partitions that hold a date range, and rows without a date; others are not read."""
+    def read_parts(self, table: str, parts: set[dt.date | None]) -> DataFrame:
+        """Rows of these partitions (with their partition column); no other is read."""
         df = self.spark.read.parquet(self.path(table))
-        return df.filter(F.col(PART).between(F.lit(self.part_of(low)), F.lit(self.part_of(high))) | F.col(PART).isNull()).drop(PART)
+        days = sorted(p for p in parts if p is not None)
+        chosen = F.col(PART).isin(days) if days else F.lit(False)
+        return df.filter(chosen | F.col(PART).isNull()) if None in parts else df.filter(chosen)
+
+    def read_ranges(self, table: str, column: str, ranges: list[tuple[dt.date, dt.date]]) -> DataFrame:
+        """Rows of closed date ranges that don't overlap; the partition filter is implied by them."""
+        df, chosen = self.spark.read.parquet(self.path(table)), F.lit(False)
+        for low, high in ranges:
+            chosen = chosen | (F.col(PART).between(F.lit(self.part_of(low)), F.lit(self.part_of(high))) & F.col(column).between(F.lit(low), F.lit(high)))
+        return df.filter(chosen).drop(PART)
+
+    def replace_parts(self, df: DataFrame, table: str, date: str, parts: set[dt.date]) -> int:
+        """Make these partitions exactly ``df``, whose rows lie in them; emptied ones go."""
+        rows, written = self._overwrite_parts(df.withColumn(PART, self.part(F.col(date))), table)
+        self._drop_parts(table, (self.parts(table) & parts) - written)
+        return rows
+
+    def reindex(self, table: str, key: list[str]) -> int:
+        """Rebuild the key index of a fact without entries of rows that moved or were archived."""
+        return KeyIndex(self, table, key, PART).rebuild()
 
     # versioned tables -------------------------------------------------------------------
     def _pointer(self, table: str) -> str:

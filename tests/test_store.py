@@ -153,11 +153,66 @@ def test_rows_that_share_a_key_are_all_loaded(spark, store):
     assert store.read("f.t").count() == 4
 
 
-def test_insert_reads_only_the_days_of_the_batch(spark, store):
-    import datetime as dt
-    store.insert_absent(rows(spark, ("2026-01-05", "a", 1), ("2026-02-05", "b", 2)), "f.t", ["k"], "d")
-    plan = store.current_range("f.t", dt.date(2026, 2, 5), dt.date(2026, 2, 5))._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: []" not in plan and "2026-02-05" in plan
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("grain", ["day", "month"])
+def test_a_key_whose_date_moved_is_stored_once(spark, grain):
+    s = Store(spark, work_folder(spark, "moved"), grain)
+    assert s.insert_absent(rows(spark, ("2026-01-05", "a", 1), ("2026-01-06", "b", 2)), "f.t", ["k"], "d") == 2
+    assert s.insert_absent(rows(spark, ("2026-03-09", "a", 9), ("2025-02-01", "c", 3)), "f.t", ["k"], "d") == 1
+    assert values(s.read("f.t"), "k", "v") == [("a", 1), ("b", 2), ("c", 3)]
+    heard = []
+    assert s.replace_keys(rows(spark, ("2026-04-01", "a", 4)), "f.t", ["k"], "d", heard.append) == 1
+    assert values(s.read("f.t"), "k", "v") == [("a", 4), ("b", 2), ("c", 3)]
+    assert heard and {s.part_of(dt.date(2026, 4, 1)), s.part_of(dt.date(2026, 1, 5))} <= heard[0]
+
+
+def test_rows_without_a_date_keep_their_key(spark, store):
+    undated = spark.createDataFrame([(None, "n", 1)], "d date, k string, v int")
+    assert store.insert_absent(undated, "f.t", ["k"], "d") == 1
+    assert store.insert_absent(rows(spark, ("2026-01-05", "n", 2), ("2026-01-05", "m", 2)), "f.t", ["k"], "d") == 1
+    assert store.parts("f.t") == {dt.date(2026, 1, 5)}
+    assert store.replace_keys(rows(spark, ("2026-01-07", "n", 3)), "f.t", ["k"], "d") == 1
+    assert values(store.read("f.t"), "k", "v") == [("m", 2), ("n", 3)]
+
+
+def test_a_load_reads_only_buckets_and_partitions_of_its_keys(spark, store):
+    from stockloom.plans.keyindex import BUCKET, KeyIndex
+    many = spark.range(2000).selectExpr("date_add(date'2026-01-01', cast(id % 50 as int)) as d", "concat('k', id) as k", "cast(id as int) as v")
+    store.insert_absent(many, "f.t", ["k"], "d")
+    index = KeyIndex(store, "f.t", ["k"], "part")
+    one = rows(spark, ("2026-09-09", "k7", 0))
+    assert index.parts(one) == {dt.date(2026, 1, 8)}
+    plan = plan_of(index.entries(one))
+    assert f"PartitionFilters: [{BUCKET}" in plan.replace("isnotnull(", "") or f"({BUCKET}#" in plan and "PartitionFilters: []" not in plan
+    plan = plan_of(store.read_parts("f.t", index.parts(one)))
+    assert "PartitionFilters: []" not in plan and "2026-01-08" in plan
+
+
+def test_index_of_an_older_table_and_its_rebuild(spark, store):
+    from stockloom.plans.keyindex import KeyIndex
+    store.append(rows(spark, ("2026-01-05", "a", 1), ("2026-02-05", "b", 2)), "f.t", "d")  # written without an index
+    assert store.insert_absent(rows(spark, ("2026-05-05", "b", 2)), "f.t", ["k"], "d") == 0
+    store.replace_keys(rows(spark, ("2026-06-01", "a", 5)), "f.t", ["k"], "d")
+    index = KeyIndex(store, "f.t", ["k"], "part")
+    first = index.buckets()
+    assert len(index.parts(rows(spark, ("2026-01-01", "a", 0)))) == 2  # where it was and is
+    assert store.reindex("f.t", ["k"]) > first
+    assert index.parts(rows(spark, ("2026-01-01", "a", 0))) == {dt.date(2026, 6, 1)}
+
+
+def test_a_load_broken_after_its_index_loads_again(spark, store, monkeypatch):
+    store.insert_absent(rows(spark, ("2026-01-05", "a", 1)), "f.t", ["k"], "d")
+    batch = rows(spark, ("2026-01-05", "a", 2), ("2026-01-06", "b", 2))
+    real = Store.append
+    monkeypatch.setattr(Store, "append", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        store.insert_absent(batch, "f.t", ["k"], "d")
+    monkeypatch.setattr(Store, "append", real)
+    assert store.insert_absent(batch, "f.t", ["k"], "d") == 1
+    assert values(store.read("f.t"), "k", "v") == [("a", 1), ("b", 2)]
 
 
 def test_counts_are_rows_loaded_not_rewritten(spark, store):
