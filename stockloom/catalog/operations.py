@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from stockloom import schemas as S
+from stockloom.catalog.loads import BURN_SQL
 from stockloom.catalog.registry import query
 from stockloom.catalog.views import doubles
 from stockloom.operators import marts, quality as Q
@@ -312,6 +313,38 @@ def _(w):
         F.count(F.lit(1)).alias("row_count"), F.sum("qty").alias("qty"))
 
 
+def _receipts_runner(w, name):
+    """A store with all receipts, a month of which it then holds at three times their value, and its marts."""
+    runner = _runner(w, name, {c: j for c, j in JOBS.items() if c in (*MASTERS, "ETL-008", "ETL-009")})
+    for code in (*MASTERS, "ETL-008"):
+        runner.run_job(code)
+    store, table = runner.store, "core.fact_goods_receipt_line"
+    wrong = store.read_range(table, "gr_date", *OLD_MONTH).withColumn("received_value", (F.col("received_value") * 3).cast("decimal(18,2)"))
+    store.replace_keys(wrong, table, ["gr_no", "dim_item_id", "dim_warehouse_id"], "gr_date")
+    runner.run_job("ETL-009")
+    return runner
+
+
+OLD_MONTH = (dt.date(1998, 5, 1), dt.date(1998, 5, 31))
+
+
+@query("job_03b_repair_running_totals", BURN_SQL)
+def _(w):
+    """Spend and running totals of all months after an old month of receipts was repaired."""
+    runner = _receipts_runner(w, "totals")
+    runner.run_job("ETL-008", "repair", *OLD_MONTH)
+    runner.run_job("ETL-009", "repair", *OLD_MONTH)
+    return runner.store.read("mart.sum_budget_burn_monthly").drop("month_start")
+
+
+@query("job_04b_backfill_running_totals", BURN_SQL)
+def _(w):
+    """The same after a backfill of three old months."""
+    runner = _receipts_runner(w, "totals")
+    runner.backfill(dt.date(1998, 4, 1), dt.date(1998, 6, 30))
+    return runner.store.read("mart.sum_budget_burn_monthly").drop("month_start")
+
+
 @query("job_04_backfill", f"""
 SELECT CAST(strftime(txn_date,'%Y%m') AS BIGINT) AS year_month, {CNT} AS row_count, CAST(sum(qty) AS DOUBLE) AS qty FROM movement_src
 WHERE txn_date BETWEEN DATE '1999-04-15' AND DATE '1999-06-30' GROUP BY 1""")

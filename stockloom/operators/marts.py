@@ -107,18 +107,19 @@ def last_issue(movements: DataFrame) -> DataFrame:
             .agg(F.max("txn_date").alias("last_issue_date")))
 
 
-def dead_stock_daily(snapshot: DataFrame, movements: DataFrame, low=None, high=None, as_of_snapshot: bool = False,
-                     dead_days: int = S.DEAD_STOCK_DAYS, slow_days: int = S.SLOW_STOCK_DAYS) -> DataFrame:
+def dead_stock_daily(snapshot: DataFrame, movements: DataFrame | None, low=None, high=None, as_of_snapshot: bool = False,
+                     dead_days: int = S.DEAD_STOCK_DAYS, slow_days: int = S.SLOW_STOCK_DAYS, issues: DataFrame | None = None) -> DataFrame:
     """Days since the last issue, with dead and slow flags.
 
     The last issue is the newest one known at all and may follow the snapshot;
     ``as_of_snapshot`` takes the newest one up to the snapshot day instead.
+    ``issues`` are stored newest issues, in place of the movements.
     """
     f = between_dates(snapshot, "snapshot_date", low, high)
     if as_of_snapshot:
         rows = _with_issue_before(f, movements)
     else:
-        rows = f.join(last_issue(movements), ["dim_item_id", "dim_warehouse_id"], "left")
+        rows = f.join(last_issue(movements) if issues is None else issues, ["dim_item_id", "dim_warehouse_id"], "left")
     days, stocked = F.datediff("snapshot_date", "last_issue_date"), F.col("qty_on_hand") > 0
     return rows.select(
         F.col("snapshot_date").alias("summary_date"), "dim_item_id", "dim_warehouse_id", "qty_on_hand", "stock_value",
@@ -174,11 +175,14 @@ def procurement_monthly(orders: DataFrame, receipts: DataFrame, low=None, high=N
         *[F.coalesce(f"{s}.{c}", F.lit(0)).alias(c) for s, c in measures])
 
 
-def budget_burn_monthly(receipts: DataFrame, low=None, high=None) -> DataFrame:
-    """Spend per month with its running total; the running window holds one row per month."""
-    monthly = (between_months(receipts, "gr_date", low, high)
-               .groupBy(keys.month_key("gr_date").alias("year_month"))
-               .agg(F.sum(F.coalesce("received_value", _zero(S.VALUE))).alias("actual_spend_amount")))
+def monthly_spend(receipts: DataFrame, low=None, high=None) -> DataFrame:
+    return (between_months(receipts, "gr_date", low, high)
+            .groupBy(keys.month_key("gr_date").alias("year_month"))
+            .agg(F.sum(F.coalesce("received_value", _zero(S.VALUE))).alias("actual_spend_amount")))
+
+
+def running_spend(monthly: DataFrame) -> DataFrame:
+    """Budget burn from the spend per month; the running windows hold one row per month."""
     w = Window.orderBy("year_month").rowsBetween(Window.unboundedPreceding, 0)
     fiscal = F.floor(F.col("year_month") / 100) + F.when(F.col("year_month") % 100 >= 10, 1).otherwise(0)
     by_year = Window.partitionBy("_fy").orderBy("year_month").rowsBetween(Window.unboundedPreceding, 0)
@@ -189,6 +193,11 @@ def budget_burn_monthly(receipts: DataFrame, low=None, high=None) -> DataFrame:
         F.sum("actual_spend_amount").over(by_year).alias("ytd_fiscal"))
 
 
+def budget_burn_monthly(receipts: DataFrame, low=None, high=None) -> DataFrame:
+    """Spend per month with its running totals."""
+    return running_spend(monthly_spend(receipts, low, high))
+
+
 # Enriched variants: the columns the plain marts leave constant -----------------
 
 def inventory_daily_enriched(snapshot: DataFrame, lots: DataFrame, movements: DataFrame, items: DataFrame,

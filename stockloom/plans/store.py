@@ -5,7 +5,7 @@ to the store's grain (``day`` or ``month``).  A reload rewrites only the
 partitions it touches, by dynamic partition overwrite: Spark stages the new
 files and moves them in when the job commits, so the plan may read the table it
 replaces and a failed job leaves the old partitions.  Dimensions are written
-whole to a new version folder and then pointed to.
+whole to a new version folder and committed by a manifest of their own.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from stockloom.plans.keyindex import KeyIndex
 
 PART = "part"
+MANIFEST = "_manifest-"
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder of rows without a date
 
 
@@ -234,43 +235,90 @@ class Store:
         return KeyIndex(self, table, key, PART).rebuild()
 
     # versioned tables -------------------------------------------------------------------
-    def _pointer(self, table: str) -> str:
-        return f"{self.path(table)}/_current"
+    def _manifests(self, table: str) -> dict[int, str]:
+        """Committed versions, each with its folder; a manifest is written once and never changed."""
+        fs, _ = self._fs(self.path(table))
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        out = {}
+        for name in self._children(self.path(table)):
+            if name.startswith(MANIFEST) and name[len(MANIFEST):].isdigit():
+                stream = fs.open(path(f"{self.path(table)}/{name}"))
+                try:
+                    out[int(name[len(MANIFEST):])] = stream.readUTF()
+                finally:
+                    stream.close()
+        return out
 
     def current_version(self, table: str) -> int | None:
-        fs, p = self._fs(self._pointer(table))
-        if not fs.exists(p):
-            return None
-        stream = fs.open(p)
-        try:
-            return int(stream.readUTF())
-        finally:
-            stream.close()
+        """The newest committed version."""
+        return max((int(n[len(MANIFEST):]) for n in self._children(self.path(table)) if n.startswith(MANIFEST) and n[len(MANIFEST):].isdigit()), default=None)
 
-    def read_version(self, table: str) -> DataFrame | None:
-        version = self.current_version(table)
-        return None if version is None else self.spark.read.parquet(f"{self.path(table)}/version={version}").drop("version")
+    def read_version(self, table: str, version: int | None = None) -> DataFrame | None:
+        """A version of a table, the newest one unless told; None if nothing is committed."""
+        version = self.current_version(table) if version is None else version
+        if version is None:
+            return None
+        return self.spark.read.parquet(f"{self.path(table)}/{self._manifests(table)[version]}")
 
     def swap(self, df: DataFrame, table: str, check: Callable[[DataFrame], None] | None = None) -> int:
-        """Write a whole table beside the current version, then point readers to it.
+        """Write a whole table beside the current version, then commit it.
 
-        ``check`` sees the written rows and may raise; the pointer then stays
-        where it was.
+        The rows go to a folder of their own.  ``check`` sees them and may
+        raise.  The commit is one new file that names the folder: it appears by
+        a rename, which two writers can't both win, so a crash at any step
+        leaves the version before readable and at most a folder to collect.
         """
         version = (self.current_version(table) or 0) + 1
-        path = f"{self.path(table)}/version={version}"
+        folder = f"version={version}-{uuid.uuid4().hex[:8]}"
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{self.path(table)}/{folder}")
         rows = _metric(seen, "n", 0)
         if check is not None:
-            check(self.spark.read.parquet(path))
-        fs, p = self._fs(self._pointer(table))
-        stream = fs.create(p, True)
+            check(self.spark.read.parquet(f"{self.path(table)}/{folder}"))
+        self._commit(table, version, folder)
+        return rows
+
+    def _commit(self, table: str, version: int, folder: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        target = path(f"{self.path(table)}/{MANIFEST}{version}")
+        fs, draft = self._fs(f"{self.path(table)}/_draft-{uuid.uuid4().hex}")
+        stream = fs.create(draft, False)
         try:
-            stream.writeUTF(str(version))
+            stream.writeUTF(folder)
         finally:
             stream.close()
-        return rows
+        if fs.exists(target) or not fs.rename(draft, target):
+            fs.delete(draft, False)
+            raise RuntimeError(f"{table}: version {version} was committed by another writer")
+
+    def collect_versions(self, table: str, keep: int = 2, older_than: dt.datetime | None = None) -> list[int]:
+        """Retire all but the newest ``keep`` versions, and folders no manifest names; both only if older than a term.
+
+        The term leaves time for readers of an old version and for a writer that
+        has not committed yet.  A manifest goes before its folder.
+        """
+        limit = (older_than or dt.datetime.now(dt.timezone.utc) - dt.timedelta(days=7)).timestamp() * 1000
+        fs, root = self._fs(self.path(table))
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        held = self._manifests(table)
+        changed = {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(root)}
+        gone = [v for v in sorted(held)[:-keep] if changed[f"{MANIFEST}{v}"] < limit]
+        for v in gone:
+            fs.delete(path(f"{self.path(table)}/{MANIFEST}{v}"), False)
+        named = {f for v, f in held.items() if v not in gone}
+        for name, when in changed.items():
+            if name.startswith(("version=", "_draft-")) and name not in named and when < limit:
+                fs.delete(path(f"{self.path(table)}/{name}"), True)
+        return gone
+
+    def drop_batches(self, table: str, before: int) -> list[int]:
+        """Remove staged batches with a smaller id; returns them."""
+        staged = sorted(int(n.split("=")[1]) for n in self._children(self.path(table)) if n.startswith("etl_batch_id="))
+        old = [b for b in staged if b < before]
+        for b in old:
+            fs, p = self._fs(f"{self.path(table)}/etl_batch_id={b}")
+            fs.delete(p, True)
+        return old
 
     # housekeeping -------------------------------------------------------------------------
     def drop_before(self, table: str, day: dt.date) -> list[dt.date]:
