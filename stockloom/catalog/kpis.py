@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import functions as F
 
@@ -10,6 +11,8 @@ from stockloom.catalog.planning import tracked_plan
 from stockloom.catalog.registry import query
 from stockloom.catalog.views import _id, doubles
 from stockloom.operators import kpi as K, models as M, serving as V
+from stockloom.plans.serving import ServingLayer
+from stockloom.plans.store import Store, work_folder
 from stockloom.sources import extract
 
 SNAP = dt.date(2000, 6, 30)
@@ -338,7 +341,7 @@ def _(w):
 
 # Serving ---------------------------------------------------------------------------------
 
-@query("srv_01_exec_dashboard", """
+_EXEC = """
 SELECT DATE '2000-06-30' AS snapshot_date, CAST(sum(stock_value) AS DOUBLE) AS total_inventory_value,
  CAST(count(DISTINCT CASE WHEN qty_on_hand>0 THEN working_code END) AS BIGINT) AS active_stocked_sku_count,
  CAST(count(DISTINCT CASE WHEN low_stock_flag THEN working_code END) AS BIGINT) AS low_stock_sku_count,
@@ -349,11 +352,35 @@ SELECT DATE '2000-06-30' AS snapshot_date, CAST(sum(stock_value) AS DOUBLE) AS t
  (SELECT CAST(sum(total_buy) AS DOUBLE) FROM m_budget WHERE fiscal_year=2000) AS budget_used,
  (SELECT CAST(sum(budget_remain) AS DOUBLE) FROM m_budget WHERE fiscal_year=2000) AS budget_remaining,
  (SELECT round(CAST(sum(total_buy) AS DOUBLE)/CAST(sum(budget_amount) AS DOUBLE),6) FROM m_budget WHERE fiscal_year=2000) AS budget_burn_rate
-FROM m_snapshot""")
+FROM m_snapshot"""
+
+
+@query("srv_01_exec_dashboard", _EXEC)
 def _(w):
     return V.exec_dashboard(snapshot(w), dispensed(w), budget(w), SNAP)
 
 
+def serving(w):
+    """The stored layer of this source, one for each application: built once, then rebuilt where an input changed."""
+    shared = w.spark.conf.get("spark.checkpoint.dir", None)
+    name = f"{w.spark.sparkContext.applicationId}-{hashlib.sha256(w.src.data_dir.encode()).hexdigest()[:12]}"
+    if name not in _LAYERS:
+        root = f"{shared.rstrip('/')}/stockloom/serving-{name}" if shared else work_folder(w.spark, "serving")
+        _LAYERS[name] = ServingLayer(w.spark, w.src.data_dir, Store(w.spark, root), SNAP)
+    return _LAYERS[name]
+
+
+_LAYERS: dict[str, ServingLayer] = {}
+
+
+@query("srv_01b_stored_dashboard", _EXEC)
+def _(w):
+    """The executive row from its stored table."""
+    layer = serving(w)
+    layer.refresh(("serving.exec_dashboard",))
+    return layer.read("serving.exec_dashboard")
+
+
 @query("srv_02_inventory_risk", """
 WITH u AS (SELECT working_code, disp_dept, sum(disp_qty) AS q FROM m_disp WHERE working_code IS NOT NULL
  AND disp_date BETWEEN DATE '2000-06-30' - 89 AND DATE '2000-06-30' GROUP BY 1,2),
@@ -378,16 +405,26 @@ _MONTH_USE = """SELECT CAST(strftime(disp_date,'%Y%m') AS BIGINT) AS year_month,
  year(disp_date)*12+month(disp_date) AS n FROM m_disp WHERE working_code IS NOT NULL GROUP BY ALL"""
 
 
-@query("srv_04_consumption_monthly", f"""
+_CONSUMED = f"""
 WITH m AS ({_MONTH_USE}), c AS (SELECT working_code, CASE WHEN percent_rank() OVER (ORDER BY t DESC)<=0.2 THEN 'fast' WHEN t<=50 THEN 'slow' ELSE 'normal' END AS movement_class
  FROM (SELECT working_code, sum(q) AS t FROM m GROUP BY 1))
 SELECT year_month, m.working_code, dept_id, CAST(q AS DOUBLE) AS total_disp_qty, CAST(v AS DOUBLE) AS total_disp_value,
  round(CAST(sum(q) OVER (PARTITION BY m.working_code, dept_id ORDER BY n RANGE BETWEEN 2 PRECEDING AND CURRENT ROW) AS DOUBLE)/3.0::DOUBLE,6) AS avg_monthly_usage, movement_class
-FROM m JOIN c ON c.working_code=m.working_code""")
+FROM m JOIN c ON c.working_code=m.working_code"""
+
+
+@query("srv_04_consumption_monthly", _CONSUMED)
 def _(w):
     return V.consumption_monthly(dispensed(w))
 
 
+@query("srv_04b_stored_consumption", _CONSUMED)
+def _(w):
+    layer = serving(w)
+    layer.refresh(("serving.consumption_monthly",))
+    return layer.read("serving.consumption_monthly")
+
+
 @query("srv_05_department_usage", f"""
 WITH m AS ({_MONTH_USE}), d AS (SELECT year_month, dept_id, sum(q) AS q, sum(v) AS v, count(DISTINCT working_code) AS n FROM m GROUP BY 1,2)
 SELECT year_month, dept_id, CAST(q AS DOUBLE) AS total_usage_qty, CAST(v AS DOUBLE) AS total_usage_value, CAST(n AS BIGINT) AS active_item_count,

@@ -11,6 +11,7 @@ whole to a new version folder and committed by a manifest of their own.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -235,8 +236,8 @@ class Store:
         return KeyIndex(self, table, key, PART).rebuild()
 
     # versioned tables -------------------------------------------------------------------
-    def _manifests(self, table: str) -> dict[int, str]:
-        """Committed versions, each with its folder; a manifest is written once and never changed."""
+    def _manifests(self, table: str) -> dict[int, list[str]]:
+        """Committed versions, each with its folder and note; a manifest is written once and never changed."""
         fs, _ = self._fs(self.path(table))
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         out = {}
@@ -244,11 +245,25 @@ class Store:
             if name.startswith(MANIFEST) and name[len(MANIFEST):].isdigit():
                 stream = fs.open(path(f"{self.path(table)}/{name}"))
                 try:
-                    out[int(name[len(MANIFEST):])] = stream.readUTF()
+                    out[int(name[len(MANIFEST):])] = stream.readUTF().split("\n", 1)
                 finally:
                     stream.close()
         return out
 
+    def version_note(self, table: str) -> str | None:
+        """What the newest version was committed with."""
+        held = self._manifests(table)
+        return held[max(held)][1] or None if held else None
+
+    def fingerprint(self, path: str) -> str:
+        """Digest of the names, sizes and times of all files below a path."""
+        fs, p = self._fs(path)
+        files, lines = fs.listFiles(p, True), []
+        while files.hasNext():
+            f = files.next()
+            lines.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+        return hashlib.sha256("\n".join(sorted(lines)).encode()).hexdigest()
+
     def current_version(self, table: str) -> int | None:
         """The newest committed version."""
         return max((int(n[len(MANIFEST):]) for n in self._children(self.path(table)) if n.startswith(MANIFEST) and n[len(MANIFEST):].isdigit()), default=None)
@@ -258,9 +273,9 @@ class Store:
         version = self.current_version(table) if version is None else version
         if version is None:
             return None
-        return self.spark.read.parquet(f"{self.path(table)}/{self._manifests(table)[version]}")
+        return self.spark.read.parquet(f"{self.path(table)}/{self._manifests(table)[version][0]}")
 
-    def swap(self, df: DataFrame, table: str, check: Callable[[DataFrame], None] | None = None) -> int:
+    def swap(self, df: DataFrame, table: str, check: Callable[[DataFrame], None] | None = None, note: str = "") -> int:
         """Write a whole table beside the current version, then commit it.
 
         The rows go to a folder of their own.  ``check`` sees them and may
@@ -275,16 +290,16 @@ class Store:
         rows = _metric(seen, "n", 0)
         if check is not None:
             check(self.spark.read.parquet(f"{self.path(table)}/{folder}"))
-        self._commit(table, version, folder)
+        self._commit(table, version, folder, note)
         return rows
 
-    def _commit(self, table: str, version: int, folder: str) -> None:
+    def _commit(self, table: str, version: int, folder: str, note: str = "") -> None:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         target = path(f"{self.path(table)}/{MANIFEST}{version}")
         fs, draft = self._fs(f"{self.path(table)}/_draft-{uuid.uuid4().hex}")
         stream = fs.create(draft, False)
         try:
-            stream.writeUTF(folder)
+            stream.writeUTF(f"{folder}\n{note}")
         finally:
             stream.close()
         if fs.exists(target) or not fs.rename(draft, target):
@@ -305,7 +320,7 @@ class Store:
         gone = [v for v in sorted(held)[:-keep] if changed[f"{MANIFEST}{v}"] < limit]
         for v in gone:
             fs.delete(path(f"{self.path(table)}/{MANIFEST}{v}"), False)
-        named = {f for v, f in held.items() if v not in gone}
+        named = {f for v, (f, _) in held.items() if v not in gone}
         for name, when in changed.items():
             if name.startswith(("version=", "_draft-")) and name not in named and when < limit:
                 fs.delete(path(f"{self.path(table)}/{name}"), True)
