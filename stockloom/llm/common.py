@@ -60,6 +60,11 @@ def discard(df: DataFrame) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def packed(docs: DataFrame, *beside: str, without: tuple[str, ...] = ()) -> DataFrame:
+    """All columns but ``without`` as one struct ``_doc``, which no name inside can clash with, and the columns ``beside`` it that an operator works on."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in without)).alias("_doc"), *beside)
+
+
 def unit(*cols: Column, seed: int = 0) -> Column:
     """A number in [0, 1) that hashes the columns."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) / F.lit(float(1 << 53))

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import again, components, importable, map_arrow, written
@@ -21,6 +21,8 @@ PER_CELL, MAX_CODES, MAX_VISITS = 64, 256, 128
 RECALL = 0.9998
 #: Vectors compared with all of their label to measure that, at first and at most, and those with links that are enough.
 QUERIES, MAX_QUERIES, ENOUGH = 16_384, 65_536, 5000
+#: Bytes of query vectors that tasks share, at most.
+QUERY_BYTES = 1 << 26
 #: Points and queries that meet in one task at once.
 BLOCK = 4096
 
@@ -29,11 +31,11 @@ def unit_rows(flat: np.ndarray) -> np.ndarray:
     return flat / np.sqrt((flat * flat).sum(axis=1, keepdims=True))
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """Vectors that may link: with a label, no null or non-finite component, not all zero."""
+def usable() -> Column:
+    """Whether a vector may link: with a label, no null or non-finite component, not all zero."""
     e = F.col("embedding")
     fine = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return vectors.where(F.col("label").isNotNull() & e.isNotNull() & (F.size(e) > 0) & fine & F.exists(e, lambda x: x != 0))
+    return F.coalesce(F.col("label").isNotNull() & e.isNotNull() & (F.size(e) > 0) & fine & F.exists(e, lambda x: x != 0), F.lit(False))
 
 
 def codebook(x: np.ndarray, k: int, rounds: int = 12, seed: int = 5) -> np.ndarray:
@@ -86,7 +88,7 @@ def ranks(x: np.ndarray, cells: np.ndarray, first: np.ndarray, second: np.ndarra
     return out
 
 
-def measured(points: DataFrame, queries: list[tuple[int, int, bytes]], first: np.ndarray, second: np.ndarray, cosine: float) -> np.ndarray:
+def measured(points: DataFrame, queries: list[tuple[int, str, bytes]], first: np.ndarray, second: np.ndarray, cosine: float) -> np.ndarray:
     """(query, rank, links) as rows: to how many points of its label each query is linked whose cell is the rank-th nearest to it.
 
     Ranks are binned to their top four bits, rounded up, so what comes back is
@@ -102,7 +104,7 @@ def measured(points: DataFrame, queries: list[tuple[int, int, bytes]], first: np
             if not batch.num_rows:
                 continue
             x = np.frombuffer(b"".join(batch.column("x").to_pylist()), np.float64).reshape(batch.num_rows, -1)
-            own, pid, label = nearest_cells(x, first, second, 1)[:, 0], batch.column("id").to_numpy(), batch.column("label").to_numpy()
+            own, pid, label = nearest_cells(x, first, second, 1)[:, 0], batch.column("id").to_numpy(), np.array(batch.column("label").to_pylist())
             n_cells, bins = len(first) * len(second), []
             for name in np.unique(label):
                 mine, theirs = np.flatnonzero(of == name), np.flatnonzero(label == name)
@@ -134,30 +136,42 @@ def visits_for(found: np.ndarray, recall: float) -> int:
     return int(found[order[min(np.searchsorted(upto, 1 - (1 - recall) / 2 - 1e-12), len(order) - 1)], 1]) + 1
 
 
+def planted(sample: np.ndarray, first: np.ndarray, second: np.ndarray, cosine: float, seed: int = 11) -> np.ndarray:
+    """(query, rank, 1) for made-up links at the least cosine that counts: each sampled vector turned by that angle in a random direction."""
+    rng = np.random.default_rng(seed)
+    away = rng.normal(size=sample.shape)
+    away -= (away * sample).sum(axis=1, keepdims=True) * sample
+    turned = cosine * sample + np.sqrt(1 - cosine * cosine) * unit_rows(away)
+    r = ranks(turned, nearest_cells(sample, first, second, 1)[:, 0], first, second)
+    return np.stack([np.arange(len(sample)), r, np.ones(len(sample), np.int64)], axis=1).astype(np.int64)
+
+
 def fitted(points: DataFrame, sample: np.ndarray, groups: int, n: int, cosine: float, recall: float) -> tuple[np.ndarray, np.ndarray, int]:
     """Codebooks for ``n`` points, and the visits with which the measured vectors' links are found at the wanted recall.
 
     Queries, chosen by a hash, are compared with all points of their labels;
-    there are more where few have links.  Codebooks whose cells would need more
-    than ``MAX_VISITS`` visits give way to ones of half the codes; a single
-    cell is the whole label.  That is also taken where too few queries are
-    linked to tell.
+    there are more where few have links.  Where too few have any to tell, links
+    made up at the least cosine that counts, the hardest to find, take their
+    place.  Codebooks whose cells would need more than ``MAX_VISITS`` visits
+    give way to ones of half the codes; a single cell is the whole label.
     """
     k = int(np.clip(np.sqrt(n / groups / PER_CELL), 1, MAX_CODES))
-    h, many = sample.shape[1] // 2, min(QUERIES, n)
+    h, most = sample.shape[1] // 2, max(1024, min(MAX_QUERIES, QUERY_BYTES // (8 * sample.shape[1])))
+    many = min(QUERIES, most, n)
     while k > 1:
         first, second = codebook(sample[:, :h], k), codebook(sample[:, h:], k)
         while True:
-            chosen = points.select("id", "label", "x").orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(many).toArrow()
+            chosen = points.select("id", "label", "x").orderBy(F.xxhash64(F.lit(3), "label", "x"), "id").limit(many).toArrow()
             queries = list(zip(*(chosen.column(c).to_pylist() for c in ("id", "label", "x"))))
             found = measured(points, queries, first, second, cosine)
             known = many >= n or len(np.unique(found[:, 0])) >= ENOUGH
-            if known or many >= MAX_QUERIES:
+            if known or many >= most:
                 break
-            many = min(4 * many, MAX_QUERIES, n)
+            many = min(4 * many, most, n)
+        visits = visits_for(found, recall)
         if not known:
-            break
-        visits = min(visits_for(found, recall), len(first) * len(second))
+            visits = max(visits, visits_for(planted(sample, first, second, cosine), recall))
+        visits = min(visits, len(first) * len(second))
         if visits <= MAX_VISITS:
             return first, second, visits
         k //= 2
@@ -176,7 +190,7 @@ def indexed(vectors: DataFrame, first: np.ndarray, second: np.ndarray, visits: i
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "label", "n", "x")), pa.array(own.astype(np.int32)), pa.array(cells.astype(np.int32).tolist(), pa.list_(pa.int32()))],
                                              names=["id", "label", "n", "x", "own", "visited"])
 
-    return map_arrow(vectors, run, "id bigint, label int, n bigint, x binary, own int, visited array<int>")
+    return map_arrow(vectors, run, "id bigint, label string, n bigint, x binary, own int, visited array<int>")
 
 
 def compared(points: DataFrame, queries: DataFrame, cosine: float) -> DataFrame:
@@ -240,36 +254,13 @@ def _bridges(found: np.ndarray, first_p: np.ndarray, first_q: np.ndarray, pid: n
     return out
 
 
-def near_copies(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) for every vector.
-
-    Vectors link within a label at a cosine, in double precision, of ``cosine``
-    or more.  Equal vectors of a label are one point of the index with a count,
-    so a very common vector costs nothing.  A cell with many points is cut into
-    blocks.  A vector without a label, null, zero, or with a null or non-finite
-    component, or of an odd or other length than most, links with nothing;
-    repeated rows are linked copies; an empty table gives no rows.
-    """
-    vectors = vectors.select("vec_id", "label", "embedding")
-    fine = usable(vectors).withColumn("_dim", F.size("embedding"))
-    common = fine.groupBy("_dim").count().orderBy(F.desc("count"), "_dim").first()
-    alone = vectors.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if common is None:
-        return alone
-
-    def scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                x = unit_rows(batch.column("embedding").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1))
-                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label").cast(pa.int32()), pa.array([r.tobytes() for r in x], pa.binary())], names=["vec_id", "label", "x"])
-
-    rows = written(map_arrow(fine.where(F.col("_dim") == common["_dim"]).select("vec_id", "label", "embedding"), scaled, "vec_id bigint, label int, x binary"))
-    points = written(rows.groupBy("label", "x").agg(F.min("vec_id").alias("id"), F.count("*").alias("n")))
+def linked(points: DataFrame, cosine: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """((id, links), (node, component)) of points (id, label, x, n), vectors of one width."""
     n = points.count()
-    share = min(1.0, SAMPLE / n)
-    sample = points.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * share)).select("label", "x").orderBy("id").limit(2 * SAMPLE).toArrow()
+    least = int((1 << 30) * min(1.0, SAMPLE / n))
+    sample = points.where(F.pmod(F.xxhash64("label", "x"), F.lit(1 << 30)) < least).select("x").orderBy(F.xxhash64("x")).limit(2 * SAMPLE).toArrow()
     if not sample.num_rows:
-        sample = points.select("label", "x").orderBy("id").limit(1).toArrow()
+        sample = points.select("x").orderBy(F.xxhash64("x")).limit(1).toArrow()
     x = np.frombuffer(b"".join(sample.column("x").to_pylist()), np.float64).reshape(sample.num_rows, -1)
     first, second, visits = fitted(points, x, points.select("label").distinct().count(), n, cosine, recall)
     index = written(indexed(points.select("id", "label", "n", "x"), first, second, visits))
@@ -284,10 +275,58 @@ def near_copies(vectors: DataFrame, cosine: float = COSINE, recall: float = RECA
     q = (probes.join(blocks, ["label", "cell"]).withColumn("salt_q", salt("blocks_q"))
          .withColumn("salt_p", every("blocks_p")).select("label", "cell", "salt_p", "salt_q", "id", "n", "x", "own"))
     met = written(compared(p, q, cosine))
-    part = components(met.select(F.col("id").alias("a"), F.col("edge").alias("b")))
-    links = met.groupBy("id").agg(F.sum("links").alias("links"))
-    of_point = (points.join(links, "id", "left").join(part, points["id"] == part["node"], "left")
-                .select(points["label"], points["x"], (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")))
-    linked = rows.join(of_point, ["label", "x"]).select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
-    other = vectors.join(usable(vectors.where(F.size("embedding") == common["_dim"])).select("vec_id").distinct(), "vec_id", "left_anti")
-    return linked.union(other.select("vec_id", F.lit(0).cast("long"), "vec_id", F.lit(True)))
+    return met.groupBy("id").agg(F.sum("links").alias("links")), components(met.select(F.col("id").alias("a"), F.col("edge").alias("b")))
+
+
+def near_copies(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) for every row.
+
+    Vectors of one length link within a label, of whatever type, at a cosine,
+    in double precision, of ``cosine`` or more.  Equal vectors of a label are
+    one point of the index with a count, so a very common vector costs nothing.
+    A cell with many points is cut into blocks.  A vector without a label,
+    null, zero, or with a null or non-finite component links with nothing.
+    Repeated rows are linked copies.  A null vec_id is never the smallest one;
+    where there is no other, component_id is null.  An empty table gives no
+    rows; other columns are ignored.  Vectors of another length than the most
+    common one are filled up with zeros to a power of two, which changes no
+    cosine, so that a few indexes serve any lengths.
+    """
+    size = F.size("embedding")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding").withColumn("fine", usable())
+    common = rows.where("fine").groupBy(size.alias("size")).count().orderBy(F.desc("count"), "size").first()
+    even = common["size"] + common["size"] % 2 if common else 2
+    width = F.when(size <= (even if common else 0), F.when(size > even - 2, even)).otherwise(F.lit(None))
+    width = F.coalesce(width, F.greatest(F.lit(2), F.pow(F.lit(2.0), F.ceil(F.log2(size.cast("double"))))).cast("int")).cast("int")
+    rows = rows.select("vec_id", F.when(F.col("fine"), F.concat_ws("|", size, F.col("label").cast("string"))).alias("label"),
+                       F.when(F.col("fine"), width).alias("width"), F.when(F.col("fine"), F.col("embedding")).alias("embedding"))
+
+    def scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[bytes | None] = [None] * batch.num_rows
+            e, widths = batch.column("embedding"), batch.column("width").to_numpy(zero_copy_only=False)
+            sizes = e.value_lengths().to_numpy(zero_copy_only=False)
+            for w, n in {(w, n) for w, n in zip(widths.tolist(), sizes.tolist()) if w == w and w is not None}:
+                at = np.flatnonzero((widths == w) & (sizes == n))
+                x = e.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(at), -1)
+                x = unit_rows(x / np.abs(x).max(axis=1, keepdims=True))
+                x = np.concatenate([x, np.zeros((len(at), int(w) - x.shape[1]))], axis=1)
+                for i, r in zip(at.tolist(), x):
+                    out[i] = r.tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), batch.column("width"), pa.array(out, pa.binary())], names=["vec_id", "label", "width", "x"])
+
+    rows = written(map_arrow(rows, scaled, "vec_id bigint, label string, width int, x binary"))
+    points = written(rows.where("x is not null").groupBy("label", "width", "x").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n"))
+                     .withColumn("id", F.monotonically_increasing_id()))
+    links, parts = None, None
+    for w in sorted(r[0] for r in points.select("width").distinct().collect()):  # the common length and powers of two
+        some = linked(points.where(F.col("width") == w), cosine, recall)
+        links, parts = (some[0], some[1]) if links is None else (links.union(some[0]), parts.union(some[1]))
+    alone = rows.where("x is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    if links is None:
+        return alone
+    points = points.join(links, "id", "left").join(parts, points["id"] == parts["node"], "left").withColumn("component", F.coalesce("component", "id"))
+    least = points.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    of_point = points.join(least, "component").select("label", "x", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).cast("long").alias("n_links"), "component_id")
+    return rows.where("x is not null").join(of_point, ["label", "x"]).select(
+        "vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept")).union(alone)

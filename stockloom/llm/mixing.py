@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, discard, running, same, unit, written
+from .common import WORD, discard, packed, running, same, unit, written
 
 #: Weights of the sources in code-point order, repeating; and how often a source may be repeated.
 WEIGHTS, MOST_EPOCHS = (1, 2, 3), 3
@@ -105,7 +105,7 @@ def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
-    """The mix itself: documents as rows, each as often as it is taken, with the columns of ``docs``."""
+    """The mix itself: documents as rows, each as often as it is taken, with the columns of ``docs``, whatever their names."""
     narrow = written(keyed(docs.select("doc_id", "text", "source"), seed).drop("text", "doc_id"))
-    out = mixed(keyed(docs, seed), decided(narrow))
-    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    out = mixed(keyed(packed(docs, "doc_id", "text", "source"), seed), decided(narrow))
+    return out.select("_doc", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("_doc.*")

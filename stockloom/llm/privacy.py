@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, written
+from .common import discard, packed, written
 
 #: Common given names by gender and script, titles by gender.
 GIVEN = {
@@ -81,11 +81,17 @@ def _literal_map(d: dict[str, str]) -> Column:
     return F.create_map(*(F.lit(x) for kv in d.items() for x in kv))
 
 
-def mentions(docs: DataFrame) -> DataFrame:
-    """(_key, pos, mention) of every match; a text that many rows share is searched for, and listed, once."""
-    found = (docs.where(F.col("text").rlike(HINT)).select("text", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("m"))
-             .where(F.size("m") > 0).select(F.sha2("text", 256).alias("_key"), "m"))
-    return found.groupBy("_key").agg(F.first("m").alias("m")).select("_key", F.posexplode("m").alias("pos", "mention"))
+def searched(docs: DataFrame) -> DataFrame:
+    """(_doc, text, _m): the columns besides the text as one struct, and every match in the text; the patterns run here alone."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    found = F.when(F.col("text").rlike(HINT), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
+    return docs.select(F.struct(F.lit(0).alias("_0"), *others).alias("_doc"), "text", F.coalesce(found, F.array().cast("array<string>")).alias("_m"))
+
+
+def mentions(found: DataFrame) -> DataFrame:
+    """(_key, pos, mention) of every match of ``searched`` texts; a text that many rows share is listed once."""
+    hits = found.where(F.size("_m") > 0).select(F.sha2("text", 256).alias("_key"), F.col("_m").alias("m"))
+    return hits.groupBy("_key").agg(F.first("m").alias("m")).select("_key", F.posexplode("m").alias("pos", "mention"))
 
 
 def parts(found: DataFrame) -> DataFrame:
@@ -208,9 +214,11 @@ def replaced(docs: DataFrame, key: str = "surrogates-1") -> DataFrame:
     A card number must pass its check digit.  The same value becomes the same surrogate in every document, however it is
     spelled, and different values different ones.  Texts without a match, null
     and empty ones come back as they are, with 0; repeated rows are replaced
-    alike; an empty table stays empty.  Other columns are untouched.
+    alike; an empty table stays empty.  Other columns are untouched, whatever
+    their names; one called n_entities gives way to the new one.
     """
-    listed = written(parts(mentions(docs)))
+    found = written(searched(docs))
+    listed = written(parts(mentions(found)))
     made = surrogates(listed.select("type", "canon").distinct(), key)
     done = listed.join(made, ["type", "canon"]).withColumn("out", _rendered())
     whole = (done.groupBy("_key", "pos").agg(F.array_sort(F.collect_list(F.struct("part", "out"))).alias("o"), F.first("kind").alias("kind"),
@@ -220,14 +228,22 @@ def replaced(docs: DataFrame, key: str = "surrogates-1") -> DataFrame:
     by_text = written(whole.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("pos", "out"))).alias("o"), F.array_sort(F.collect_set("surname")).alias("_surnames"),
                                                 F.count(F.when(F.col("kind") != "none", 1)).alias("_n"))
                       .select(F.col("_key").alias("_text_key"), F.transform("o", lambda x: x["out"]).alias("_out"), "_surnames", "_n"))
-    hit = F.coalesce(F.col("text").rlike(HINT), F.lit(False)) & (F.regexp_count("text", F.lit(ANY)) > 0)
-    marked = docs.withColumn("_hit", F.coalesce(hit, F.lit(False)))
     gaps = F.split("text", ANY, -1)
     text = F.array_join(F.zip_with(gaps, F.col("_out"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     # a surname that stands alone elsewhere in the text means the same person
     text = F.aggregate("_surnames", text, lambda t, s: F.regexp_replace(t, F.concat(F.lit("(?<![\\p{L}\\p{N}])"), s["text"], F.lit("(?![\\p{L}\\p{N}])")), s["out"]))
-    kept = [c for c in docs.columns if c not in ("text", "n_entities")]
-    order = [c for c in docs.columns if c != "n_entities"] + ["n_entities"]
-    with_data = (marked.where("_hit").withColumn("_text_key", F.sha2("text", 256)).join(by_text, "_text_key")
-                 .select(*kept, text.alias("text"), F.col("_n").alias("n_entities")))
-    return with_data.select(*order).union(marked.where("not _hit").withColumn("n_entities", F.lit(0).cast("long")).select(*order))
+    columns = [c for c in docs.columns if c != "n_entities"]
+
+    def rows(df: DataFrame, text: Column, n: Column) -> DataFrame:
+        return df.select(*(text.alias("text") if c == "text" else F.col(f"_doc.`{c}`").alias(c) for c in columns), n.alias("n_entities"))
+
+    with_data = found.where(F.size("_m") > 0).withColumn("_text_key", F.sha2("text", 256)).join(by_text, "_text_key")
+    return rows(with_data, text, F.col("_n")).union(rows(found.where(F.size("_m") == 0), F.col("text"), F.lit(0).cast("long")))
+
+
+def surrogate_texts(docs: DataFrame, key: str = "surrogates-1") -> DataFrame:
+    """``docs`` with replaced texts and all other columns as they were; a column ``n_chars`` follows a changed text."""
+    out = replaced(packed(docs, "text", without=("text",)), key)
+    chars = F.when(F.col("n_entities") > 0, F.length("text").cast("long")).otherwise(F.col("_doc.n_chars")) if "n_chars" in docs.columns else None
+    new = {"text": F.col("text"), "n_chars": chars}
+    return out.select(*((new[c] if new.get(c) is not None else F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, same, written
+from .common import SPACE, packed, same, written
 
 #: Width of the windows that look for repeated words.
 WINDOW = 5
@@ -133,3 +133,8 @@ def judged(docs: DataFrame, keep: tuple[str, ...] | None = None) -> DataFrame:
         verdict = verdict & f
     return (joined.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(F.coalesce(verdict, F.lit(False))))
             .drop("_lang", "_source", *(f"_max_{r.name}" for r in RULES)))
+
+
+def passed(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all of its columns as they were, whatever their names."""
+    return judged(packed(docs, "text", "lang", "source"), ("_doc",)).where("kept").select("_doc.*")
