@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stockloom.llm import mixing, neardup, packing, privacy, quality
 from stockloom.llm.common import read, written
@@ -11,7 +10,7 @@ from stockloom.llm.common import read, written
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base and the adaptive thresholds."""
-    return quality.judged(docs).where("kept").select(*docs.columns)
+    return quality.passed(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,9 +20,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced; n_chars follows the text."""
-    out = privacy.replaced(docs)
-    chars = F.when(F.col("n_entities") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", chars).select(*docs.columns)
+    return privacy.surrogate_texts(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
