@@ -429,6 +429,30 @@ def _(w):
     return store.read("mart.event_daily")
 
 
+_FILE = "CASE WHEN CAST(ts AS DATE) < lo + 10 THEN CASE WHEN event_id % 7 = 0 THEN 1 WHEN event_id % 7 = 1 THEN 2 ELSE 0 END WHEN CAST(ts AS DATE) < lo + 20 THEN 1 ELSE 2 END"
+
+
+@query("str_02b_late_counted", f"""
+WITH e AS (SELECT event_id, ts, movement_type, {_FILE} AS file FROM movement_event, (SELECT CAST(min(ts) AS DATE) AS lo FROM movement_event)),
+ newest AS (SELECT f.file, (SELECT max(ts) FROM e WHERE e.file < f.file) AS seen FROM (SELECT DISTINCT file FROM e) f)
+SELECT movement_type, CAST(count(*) FILTER (WHERE NOT coalesce(ts < seen - INTERVAL 3 DAY, false)) AS BIGINT) AS kept,
+ CAST(count(*) FILTER (WHERE coalesce(ts < seen - INTERVAL 3 DAY, false)) AS BIGINT) AS late FROM e JOIN newest USING (file) GROUP BY 1""")
+def _(w):
+    """Events in three files, two sevenths of the first ten days in the second and third: what is kept and what comes too late."""
+    store = _store(w, "late")
+    events = w.spark.read.parquet(f"{w.src.data_dir}/events.parquet")
+    lo = F.to_date(events.agg(F.min("ts")).scalar())
+    day, seventh = F.to_date("ts"), F.col("event_id") % 7
+    file = (F.when(day < F.date_add(lo, 10), F.when(seventh == 0, 1).when(seventh == 1, 2).otherwise(0)).when(day < F.date_add(lo, 20), 1).otherwise(2))
+    folder = f"{store.root}/in"
+    for i in range(3):  # files are taken in the order in which they were written
+        events.filter(file == i).coalesce(1).write.mode("append").parquet(folder)
+    moves = T.with_hash(T.event_stream(w.spark, folder, files_per_trigger=1)).withColumn("txn_date", F.to_date("ts"))
+    T.counting_late(moves, store, "core.movement_event", T.EVENT_KEY, "txn_date")
+    kept, late = (store.read(t).groupBy("movement_type").agg(F.count(F.lit(1)).alias(n)) for t, n in (("core.movement_event", "kept"), ("late.movement_event", "late")))
+    return kept.join(late, "movement_type", "full_outer").select("movement_type", F.coalesce("kept", F.lit(0)).alias("kept"), F.coalesce("late", F.lit(0)).alias("late"))
+
+
 @query("str_03_exactly_once", "SELECT movement_type, CAST(count(*) AS BIGINT) AS row_count, CAST(count(DISTINCT event_id) AS BIGINT) AS events FROM movement_event GROUP BY 1")
 def _(w):
     """Every event sent twice in the stream is stored once."""

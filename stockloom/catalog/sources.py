@@ -11,6 +11,9 @@ from stockloom.catalog.registry import query
 from stockloom.catalog.views import _code, _id, doubles, longs
 from stockloom.functions import keys
 from stockloom.operators import dims
+from stockloom.plans.chunks import ChunkedExtract
+from stockloom.plans.ledger import Ledger
+from stockloom.plans.store import Store, work_folder
 from stockloom.sources import extract
 
 AS_OF = dt.date(1999, 6, 30)
@@ -126,6 +129,32 @@ def _(w):
         F.count(F.lit(1)).alias("row_count"), F.sum("VALUE").alias("chunk_value"))
 
 
+class _Killed(RuntimeError):
+    pass
+
+
+@query("src_12b_chunked_restart", """
+SELECT CAST(year(OPERATE_DATE)*100+month(OPERATE_DATE) AS BIGINT) AS chunk, CAST(count(*) AS BIGINT) AS row_count,
+ CAST(sum(VALUE) AS DOUBLE) AS chunk_value FROM card GROUP BY 1""")
+def _(w):
+    """The card extracted in chunks of an eighth of its rows, killed before the third, and gone on with by another run."""
+    store = Store(w.spark, work_folder(w.spark, "chunks"), "month")
+    card = w.src.card.select("RECORD_NUMBER", "OPERATE_DATE", "VALUE")
+    rows = max(1, card.count() // 8)
+
+    def kill(c):
+        if c.number == 2:
+            raise _Killed
+
+    try:
+        ChunkedExtract(store, Ledger(store), "card", 1, rows).run(card, "OPERATE_DATE", kill)
+    except _Killed:
+        pass  # the second run finds what is done in the ledger
+    again = ChunkedExtract(store, Ledger(store), "card", 1, rows)
+    again.run(card, "OPERATE_DATE")
+    return again.read().groupBy(keys.month_key("OPERATE_DATE").alias("chunk")).agg(F.count(F.lit(1)).alias("row_count"), F.sum("VALUE").alias("chunk_value"))
+
+
 @query("src_13_read_modes", """
 SELECT 'full' AS mode, CAST(count(*) AS BIGINT) AS row_count FROM movement_src
 UNION ALL SELECT 'incremental', CAST(count(*) AS BIGINT) FROM movement_src

@@ -115,6 +115,12 @@ class Store:
          .write.mode("overwrite").parquet(f"{self.path(table)}/etl_batch_id={batch_id}"))
         return _metric(seen, "n", 0)
 
+    def write_part(self, df: DataFrame, table: str, folder: str) -> int:
+        """Rows of one named part of a table; writing the part again replaces them."""
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{self.path(table)}/{folder}")
+        return _metric(seen, "n", 0)
+
     def read_batch(self, table: str, batch_id: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.path(table)}/etl_batch_id={batch_id}").withColumn(
             "etl_batch_id", F.lit(batch_id).cast("bigint"))

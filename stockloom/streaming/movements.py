@@ -74,3 +74,30 @@ def run_to_store(stream: DataFrame, store: Store, table: str, key: list[str], da
     query = (stream.writeStream.outputMode(mode).foreachBatch(sink).trigger(availableNow=True)
              .option("checkpointLocation", f"{store.root}/_stream/{table}").start())
     query.awaitTermination()
+
+
+def counting_late(stream: DataFrame, store: Store, table: str, key: list[str], date: str, days: int = LATE_DAYS) -> None:
+    """Drain what is available into a table, rows that come later than ``days`` after the newest seen before into ``late.<table>``.
+
+    The newest event time before a micro-batch comes from what earlier ones
+    recorded, not from memory, so a repeated micro-batch judges its rows alike.
+    Each one records how many rows it kept and how many were late.  A row
+    without an event time is never late.
+    """
+    name = table.split(".")[-1]
+    late_table, count_table = f"late.{name}", f"ops.{name}_late"
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        newest = None
+        if store.exists(count_table):
+            newest = store.read(count_table).filter(F.col("epoch") < epoch).agg(F.max("newest")).first()[0]
+        late = F.lit(False) if newest is None else F.coalesce(F.col("ts") < F.lit(newest) - F.expr(f"INTERVAL {days} DAYS"), F.lit(False))
+        marked = batch.withColumn("_late", late)
+        store.write_part(marked.filter("_late").drop("_late"), late_table, f"epoch={epoch}")
+        store.insert_absent(marked.filter("not _late").drop("_late"), table, key, date)
+        counts = marked.agg(F.count_if(~F.col("_late")).alias("kept"), F.count_if("_late").alias("late"), F.max("ts").alias("newest"))
+        store.write_part(counts, count_table, f"epoch={epoch}")
+
+    query = (stream.writeStream.foreachBatch(sink).trigger(availableNow=True)
+             .option("checkpointLocation", f"{store.root}/_stream/{table}").start())
+    query.awaitTermination()

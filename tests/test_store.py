@@ -231,6 +231,55 @@ def test_ingest_restart_adds_only_new_files(spark, data, store):
     assert drain() == events.count()
 
 
+def test_late_rows_are_counted_and_kept_apart(spark, store):
+    folder = f"{store.root}/in"
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    last = events.agg(F.max("ts")).scalar()
+    events.filter("event_id % 2 = 0").coalesce(1).write.mode("append").parquet(folder)
+    events.filter("event_id % 2 = 1").coalesce(1).write.mode("append").parquet(folder)
+
+    def drain():
+        moves = T.with_hash(T.event_stream(spark, folder, files_per_trigger=1)).withColumn("txn_date", F.to_date("ts"))
+        T.counting_late(moves, store, "core.movement_event", T.EVENT_KEY, "txn_date")
+
+    drain()
+    drain()  # nothing new
+    counted = store.read("ops.movement_event_late").agg(F.sum("kept"), F.sum("late")).first()
+    assert tuple(counted) == (store.read("core.movement_event").count(), store.read("late.movement_event").count())
+    assert sum(counted) == events.count() and counted[1] > 0
+    newest = events.filter("event_id % 2 = 0").agg(F.max("ts").alias("t")).first().t
+    assert store.read("late.movement_event").filter(F.col("ts") >= F.lit(newest) - F.expr("INTERVAL 3 DAYS")).isEmpty() and last is not None
+
+
+def test_chunks_of_about_equal_rows():
+    from stockloom.plans.chunks import planned
+    d = lambda n: dt.date(2026, 1, n)
+    chunks = planned([(d(3), 5), (d(1), 4), (None, 3), (d(2), 6), (d(4), 25), (d(5), 1)], 10)
+    assert [(c.low, c.high, c.slice, c.slices) for c in chunks] == [
+        (d(1), d(2), 0, 1), (d(3), d(3), 0, 1), (d(4), d(4), 0, 3), (d(4), d(4), 1, 3), (d(4), d(4), 2, 3), (d(5), d(5), 0, 1), (None, None, 0, 1)]
+    assert [c.number for c in chunks] == list(range(7)) and planned([]) == []
+
+
+def test_a_killed_extract_goes_on_where_it_was(spark, store):
+    from stockloom.plans.chunks import ChunkedExtract
+    from stockloom.plans.ledger import Ledger
+    df = spark.range(500).selectExpr("id", "if(id % 50 = 0, null, date_add(date'2026-01-01', cast(if(id < 200, 0, id % 9) as int))) as day")
+
+    def kill(c):
+        if c.number == 3:
+            raise RuntimeError("killed")
+
+    first = ChunkedExtract(store, Ledger(store), "t", 1, 60)
+    with pytest.raises(RuntimeError, match="killed"):
+        first.run(df, "day", kill)
+    with pytest.raises(RuntimeError, match="not extracted"):
+        first.read()
+    again = ChunkedExtract(store, Ledger(store), "t", 1, 60)
+    total = len(again.plan(df, "day")[0])
+    assert again.run(df, "day") == total - 3 and again.run(df, "day") == 0
+    assert sorted(map(tuple, again.read().select("id", "day").collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+
+
 def test_rows_that_share_a_key_are_all_loaded(spark, store):
     batch = rows(spark, ("2026-01-05", "a", 1), ("2026-01-05", "a", 2))
     assert store.insert_absent(batch, "f.t", ["k"], "d") == 2
