@@ -9,8 +9,8 @@ from .common import WORD, discard, packed, running, same, unit, written
 
 #: Weights of the sources in code-point order, repeating; and how often a source may be repeated.
 WEIGHTS, MOST_EPOCHS = (1, 2, 3), 3
-#: A source is done within this share of its target; stretches tried at most.
-NEAR, TURNS = 0.002, 6
+#: A source is done within this share of its target.
+NEAR = 0.002
 
 
 def quality_weight(text: Column) -> Column:
@@ -57,7 +57,9 @@ def decided(rows: DataFrame) -> DataFrame:
     The partial epoch takes documents by ascending key as long as they fit into
     what is left of the target.  Where the document that stops it is large, the
     next stretch goes on behind it with documents small enough, until the
-    source is within ``NEAR`` of its target or nothing fits.
+    source is within ``NEAR`` of its target or nothing fits.  What a stretch
+    leaves is less than the document that stopped it, so the rest is about
+    halved each time: some ten stretches, whatever the size of the corpus.
     """
     plan = written(targets(rows)
                    .withColumn("_epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)))
@@ -65,7 +67,8 @@ def decided(rows: DataFrame) -> DataFrame:
                    .withColumn("_parts", F.array().cast("array<struct<start:struct<_at:double,_tie:bigint>,last:struct<_at:double,_tie:bigint>,fit:double>>"))
                    .withColumn("_last", F.struct(F.lit(-1.0).alias("_at"), F.lit(0).cast("long").alias("_tie"))))
     key = F.struct("_at", "_tie")
-    for _ in range(TURNS):
+    moved = True
+    while moved:
         todo = plan.where((F.col("_gap") >= 1) & (F.col("_gap") > NEAR * F.col("target"))).select(F.col("source").alias("_source"), "_gap", F.col("_last").alias("_start"))
         left = (rows.select("source", "size", "_at", "_tie").join(todo, same(F.col("source"), F.col("_source")))
                 .where((key > F.col("_start")) & (F.col("size") <= F.col("_gap"))))
@@ -78,9 +81,7 @@ def decided(rows: DataFrame) -> DataFrame:
             F.when(F.col("_end").isNull(), F.col("_parts")).otherwise(F.concat("_parts", F.array(part))).alias("_parts"),
             F.coalesce("_end", "_last").alias("_last"), F.col("_end").isNotNull().alias("_moved")))
         discard(plan)
-        plan = new
-        if plan.where("_moved").isEmpty():
-            break
+        plan, moved = new, not new.where("_moved").isEmpty()
     return plan.select(F.col("source").alias("_plan_source"), "source_size", "target", "_epochs", "_parts")
 
 

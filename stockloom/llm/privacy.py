@@ -25,9 +25,16 @@ SYLLABLES = {
 }
 ROUNDS = 64
 
+#: Small words inside surnames; country calling codes of one and two digits, all others have three.
+PARTICLES = "de da del della di dos du van von der den la le al bin"
+CALLING = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98"
+
 _all_given = "|".join(n for names in GIVEN.values() for n in names.split())
+_given_capitals = _all_given.upper()
 _titles = "|".join(t for names in TITLES.values() for t in names.split())
-_NAME = "\\p{Lu}[\\p{Ll}]+(?:-\\p{Lu}\\p{Ll}+)?"
+_NAME = "(?:\\p{Lu}['\u2019])?\\p{Lu}\\p{Ll}+(?:-?\\p{Lu}\\p{Ll}+)*"
+_CAPITALS = "(?:\\p{Lu}['\u2019])?\\p{Lu}{2,}(?:-\\p{Lu}{2,})*"
+_SURNAME = f"(?:(?:{PARTICLES.replace(' ', '|')}) ){{0,2}}{_NAME}"
 _BYTE = "(?:25[0-5]|2[0-4]\\d|1\\d\\d|[1-9]?\\d)"
 #: Types in the order in which they are tried at each place; a lookbehind keeps what marks a value outside it.
 PATTERNS = {
@@ -36,14 +43,15 @@ PATTERNS = {
     "secret": "(?<=(?i:token|api[_-]?key|secret|password|passwd|pwd)[\"']?\\s{0,2}[=:]\\s{0,2}[\"']?)[^\\s\"',;]{6,}",
     "iban": "\\b[A-Z]{2}\\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\\b",
     "ip": f"(?<![\\w.]){_BYTE}(?:\\.{_BYTE}){{3}}(?![\\w]|\\.\\d)",
-    "card": "(?<![\\w-])\\d{4}([ -]?)\\d{4}\\1\\d{4}\\1\\d{1,7}(?![\\w-])",
+    "card": "(?<![\\w-])\\d{4}(?<gap>[ -]?)\\d{4}\\k<gap>\\d{4}\\k<gap>\\d{1,7}(?![\\w-])",
     "ssn": "(?<![\\w-])\\d{3}-\\d{2}-\\d{4}(?![\\w-])",
-    "phone": "(?<![\\w+])\\+\\d{1,3}[ .-]?(?:\\(\\d{1,4}\\)|\\d{1,4})(?:[ .-]?\\d{2,4}){2,4}(?!\\w)|(?<!\\w)\\(\\d{3}\\) ?\\d{3}-\\d{4}(?!\\w)|(?<![\\w.-])\\d{3}([.-])\\d{3}\\2\\d{4}(?![\\w-])",
-    "person": f"(?<![\\p{{L}}\\p{{N}}])(?:{_titles})\\.? {_NAME}(?: {_NAME})?|(?<![\\p{{L}}\\p{{N}}])(?:{_all_given}) {_NAME}",
+    "phone": "(?<![\\w+])\\+\\d{1,3}[ .-]?(?:\\(\\d{1,4}\\)|\\d{1,4})(?:[ .-]?\\d{2,4}){2,4}(?!\\w)|(?<!\\w)\\(\\d{3}\\) ?\\d{3}-\\d{4}(?!\\w)|(?<![\\w.-])\\d{3}(?<dot>[.-])\\d{3}\\k<dot>\\d{4}(?![\\w-])",
+    "person": f"(?<![\\p{{L}}\\p{{N}}])(?:(?:{_titles})\\.? (?:(?:(?:{_all_given}) ){{1,2}}{_SURNAME}|{_SURNAME}(?: {_SURNAME})?)"
+              f"|(?:{_all_given})(?: (?:{_all_given}))? {_SURNAME}|(?:{_given_capitals})(?: (?:{_given_capitals}))? {_CAPITALS}(?!\\p{{L}}))",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What any text with a match has; far cheaper to look for.
-HINT = f"[0-9@]|(?i:token|key|secret|passw|pwd)|\\b(?:{_titles}|{_all_given})\\b"
+HINT = f"[0-9@]|(?i:token|key|secret|passw|pwd)|(?<!\\p{{L}})(?:(?:{_titles})\\.?|{_all_given}|{_given_capitals}) "
 
 
 def _checksum(digits: Column, doubled: int) -> Column:
@@ -53,6 +61,12 @@ def _checksum(digits: Column, doubled: int) -> Column:
     return F.pmod(total, F.lit(10))
 
 
+def _mod97(text: Column) -> Column:
+    """The remainder by 97 of digits and small letters, a letter standing for its number from ten on."""
+    step = lambda acc, c: F.when(c.rlike("[0-9]"), (acc * 10 + F.ascii(c) - 48) % 97).otherwise((acc * 100 + F.ascii(c) - 87) % 97)
+    return F.aggregate(F.split(text, ""), F.lit(0), step)
+
+
 def _type(mention: Column) -> Column:
     """The type of a matched text, by its own shape; the marker before a secret is gone, so that comes last."""
     out = F.lit("secret")
@@ -97,8 +111,9 @@ def mentions(found: DataFrame) -> DataFrame:
 def parts(found: DataFrame) -> DataFrame:
     """The entities of each mention: (_key, pos, part, text, type, canon); two spellings of one value share ``canon``.
 
-    A name is one entity per word, so a surname alone and a full name agree; an
-    address is its local part, under its domain, and its domain.
+    A name is one entity per word, whatever its capitals, so a surname alone and
+    a full name agree; its title and small words (de, van) stay.  An address is
+    its local part, under its domain, and its domain.
     """
     kind = _type(F.col("mention"))
     pieces = F.when(F.col("kind") == "person", F.split("mention", " ")).when(F.col("kind") == "email", F.split("mention", "@")).otherwise(F.array("mention"))
@@ -106,16 +121,16 @@ def parts(found: DataFrame) -> DataFrame:
     low, bare = F.lower("text"), F.regexp_replace("text", "\\.$", "")
     given = words(" ".join(n.lower() for names in GIVEN.values() for n in names.split()))
     rows = (found.withColumn("kind", kind).withColumn("pieces", pieces)
-            .withColumn("title", F.regexp_extract("mention", f"^({_titles})\\.? ", 1)).withColumn("n", F.size("pieces") - (F.col("title") != "").cast("int"))
+            .withColumn("title", F.regexp_extract("mention", f"^({_titles})\\.? ", 1))
             .select("*", F.posexplode("pieces").alias("part", "text")))
-    of_name = (F.when((F.col("part") == 0) & (bare == F.col("title")), F.lit("title"))
-               .when((F.col("n") == 2) & (F.col("part") == F.size("pieces") - 2), F.when(F.array_contains(given, low), F.lit("given"))
-                     .when(F.array_contains(words(TITLES["f"]), F.col("title")), F.lit("given_f")).otherwise(F.lit("given_m")))
-               .otherwise(F.lit("surname")))
+    of_name = (F.when(((F.col("part") == 0) & (bare == F.col("title"))) | F.col("text").isin(PARTICLES.split()), F.lit("title"))
+               .when(F.col("part") == F.size("pieces") - 1, F.lit("surname")).when(F.array_contains(given, low), F.lit("given"))
+               .when(F.array_contains(words(TITLES["f"]), F.col("title")), F.lit("given_f")).otherwise(F.lit("given_m")))
     of_type = F.when(F.col("kind") == "person", of_name).when((F.col("kind") == "email") & (F.col("part") == 1), F.lit("domain")).otherwise(F.col("kind"))
     canon = (F.when(F.col("kind") == "email", F.when(F.col("part") == 0, F.lower("mention")).otherwise(low))
              .when(F.col("kind") == "person", low)
-             .when(F.col("kind").isin("card", "ssn", "phone", "iban"), F.lower(F.regexp_replace("text", "[^0-9A-Za-z]", ""))).otherwise(F.col("text")))
+             .when(F.col("kind").isin("card", "ssn", "iban"), F.lower(F.regexp_replace("text", "[^0-9A-Za-z]", "")))
+             .when(F.col("kind") == "phone", F.regexp_replace("text", "[^0-9+]", "")).otherwise(F.col("text")))
     return rows.select("_key", "pos", "part", "kind", "text", of_type.alias("type"), canon.alias("canon"))
 
 
@@ -140,6 +155,20 @@ def _draft(key: str) -> Column:
     keep = lambda n, rest: F.concat(F.substring(canon, 1, n), rest)
     tail = lambda n: F.substr(canon, F.lit(n + 1), F.length(canon))
     body = lambda n: _mapped(F.split(tail(n), ""), s)
+    number = lambda at, n: F.pmod(F.conv(F.substr(s, F.lit(at), F.lit(7)), 16, 10).cast("int"), F.lit(n))
+    # account numbers keep their country and get check digits that fit
+    account = _mapped(F.split(tail(4), ""), s)
+    check = 98 - _mod97(F.concat(account, F.substring(canon, 1, 2), F.lit("00")))
+    iban = F.concat(F.substring(canon, 1, 2), F.lpad(check.cast("string"), 2, "0"), account)
+    # telephone numbers keep their country; area and exchange begin with 2 to 9
+    code = F.regexp_extract("canon", f"^\\+(?:{CALLING.replace(' ', '|')}|\\d{{3}})", 0)
+    dial = F.transform(F.split(F.substr(canon, F.length(code) + 1, F.length(canon)), ""), lambda c, i: F.when(
+        i.isin(0, 3), F.pmod(F.conv(F.substr(s, (i * 3) % 250 + 1, F.lit(4)), 16, 10).cast("int"), F.lit(8)) + 2).otherwise(
+        F.pmod(F.conv(F.substr(s, (i * 3) % 250 + 1, F.lit(4)), 16, 10).cast("int"), F.lit(10))).cast("string"))
+    # social security numbers that may exist: area 001 to 899 but 666, group and serial not zero
+    area = number(1, 898) + 1
+    ssn = F.concat(F.lpad((area + (area >= 666).cast("int")).cast("string"), 3, "0"), F.lpad((number(9, 99) + 1).cast("string"), 2, "0"),
+                   F.lpad((number(17, 9999) + 1).cast("string"), 4, "0"))
     card = keep(1, body(1))
     front = F.substr(card, F.lit(1), F.length(card) - 1)
     card = F.concat(front, F.pmod(-_checksum(front, 1), F.lit(10)).cast("string"))
@@ -155,8 +184,9 @@ def _draft(key: str) -> Column:
     given = F.element_at(_literal_map(_shuffled_names(key)), canon)
     return (F.when(F.col("type") == "ip", F.concat_ws(".", *(octet(i) for i in range(4))))
             .when(F.col("type") == "card", card)
-            .when(F.col("type") == "phone", F.when(F.length("canon") > 10, keep(1, body(1))).otherwise(body(0)))
-            .when(F.col("type") == "iban", keep(2, body(2)))
+            .when(F.col("type") == "phone", F.concat(code, F.array_join(dial, "")))
+            .when(F.col("type") == "iban", iban)
+            .when(F.col("type") == "ssn", ssn)
             .when(F.col("type").isin("none", "title"), canon)
             .when(F.col("type") == "given", F.lower(given))
             .when(F.col("type") == "given_f", F.concat(word, ending("a а α")))
@@ -199,19 +229,20 @@ def _rendered() -> Column:
     """The surrogate in the mention's own spelling: its separators, its case, its capital."""
     spelled = F.transform(F.split("text", ""), lambda c, i: c)
     step = lambda acc, c: F.when(c.rlike("[0-9A-Za-z]"), F.struct(
-        F.concat(acc["out"], F.substr(F.col("surrogate"), acc["at"], F.lit(1))).alias("out"), (acc["at"] + 1).alias("at"))).otherwise(
+        F.concat(acc["out"], F.substr(F.ltrim("surrogate", F.lit("+")), acc["at"], F.lit(1))).alias("out"), (acc["at"] + 1).alias("at"))).otherwise(
         F.struct(F.concat(acc["out"], c).alias("out"), acc["at"].alias("at")))
     separated = F.aggregate(spelled, F.struct(F.lit("").alias("out"), F.lit(1).alias("at")), step, lambda acc: acc["out"])
     cased = F.when(F.col("text") == F.upper("text"), F.upper("surrogate")).otherwise(F.col("surrogate"))
     return (F.when(F.col("type").isin("title", "none"), F.col("text")).when(F.col("type").isin("card", "ssn", "phone"), separated).when(F.col("type") == "iban", F.upper(separated))
-            .when(F.col("type").isin("given", "given_f", "given_m", "surname"), F.initcap("surrogate")).when(F.col("type").isin("email", "domain"), cased)
+            .when(F.col("type").isin("given", "given_f", "given_m", "surname"), F.when((F.col("text") == F.upper("text")) & (F.length("text") > 1), F.upper("surrogate")).otherwise(F.initcap("surrogate"))).when(F.col("type").isin("email", "domain"), cased)
             .otherwise(F.col("surrogate")))
 
 
 def replaced(docs: DataFrame, key: str = "surrogates-1") -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, and ``n_entities``, the mentions replaced.
 
-    A card number must pass its check digit.  The same value becomes the same surrogate in every document, however it is
+    A card number must pass its check digit, and account numbers get fitting ones; telephone numbers keep their country.
+    A name is a title or a listed given name with what follows it, or a listed one all in capitals.  The same value becomes the same surrogate in every document, however it is
     spelled, and different values different ones.  Texts without a match, null
     and empty ones come back as they are, with 0; repeated rows are replaced
     alike; an empty table stays empty.  Other columns are untouched, whatever
@@ -230,8 +261,11 @@ def replaced(docs: DataFrame, key: str = "surrogates-1") -> DataFrame:
                       .select(F.col("_key").alias("_text_key"), F.transform("o", lambda x: x["out"]).alias("_out"), "_surnames", "_n"))
     gaps = F.split("text", ANY, -1)
     text = F.array_join(F.zip_with(gaps, F.col("_out"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    # a surname that stands alone elsewhere in the text means the same person
-    text = F.aggregate("_surnames", text, lambda t, s: F.regexp_replace(t, F.concat(F.lit("(?<![\\p{L}\\p{N}])"), s["text"], F.lit("(?![\\p{L}\\p{N}])")), s["out"]))
+    # a surname that stands alone elsewhere in the text means the same person, in capitals too
+    alone = lambda t, old, new: F.when(t.contains(old), F.regexp_replace(t, F.concat(F.lit("(?<![\\p{L}\\p{N}])"), old, F.lit("(?![\\p{L}\\p{N}])")), new)).otherwise(t)
+    spellings = F.array_distinct(F.flatten(F.transform("_surnames", lambda x: F.array(
+        x, F.struct(F.upper(x["text"]).alias("text"), F.upper(x["out"]).alias("out")), F.struct(F.initcap(x["text"]).alias("text"), F.initcap(x["out"]).alias("out"))))))
+    text = F.aggregate(spellings, text, lambda t, x: alone(t, x["text"], x["out"]))
     columns = [c for c in docs.columns if c != "n_entities"]
 
     def rows(df: DataFrame, text: Column, n: Column) -> DataFrame:

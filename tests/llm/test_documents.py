@@ -71,6 +71,33 @@ def test_mix_comes_near_its_targets(spark, documents):
     assert all(abs(taken[s] - target[s]) <= max(most[s], 0.002 * target[s]) for s in target)
 
 
+def test_mix_goes_on_until_it_is_near(spark):
+    """Every stretch stops at half of what is left: more than six are needed, and the rows taken equal a plain loop's."""
+    target, sizes, gap = 1 << 14, [], 1 << 14
+    while gap >= 1:
+        sizes += [gap // 2 + 1] * 2
+        gap -= gap // 2 + 1
+    rest = 3 * target - sum(sizes)
+    data = [("a", s, i / 1000, i) for i, s in enumerate(sizes)] + [("b", rest // 64, i / 1000, i) for i in range(63)] + [("b", rest - rest // 64 * 63, 0.99, 1)]
+    rows = spark.createDataFrame(data, "source string, size bigint, _at double, _tie bigint")
+    plan = {r._plan_source: r for r in mixing.decided(rows).collect()}
+    left, taken, last = target, set(), -1
+    while left > mixing.NEAR * target:
+        fit, start, moved = left, last, False
+        for i, s in enumerate(sizes):
+            if i > start and s <= fit:
+                if s > left:
+                    break
+                left, last, moved = left - s, i, True
+                taken.add(i)
+        if not moved:
+            break
+    assert plan["a"].target == target and plan["a"]._epochs == 0 and len(plan["a"]._parts) > 6
+    named = rows.where("source = 'a'").selectExpr("*", "_tie AS row")
+    got = {r.row for r in mixing.mixed(named, mixing.decided(rows)).where("copies = 1").collect()}
+    assert got == taken and sum(sizes[i] for i in got) == target - left and left <= mixing.NEAR * target
+
+
 def test_shards_are_even_and_keep_equal_texts(spark, documents):
     rows = sharding.sharded(documents.drop("kept")).collect()
     size, slots = Counter(), {}
@@ -155,6 +182,50 @@ def test_surrogates(spark, odd):
     assert a[a.index("Mrs. "):a.index(". ", a.index("Mrs. ") + 5)] == b[b.index("Mrs. "):b.index(". ", b.index("Mrs. ") + 5)]
 
 
+def test_names_whole_and_in_capitals(spark):
+    texts = ["PETER JONES met Peter Jones; later Jones and JONES left.", "Mary Jane Doe wrote. Doe signed.", "Mr. de Souza saw Mrs. O'Brien.",
+             "Frau van der Berg-Holt", "MARY had a lamb, Mary Had lambs", "Г-н Петров", "no data here but Marys and Johnson"]
+    out = [r.text for r in privacy.replaced(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).orderBy("doc_id").collect()]
+    m = re.fullmatch(r"([A-Z]+) ([A-Z]+) met ([A-Z][a-z]+) ([A-Z][a-z]+); later ([A-Z][a-z]+) and ([A-Z]+) left\.", out[0])
+    assert m and m[1] == m[3].upper() and m[2] == m[4].upper() == m[5].upper() == m[6] and "JONES" not in out[0]
+    m = re.fullmatch(r"(\w+) (\w+) (\w+) wrote\. (\w+) signed\.", out[1])
+    assert m and m[3] == m[4] and not {"Mary", "Jane", "Doe"} & set(m.groups()) and m[1] != m[2]
+    assert re.fullmatch(r"Mr\. de [A-Z][a-z]+ saw Mrs\. [A-Z][a-z]+\.", out[2]) and "Souza" not in out[2] and "Brien" not in out[2]
+    assert re.fullmatch(r"Frau van der [A-Z][a-z]+", out[3])
+    assert out[4].startswith("MARY had a lamb, ") and "Mary Had" not in out[4]
+    assert re.fullmatch(r"Г-н [А-Я][а-я]+", out[5]) and out[5] != texts[5] and out[6] == texts[6]
+
+
+def test_surrogates_stay_valid(spark):
+    """Against a plain replacement of every value: same text around it, same length, valid check digits, country and ranges kept."""
+    def valid_iban(text):
+        text = text.replace(" ", "")
+        return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
+
+    def iban(country, bban):
+        return country + f"{98 - int(''.join(str(int(c, 36)) for c in bban + country + '00')) % 97:02d}" + bban
+
+    spaced = lambda t: " ".join(t[i:i + 4] for i in range(0, len(t), 4))
+    ibans = [iban("DE", f"37040044053201{i:04d}") for i in range(60)] + [iban("GB", f"WEST123456987654{i:02d}") for i in range(10, 70)]
+    phones = [f"+44 20 7946 {i:04d}" for i in range(40)] + [f"+1 212 555 {i:04d}" for i in range(40)] + [f"+351 21 342 {i:04d}" for i in range(40)]
+    ssns = [f"{100 + i}-{10 + i % 80}-{1000 + i}" for i in range(200)]
+    odd_phones = ["(212) 555-0199", "212-555-0199", "212.555.0199"]
+    values = [spaced(x) if i % 2 else x for i, x in enumerate(ibans)] + phones + ssns + odd_phones
+    rows = [(i, f"before {v} after, again {v}.") for i, v in enumerate(values)]
+    out = {r.doc_id: r for r in privacy.replaced(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    found = []
+    for i, v in enumerate(values):
+        m = re.fullmatch(r"before (.*) after, again (.*)\.", out[i].text)
+        assert m and m[1] == m[2] != v and out[i].n_entities == 2 and re.sub(r"[0-9A-Z]", "x", m[1]) == re.sub(r"[0-9A-Z]", "x", v)
+        found.append(m[1])
+    assert all(valid_iban(x) and x[:2] == v[:2] for x, v in zip(found, values[:120]))
+    assert all(x.split()[0] == v.split()[0] for x, v in zip(found[120:240], phones))
+    for x in found[240:440]:
+        a, b, c = map(int, x.split("-"))
+        assert 0 < a < 900 and a != 666 and b and c
+    assert len({re.sub(r"\D", "", x) for x in found[440:]}) == 1 and len(set(found[:440])) == 440
+
+
 def test_distinct_values_get_distinct_surrogates(spark):
     from pyspark.sql import functions as F
     values = spark.range(3000).select(F.lit("ssn").alias("type"), F.format_string("%09d", "id").alias("canon")).union(
