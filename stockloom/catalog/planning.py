@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from stockloom.catalog.registry import query
 from stockloom.catalog.views import doubles
 from stockloom.operators import planning as P
+from stockloom.plans.nameindex import NameIndex, catalogue_names
+from stockloom.plans.store import Store, work_folder
 from stockloom.sources import extract
 
 AS_OF = dt.date(1999, 6, 30)
@@ -98,17 +100,43 @@ def _(w):
     return P.on_hand_lines(w.src.card, AS_OF).drop("ACTIVE_PACK")
 
 
-_TRADE = """SELECT g.WORKING_CODE, g.DRUG_NAME, v.TRADE_CODE, v.TRADE_NAME, c.COMPANY_NAME AS MANUFAC_NAME, CAST(g.SALE_UNIT_ID AS BIGINT) AS SALE_UNIT_ID,
- v.MANUFAC_CODE, CAST(g.IS_ED AS BIGINT) AS IS_ED, CAST(g.COLOR AS BIGINT) AS COLOR, h.PROD_TYPE, d.DFORM_NAME, u.SALE_UNIT, v.LAST_BUY
-FROM drug_gn g LEFT JOIN drug_vn v ON v.WORKING_CODE=g.WORKING_CODE LEFT JOIN company c ON CAST(v.MANUFAC_CODE AS BIGINT)=c.COMPANY_CODE
-LEFT JOIN dosage_form d ON d.DFORM_ID=g.DFORM_ID LEFT JOIN sale_unit u ON u.SU_ID=g.SALE_UNIT_ID LEFT JOIN hosp_list h ON h.HOSP_LIST_CODE=g.HOSP_LIST
-WHERE ({where}) AND v.MOD_SYS='MED' AND coalesce(v.HIDE,'N')='N' AND coalesce(g.HIDE,'N')='N'
-ORDER BY v.LAST_BUY DESC, g.DRUG_NAME, v.TRADE_NAME, v.TRADE_CODE LIMIT 20"""
+def _trade_sql(found, pack="'0'"):
+    """Trade products on sale whose own or whose item's code is among ``found``; labels are looked up for the page alone."""
+    return f"""
+WITH found(code) AS ({found}),
+ sold AS (SELECT * FROM drug_vn WHERE MOD_SYS='MED' AND (HIDE='N' OR HIDE IS NULL)),
+ page AS (SELECT sold.*, g.DRUG_NAME, g.SALE_UNIT_ID, g.IS_ED, g.COLOR, g.DFORM_ID, g.HOSP_LIST
+  FROM sold JOIN (SELECT * FROM drug_gn WHERE HIDE='N' OR HIDE IS NULL) g USING (WORKING_CODE)
+  WHERE TRADE_CODE IN (FROM found) OR WORKING_CODE IN (FROM found)
+  ORDER BY LAST_BUY DESC NULLS LAST, DRUG_NAME, TRADE_NAME, TRADE_CODE LIMIT 20)
+SELECT WORKING_CODE, TRADE_CODE, DRUG_NAME, TRADE_NAME, MANUFAC_CODE, LAST_BUY, CAST(SALE_UNIT_ID AS BIGINT) AS SALE_UNIT_ID,
+ CAST(IS_ED AS BIGINT) AS IS_ED, CAST(COLOR AS BIGINT) AS COLOR, {pack} AS PACK_CODE,
+ (SELECT min(COMPANY_NAME) FROM company WHERE COMPANY_CODE=CAST(page.MANUFAC_CODE AS BIGINT)) AS MANUFAC_NAME,
+ (SELECT min(PROD_TYPE) FROM hosp_list WHERE HOSP_LIST_CODE=page.HOSP_LIST) AS PROD_TYPE,
+ (SELECT min(DFORM_NAME) FROM dosage_form f WHERE f.DFORM_ID=page.DFORM_ID) AS DFORM_NAME,
+ (SELECT min(SALE_UNIT) FROM sale_unit WHERE SU_ID=page.SALE_UNIT_ID) AS SALE_UNIT
+FROM page"""
 
 
-@query("sch_01a_trade_by_barcode", _TRADE.replace("{where}", """v.TRADE_CODE IN (SELECT TRADE_CODE FROM pack_ratio
- WHERE BAR_CODE=(SELECT max(p.BAR_CODE) FROM pack_ratio p JOIN drug_vn dv ON dv.TRADE_CODE=p.TRADE_CODE
-  JOIN drug_gn dg ON dg.WORKING_CODE=dv.WORKING_CODE WHERE dv.MOD_SYS='MED' AND dv.HIDE='N' AND dg.HIDE='N'))"""))
+_LAST_BARCODE = """SELECT max(BAR_CODE) FROM pack_ratio WHERE TRADE_CODE IN (SELECT TRADE_CODE FROM drug_vn
+ WHERE MOD_SYS='MED' AND HIDE='N' AND WORKING_CODE IN (SELECT WORKING_CODE FROM drug_gn WHERE HIDE='N'))"""
+
+
+def _names_sql(part):
+    return f"""SELECT WORKING_CODE FROM drug_gn WHERE contains(upper(DRUG_NAME),'{part}')
+ UNION SELECT TRADE_CODE FROM drug_vn WHERE contains(upper(TRADE_NAME),'{part}')
+ UNION SELECT REF_CODE FROM inst_name WHERE contains(upper(INST_NAME),'{part}')"""
+
+
+def _names(w):
+    """The stored name index of the catalogue."""
+    index = NameIndex(Store(w.spark, work_folder(w.spark, "names")), "catalogue")
+    index.build(catalogue_names(w.src))
+    return index
+
+
+@query("sch_01a_trade_by_barcode", _trade_sql(f"SELECT TRADE_CODE FROM pack_ratio WHERE BAR_CODE=({_LAST_BARCODE})",
+       "coalesce((SELECT CAST(min(p.PACK_CODE) AS VARCHAR) FROM pack_ratio p WHERE p.TRADE_CODE=page.TRADE_CODE),'')"))
 def _(w):
     sold = w.src.drug_vn.filter("MOD_SYS = 'MED' AND HIDE = 'N'").join(
         w.src.drug_gn.filter("HIDE = 'N'").select("WORKING_CODE"), "WORKING_CODE", "left_semi").select("TRADE_CODE")
@@ -116,50 +144,64 @@ def _(w):
     return P.trade_search(w.src, last, "barcode")
 
 
-@query("sch_01b_trade_by_code", _TRADE.replace("{where}", "g.WORKING_CODE='000000000071' OR v.TRADE_CODE='000000000071'"))
+@query("sch_01b_trade_by_code", _trade_sql("SELECT '000000000071'"))
 def _(w):
     return P.trade_search(w.src, "000000000071", "code")
 
 
-@query("sch_01c_trade_by_name", _TRADE.replace("{where}", """upper(g.DRUG_NAME) LIKE '%RING%' OR upper(v.TRADE_NAME) LIKE '%RING%'
- OR g.WORKING_CODE IN (SELECT REF_CODE FROM inst_name WHERE upper(INST_NAME) LIKE '%RING%')
- OR v.TRADE_CODE IN (SELECT REF_CODE FROM inst_name WHERE upper(INST_NAME) LIKE '%RING%')"""))
+@query("sch_01c_trade_by_name", _trade_sql(_names_sql("RING")))
 def _(w):
     return P.trade_search(w.src, "%ring%", "name")
 
 
-_STOCK = """SELECT DISTINCT i.WORKING_CODE, i.DEPT_ID, i.MIN_LEVEL, d.DRUG_NAME, s.SALE_UNIT, CAST(d.IS_ED AS BIGINT) AS IS_ED,
- {pack} AS PACK_RATIO, CAST(coalesce(d.COLOR,16777215) AS BIGINT) AS COLOR
-FROM drug_gn d JOIN inv_md i ON i.WORKING_CODE=d.WORKING_CODE LEFT JOIN sale_unit s ON s.SU_ID=d.SALE_UNIT_ID
-LEFT JOIN (SELECT WORKING_CODE, PACK_RATIO FROM pack_ratio WHERE PACK_RATIO IS NOT NULL
- QUALIFY row_number() OVER (PARTITION BY WORKING_CODE ORDER BY LAST_BUY DESC, TRADE_CODE DESC)=1) px ON px.WORKING_CODE=i.WORKING_CODE
-WHERE ({where}) AND i.DEPT_ID='D07' AND (i.HIDE='N' OR i.HIDE='' OR i.HIDE IS NULL)
- AND EXISTS (SELECT 1 FROM inv_site x WHERE x.WORKING_CODE=i.WORKING_CODE AND x.DEPT_ID='HOS01')"""
-_PACK = "CASE WHEN i.FIRST_PACK_RATIO IS NULL THEN px.PACK_RATIO ELSE i.FIRST_PACK_RATIO END"
+@query("sch_01d_trade_by_indexed_name", _trade_sql(_names_sql("Y 7")))
+def _(w):
+    return P.trade_search(w.src, "%y 7%", "name", index=_names(w))
+
+
+def _stock_sql(found, pack):
+    """What department D07 shows of the items ``found`` that site HOS01 carries."""
+    return f"""
+WITH here AS (SELECT * FROM inv_md WHERE DEPT_ID='D07' AND coalesce(HIDE,'') IN ('','N') AND WORKING_CODE IN ({found})
+  AND WORKING_CODE IN (SELECT WORKING_CODE FROM inv_site WHERE DEPT_ID='HOS01')),
+ packs AS (SELECT *, row_number() OVER (PARTITION BY WORKING_CODE ORDER BY LAST_BUY DESC, TRADE_CODE DESC) AS age_rank
+  FROM pack_ratio WHERE PACK_RATIO IS NOT NULL),
+ newest AS (SELECT WORKING_CODE, PACK_RATIO AS newest_pack FROM packs WHERE age_rank=1)
+SELECT DISTINCT WORKING_CODE, DEPT_ID, MIN_LEVEL, FORECAST, FIRST_PACK_RATIO, LAST_PACK_RATIO, {doubles('WA_COST','QTY_ON_HAND')}, ABC_FLAG,
+ LAST_UPDATE, here.HIDE, MOD_SYS, DRUG_NAME, (SELECT min(SALE_UNIT) FROM sale_unit WHERE SU_ID=g.SALE_UNIT_ID) AS SALE_UNIT,
+ CAST(IS_ED AS BIGINT) AS IS_ED, USE_TRADE_DIS, {pack} AS PACK_RATIO, CAST(coalesce(COLOR,16777215) AS BIGINT) AS COLOR
+FROM here JOIN (SELECT WORKING_CODE, DRUG_NAME, SALE_UNIT_ID, IS_ED, USE_TRADE_DIS, COLOR FROM drug_gn) g USING (WORKING_CODE)
+LEFT JOIN newest USING (WORKING_CODE)"""
+
 
+_PACK = "coalesce(FIRST_PACK_RATIO, newest_pack)"
+_ITEM_NAMES = """SELECT WORKING_CODE FROM drug_gn WHERE contains(upper(DRUG_NAME),'WIDGET')
+ UNION SELECT REF_CODE FROM inst_name WHERE contains(upper(INST_NAME),'WIDGET')"""
+_STOCKED = """SELECT m.WORKING_CODE FROM inv_md m WHERE m.DEPT_ID='D07' AND m.HIDE='N' AND m.WORKING_CODE IN (SELECT WORKING_CODE FROM inv_site)"""
 
-@query("sch_02a_stock_by_name", _STOCK.replace("{pack}", _PACK).replace("{where}", """upper(d.DRUG_NAME) LIKE '%WIDGET%'
- OR i.WORKING_CODE IN (SELECT REF_CODE FROM inst_name WHERE upper(INST_NAME) LIKE '%WIDGET%')"""))
+
+@query("sch_02a_stock_by_name", _stock_sql(_ITEM_NAMES, _PACK))
 def _(w):
     return P.stock_search(w.src, "%widget%", "D07", "HOS01", "name")
 
 
-@query("sch_02b_stock_by_code", _STOCK.replace("{pack}", _PACK).replace("{where}", """i.WORKING_CODE=(SELECT max(m.WORKING_CODE) FROM inv_md m
- JOIN inv_site s2 ON s2.WORKING_CODE=m.WORKING_CODE WHERE m.DEPT_ID='D07' AND m.HIDE='N')"""))
+@query("sch_02d_stock_by_indexed_name", _stock_sql(_ITEM_NAMES, _PACK))
+def _(w):
+    return P.stock_search(w.src, "%widget%", "D07", "HOS01", "name", index=_names(w))
+
+
+@query("sch_02b_stock_by_code", _stock_sql(f"SELECT max(WORKING_CODE) FROM ({_STOCKED})", _PACK))
 def _(w):
     stocked = (w.src.inv_md.filter("DEPT_ID = 'D07' AND HIDE = 'N'")
                .join(w.src.inv_site.select("WORKING_CODE"), "WORKING_CODE", "left_semi"))
     return P.stock_search(w.src, stocked.agg(F.max("WORKING_CODE")).scalar(), "D07", "HOS01", "code")
 
 
-@query("sch_02c_stock_by_barcode", """
-WITH b AS (SELECT * FROM pack_ratio WHERE BAR_CODE=(SELECT max(p.BAR_CODE) FROM pack_ratio p WHERE p.WORKING_CODE IN
- (SELECT m.WORKING_CODE FROM inv_md m JOIN inv_site s2 ON s2.WORKING_CODE=m.WORKING_CODE WHERE m.DEPT_ID='D07' AND m.HIDE='N')))
-SELECT DISTINCT i.WORKING_CODE, i.DEPT_ID, i.MIN_LEVEL, d.DRUG_NAME, s.SALE_UNIT, CAST(d.IS_ED AS BIGINT) AS IS_ED,
- coalesce(b.PACK_RATIO, i.FIRST_PACK_RATIO, i.LAST_PACK_RATIO, 1) AS PACK_RATIO, CAST(coalesce(d.COLOR,16777215) AS BIGINT) AS COLOR
-FROM b JOIN inv_md i ON i.WORKING_CODE=b.WORKING_CODE JOIN drug_gn d ON d.WORKING_CODE=i.WORKING_CODE
-LEFT JOIN sale_unit s ON s.SU_ID=d.SALE_UNIT_ID
-WHERE i.DEPT_ID='D07' AND (i.HIDE='N' OR i.HIDE='' OR i.HIDE IS NULL) AND i.WORKING_CODE IN (SELECT WORKING_CODE FROM inv_site)""")
+_BARCODE = f"(SELECT max(BAR_CODE) FROM pack_ratio WHERE WORKING_CODE IN ({_STOCKED}))"
+
+
+@query("sch_02c_stock_by_barcode", _stock_sql(f"SELECT WORKING_CODE FROM pack_ratio WHERE BAR_CODE={_BARCODE}",
+       f"coalesce((SELECT max(p.PACK_RATIO) FROM pack_ratio p WHERE p.BAR_CODE={_BARCODE}), FIRST_PACK_RATIO, LAST_PACK_RATIO, 1)"))
 def _(w):
     stocked = (w.src.inv_md.filter("DEPT_ID = 'D07' AND HIDE = 'N'")
                .join(w.src.inv_site.select("WORKING_CODE"), "WORKING_CODE", "left_semi").select("WORKING_CODE"))

@@ -237,19 +237,33 @@ def _as_col(term) -> Column:
     return term if isinstance(term, Column) else F.lit(term)
 
 
-def trade_search(t, term, by: str = "code", limit: int = SEARCH_LIMIT) -> DataFrame:
-    """Items and trade products by ``barcode``, ``code`` or ``name`` (a LIKE pattern), newest purchases first."""
+def _named(hits: DataFrame, *kinds: str) -> DataFrame:
+    return hits.filter(F.col("kind").isin(*kinds)).select("code").distinct()
+
+
+def trade_search(t, term, by: str = "code", limit: int = SEARCH_LIMIT, index=None) -> DataFrame:
+    """Items and trade products by ``barcode``, ``code`` or ``name`` (a LIKE pattern), newest purchases first.
+
+    ``index`` is a `NameIndex` of the catalogue's names, which then are not scanned; ``term`` is a plain text then.
+    """
     maker = t.company.select(keys.normal_code("COMPANY_CODE").alias("_maker"), F.col("COMPANY_NAME").alias("MANUFAC_NAME"))
     item = t.drug_gn.filter(F.coalesce("HIDE", F.lit("N")) == "N")
     trade = t.drug_vn.filter((F.col("MOD_SYS") == "MED") & (F.coalesce("HIDE", F.lit("N")) == "N"))
     rows = item.select("WORKING_CODE", "DRUG_NAME", "SALE_UNIT_ID", "IS_ED", "COLOR", "DFORM_ID", "HOSP_LIST").join(
         trade.select("WORKING_CODE", "TRADE_CODE", "TRADE_NAME", "MANUFAC_CODE", "LAST_BUY"), "WORKING_CODE")
-    text = _as_col(term)
+    text, pack = _as_col(term), F.lit("0")
     if by == "barcode":
-        wanted = t.pack_ratio.filter(F.col("BAR_CODE") == text).select("TRADE_CODE").distinct()
-        rows = rows.join(wanted, "TRADE_CODE", "left_semi")
+        wanted = t.pack_ratio.filter(F.col("BAR_CODE") == text).groupBy("TRADE_CODE").agg(F.min("PACK_CODE").alias("_pack_code"))
+        rows = rows.join(wanted, "TRADE_CODE")
+        pack = F.coalesce(F.col("_pack_code").cast("string"), F.lit(""))
     elif by == "code":
         rows = rows.filter((F.col("WORKING_CODE") == text) | (F.col("TRADE_CODE") == text))
+    elif by == "name" and index is not None:
+        hits = index.search(term)
+        item_hits = _named(hits, "item", "alias").withColumnRenamed("code", "WORKING_CODE")
+        trade_hits = _named(hits, "trade", "alias").withColumnRenamed("code", "TRADE_CODE")
+        rows = rows.join(item_hits, "WORKING_CODE", "left_semi").unionByName(
+            rows.join(trade_hits, "TRADE_CODE", "left_semi").join(item_hits, "WORKING_CODE", "left_anti"))
     elif by == "name":
         pattern = F.upper(text)
         alias = t.inst_name.filter(F.like(F.upper("INST_NAME"), pattern)).select(F.col("REF_CODE").alias("_ref")).distinct()
@@ -266,15 +280,17 @@ def trade_search(t, term, by: str = "code", limit: int = SEARCH_LIMIT) -> DataFr
             .join(t.sale_unit.withColumnRenamed("SU_ID", "SALE_UNIT_ID"), "SALE_UNIT_ID", "left")
             .join(t.hosp_list.withColumnRenamed("HOSP_LIST_CODE", "HOSP_LIST"), "HOSP_LIST", "left")
             .select("WORKING_CODE", "DRUG_NAME", "TRADE_CODE", "TRADE_NAME", "MANUFAC_NAME", "SALE_UNIT_ID", "MANUFAC_CODE",
-                    "IS_ED", "COLOR", "PROD_TYPE", "DFORM_NAME", "SALE_UNIT", "LAST_BUY"))
+                    "IS_ED", "COLOR", pack.alias("PACK_CODE"), "PROD_TYPE", "DFORM_NAME", "SALE_UNIT", "LAST_BUY"))
+
 
+def stock_search(t, term, dept: str, site: str, by: str = "code", index=None) -> DataFrame:
+    """Visible items a department stocks and a site carries: all columns of the stock, the item's and the pack size to use.
 
-def stock_search(t, term, dept: str, site: str, by: str = "code") -> DataFrame:
-    """Visible items a department stocks and a site carries, with the pack size to use."""
+    ``index`` is a `NameIndex` as for `trade_search`.
+    """
     text = _as_col(term)
-    stock = t.inv_md.filter((F.col("DEPT_ID") == dept) & M.is_visible(F.col("HIDE"))).select(
-        "WORKING_CODE", "DEPT_ID", "MIN_LEVEL", "FIRST_PACK_RATIO", "LAST_PACK_RATIO")
-    item = t.drug_gn.select("WORKING_CODE", "DRUG_NAME", "IS_ED", "SALE_UNIT_ID", F.coalesce("COLOR", F.lit(DEFAULT_COLOR)).alias("COLOR"))
+    stock = t.inv_md.filter((F.col("DEPT_ID") == dept) & M.is_visible(F.col("HIDE")))
+    item = t.drug_gn.select("WORKING_CODE", "DRUG_NAME", "IS_ED", "USE_TRADE_DIS", "SALE_UNIT_ID", F.coalesce("COLOR", F.lit(DEFAULT_COLOR)).alias("COLOR"))
     carried = t.inv_site.filter(F.col("DEPT_ID") == site).select("WORKING_CODE")
     rows = stock.join(item, "WORKING_CODE").join(carried, "WORKING_CODE", "left_semi")
     packs = t.pack_ratio.filter("PACK_RATIO IS NOT NULL").withColumnRenamed("PACK_RATIO", "_pack")
@@ -288,6 +304,8 @@ def stock_search(t, term, dept: str, site: str, by: str = "code") -> DataFrame:
         if by == "code":
             trade = t.drug_vn.filter(F.col("TRADE_CODE") == text).agg(F.min("WORKING_CODE")).scalar()
             rows = rows.filter((F.col("WORKING_CODE") == text) | (F.col("WORKING_CODE") == trade))
+        elif by == "name" and index is not None:
+            rows = rows.join(_named(index.search(term), "item", "alias").withColumnRenamed("code", "WORKING_CODE"), "WORKING_CODE", "left_semi")
         elif by == "name":
             pattern = F.upper(text)
             alias = (t.inst_name.filter(F.like(F.upper("INST_NAME"), pattern))
@@ -298,7 +316,7 @@ def stock_search(t, term, dept: str, site: str, by: str = "code") -> DataFrame:
         pack = latest(packs, ["WORKING_CODE"], newest, ["_pack"])
         choice = F.coalesce("FIRST_PACK_RATIO", "_pack")
     return (rows.join(pack, "WORKING_CODE", "left").join(t.sale_unit.withColumnRenamed("SU_ID", "SALE_UNIT_ID"), "SALE_UNIT_ID", "left")
-            .select("WORKING_CODE", "DEPT_ID", "MIN_LEVEL", "DRUG_NAME", "SALE_UNIT", "IS_ED", choice.alias("PACK_RATIO"), "COLOR")
+            .select(*t.inv_md.columns, "DRUG_NAME", "SALE_UNIT", "IS_ED", "USE_TRADE_DIS", choice.alias("PACK_RATIO"), "COLOR")
             .distinct().orderBy("DRUG_NAME", "WORKING_CODE"))
 
 

@@ -27,6 +27,7 @@ SELECT {_item('p_partkey')} AS WORKING_CODE,
  CASE WHEN p_size%10=0 THEN 'Y' ELSE 'N' END AS HIDE,
  concat('U',CAST(p_size%5 AS STRING)) AS SALE_UNIT, p_size%5 AS SALE_UNIT_ID,
  concat(CAST(p_size AS STRING),' mg') AS STRENGTH_UNIT, p_type AS DOSAGE_FORM, p_size%7 AS DFORM_ID,
+ CASE p_size%6 WHEN 0 THEN 'Y' WHEN 1 THEN CAST(NULL AS STRING) ELSE 'N' END AS USE_TRADE_DIS,
  p_size%6 AS IS_ED, p_size%8 AS ED_LIST_NO, p_size%14 AS CLASS_NO, p_size%4 AS HOSP_LIST,
  CASE WHEN p_size%3=0 THEN CAST(NULL AS INT) ELSE p_size END AS COLOR,
  CASE WHEN p_size%5=0 THEN CAST(NULL AS DOUBLE) ELSE CAST(p_size AS DOUBLE) END AS REORDER_QTY,
@@ -160,7 +161,8 @@ FROM {{lineitem}} GROUP BY l_partkey, l_suppkey"""
 
 ADAPTERS["pack_ratio"] = """
 SELECT WORKING_CODE, TRADE_CODE, CASE WHEN LAST_PACK_RATIO IS NULL THEN CAST(NULL AS DOUBLE) ELSE PACK_RATIO END AS PACK_RATIO,
- concat('885',TRADE_CODE) AS BAR_CODE, LAST_BUY FROM {drug_vn}"""
+ concat('885',TRADE_CODE) AS BAR_CODE,
+ CASE WHEN length(TRADE_CODE)%3=0 THEN CAST(NULL AS INT) ELSE length(TRADE_CODE)%3 END AS PACK_CODE, LAST_BUY FROM {drug_vn}"""
 
 ADAPTERS["dispensed"] = """
 SELECT RECORD_NUMBER, R_S_DATE AS DISP_DATE, WORKING_CODE AS MED_CODE, ACTIVE_QTY AS DISP_QTY,
