@@ -45,12 +45,54 @@ def _union(frames):
     return out
 
 
-def _report_sql(table):
-    """One pass over the view, one output row per rule."""
-    view = STAGE_VIEW[table]
-    return "\nUNION ALL ".join(
-        f"SELECT '{table}' AS table_name, '{r.name}' AS rule, '{r.severity}' AS severity, {CNT} AS checked, "
-        f"CAST(count_if({r.failed}) AS BIGINT) AS failed FROM {view}" for r in Q.RULES[table])
+#: The rules once more, written out for checking: table, rule, severity, a condition that holds for failing rows.
+CHECKS = [line.strip().split(" | ") for line in """
+item_master | source_item_code missing | ERROR | source_item_code IS NULL
+item_master | item_name missing | ERROR | item_name IS NULL
+item_master | item_name blank | ERROR | length(trim(item_name))=0
+warehouse_master | source_warehouse_code missing | ERROR | source_warehouse_code IS NULL
+warehouse_master | warehouse_name missing | ERROR | warehouse_name IS NULL
+vendor_master | source_vendor_code missing | WARN | source_vendor_code IS NULL
+vendor_master | vendor_name missing | ERROR | vendor_name IS NULL
+stock_balance | snapshot_date missing | ERROR | snapshot_date IS NULL
+stock_balance | source_item_code missing | ERROR | source_item_code IS NULL
+stock_balance | source_warehouse_code missing | ERROR | source_warehouse_code IS NULL
+stock_balance | qty_on_hand missing | ERROR | qty_on_hand IS NULL
+stock_balance | negative quantity | WARN | sign(qty_on_hand)=-1
+stock_lot_balance | snapshot_date missing | ERROR | snapshot_date IS NULL
+stock_lot_balance | source_item_code missing | ERROR | source_item_code IS NULL
+stock_lot_balance | source_warehouse_code missing | ERROR | source_warehouse_code IS NULL
+stock_lot_balance | qty_on_hand missing | ERROR | qty_on_hand IS NULL
+stock_lot_balance | negative quantity | WARN | sign(qty_on_hand)=-1
+stock_lot_balance | unrealistic expiry | WARN | year(expiry_date)<2000
+inventory_movement | source_txn_id missing | ERROR | source_txn_id IS NULL
+inventory_movement | txn_date missing | ERROR | txn_date IS NULL
+inventory_movement | source_item_code missing | ERROR | source_item_code IS NULL
+inventory_movement | source_warehouse_code missing | ERROR | source_warehouse_code IS NULL
+inventory_movement | movement_type missing | ERROR | movement_type IS NULL
+inventory_movement | qty missing | ERROR | qty IS NULL
+inventory_movement | zero quantity | WARN | qty=0
+inventory_movement | unknown movement type | WARN | NOT regexp_full_match(lower(movement_type),'receive|issue|other|(transfer|return|adjust)_(in|out)')
+inventory_movement | quantity without cost | WARN | qty>0 AND unit_cost IS NULL
+inventory_movement | value off quantity times cost | WARN | line_value NOT BETWEEN qty*unit_cost-0.01 AND qty*unit_cost+0.01
+purchase_order_line | po_no missing | ERROR | po_no IS NULL
+purchase_order_line | po_date missing | ERROR | po_date IS NULL
+purchase_order_line | source_item_code missing | ERROR | source_item_code IS NULL
+purchase_order_line | ordered_qty missing | ERROR | ordered_qty IS NULL
+purchase_order_line | vendor missing | INFO | source_vendor_code IS NULL
+goods_receipt_line | gr_no missing | ERROR | gr_no IS NULL
+goods_receipt_line | gr_date missing | ERROR | gr_date IS NULL
+goods_receipt_line | source_item_code missing | ERROR | source_item_code IS NULL
+goods_receipt_line | source_warehouse_code missing | ERROR | source_warehouse_code IS NULL
+goods_receipt_line | received_qty missing | ERROR | received_qty IS NULL
+goods_receipt_line | vendor missing | INFO | source_vendor_code IS NULL
+""".strip().splitlines()]
+#: Business keys for checking, by view.
+KEYS = {"item_master": "source_item_code", "warehouse_master": "source_warehouse_code", "vendor_master": "source_vendor_code",
+        "stock_balance": "snapshot_date, source_item_code, source_warehouse_code",
+        "stock_lot_balance": "snapshot_date, source_item_code, source_warehouse_code, lot_no, expiry_date",
+        "inventory_movement": "source_txn_id", "purchase_order_line": "po_no, source_item_code",
+        "goods_receipt_line": "gr_no, source_item_code, source_warehouse_code, lot_no"}
 
 
 # Quality ------------------------------------------------------------------------
@@ -62,22 +104,32 @@ def _(w):
         F.lit(t).alias("table_name"), F.lit(len(Q.missing_columns(df, t))).alias("missing"), "row_count") for t, df in staged(w).items())
 
 
-def _dq(name, tables, keep=lambda r: True):
-    """Register the report of some tables, restricted to some of their rules."""
+def _dq(name, *wanted):
+    """Register the report of all rules, or of the rules whose names end in one of ``wanted``."""
     sql = "\nUNION ALL ".join(
-        f"SELECT '{t}' AS table_name, '{r.name}' AS rule, '{r.severity}' AS severity, {CNT} AS checked, "
-        f"CAST(count_if({r.failed}) AS BIGINT) AS failed FROM {STAGE_VIEW[t]}" for t in tables for r in Q.RULES[t] if keep(r))
+        f"SELECT '{t}' AS table_name, '{rule}' AS rule, '{severity}' AS severity, {CNT} AS checked, "
+        f"CAST(count_if({failed}) AS BIGINT) AS failed FROM {STAGE_VIEW[t]}" for t, rule, severity, failed in CHECKS if rule.endswith(wanted or ("",)))
 
     @query(name, sql)
     def _(w):
+        picked = {t: [r for r in rules if r.name.endswith(wanted or ("",))] for t, rules in Q.RULES.items()}
         frames = staged(w)
-        return _union(Q.report(frames[t], t, [r for r in Q.RULES[t] if keep(r)]) for t in tables)
+        return _union(Q.report(frames[t], t, rules) for t, rules in picked.items() if rules)
 
 
-_dq("dq_02_required_not_null", list(STAGE_VIEW), lambda r: r.name.endswith("missing"))
-_dq("dq_03_blank_names", ["item_master"], lambda r: r.name == "item_name blank")
-_dq("dq_05_quantity_warnings", ["stock_balance", "stock_lot_balance", "inventory_movement"], lambda r: r.name in ("negative quantity", "zero quantity"))
-_dq("dq_11_severity_report", list(STAGE_VIEW))
+_dq("dq_02_required_not_null", "missing")
+_dq("dq_03_blank_names", "item_name blank")
+_dq("dq_05_quantity_warnings", "negative quantity", "zero quantity")
+_dq("dq_11_severity_report")
+
+
+@query("dq_04b_duplicate_counts", "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, {CNT} AS repeated_keys, CAST(coalesce(sum(n),0) AS BIGINT) AS repeated_rows FROM "
+    f"(SELECT count(*) AS n FROM {STAGE_VIEW[t]} GROUP BY {key}) WHERE n>1" for t, key in KEYS.items()))
+def _(w):
+    """Keys held several times in each extract, and their rows."""
+    return _union(Q.duplicate_rows(df, S.STAGING[t].unique).agg(F.count(F.lit(1)).alias("repeated_keys"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("repeated_rows"))
+                  .select(F.lit(t).alias("table_name"), "repeated_keys", "repeated_rows") for t, df in staged(w).items())
 
 
 @query("dq_04_duplicate_keys", f"""

@@ -13,19 +13,15 @@ from stockloom.operators import relational as R
 AS_OF = dt.date(1999, 6, 30)
 CNT = "CAST(count(*) AS BIGINT) AS row_count"
 
-SHORT = "['" + "','".join(D.THAI_MONTH_SHORT) + "']"
-LONG = "['" + "','".join(D.THAI_MONTH_LONG) + "']"
+# Month names and code labels, written out for checking.
+SHORT = "['ม.ค.','ก.พ.','มี.ค.','เม.ย.','พ.ค.','มิ.ย.','ก.ค.','ส.ค.','ก.ย.','ต.ค.','พ.ย.','ธ.ค.']"
+LONG = "['มกราคม','กุมภาพันธ์','มีนาคม','เมษายน','พฤษภาคม','มิถุนายน','กรกฎาคม','สิงหาคม','กันยายน','ตุลาคม','พฤศจิกายน','ธันวาคม']"
 
 
 def count_rows():
     return F.count(F.lit(1)).alias("row_count")
 
 
-
-def _case(column: str, table: dict) -> str:
-    return f"CASE {column} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in table.items())
-
-
 @query("fn_01_case_coalesce_nullif", """
 SELECT WORKING_CODE, coalesce(REORDER_QTY,MIN_LEVEL,0) AS threshold, nullif(VEN_FLAG,'N') AS ven,
  CASE WHEN REORDER_QTY IS NULL THEN 'unset' WHEN REORDER_QTY>20 THEN 'high' ELSE 'low' END AS band FROM drug_gn""")
@@ -136,9 +132,14 @@ def _(w):
                               D.thai_month_year("OPERATE_DATE").alias("month_text")).agg(count_rows())
 
 
-@query("fn_14_code_labels", f"""
-SELECT WORKING_CODE, {_case('IS_ED', M.ED_CLASS)} END AS ed_class, {_case('ED_LIST_NO', M.ED_LIST)} ELSE '' END AS ed_list,
- {_case('CLASS_NO', M.ITEM_CLASS)} ELSE '' END AS item_class FROM drug_gn""")
+@query("fn_14_code_labels", """
+WITH ed(code, ed_class) AS (VALUES (1,'ED'),(2,'NED'),(3,'NDMS'),(4,'CM'),(5,'PS')),
+ list(code, ed_list) AS (VALUES (1,'ก'),(2,'ข'),(3,'ค'),(4,'ง'),(5,'จ (1)'),(6,'จ (2)')),
+ class(code, item_class) AS (VALUES (1,'ยาในบัญชียาหลักแห่งชาติ'),(2,'ยานอกบัญชียาหลักแห่งชาติ'),(3,'เวชภัณฑ์มิใช่ยา'),(4,'เคมีภัณฑ์'),
+  (5,'วัสดุห้องปฏิบัติการ'),(6,'วัสดุเภสัชกรรม'),(7,'วัสดุทางทันตกรรม'),(8,'วัสดุการแพทย์ทั่วไป'),(9,'วัสดุทางรังสี'),(10,'วัสดุทั่วไป'),
+  (11,'ครุภัณฑ์'),(12,'ครุภัณฑ์การแพทย์'))
+SELECT WORKING_CODE, ed_class, coalesce(ed_list,'') AS ed_list, coalesce(item_class,'') AS item_class FROM drug_gn
+LEFT JOIN ed ON ed.code=IS_ED LEFT JOIN list ON list.code=ED_LIST_NO LEFT JOIN class ON class.code=CLASS_NO""")
 def _(w):
     return w.src.drug_gn.select("WORKING_CODE", M.label(F.col("IS_ED"), M.ED_CLASS).alias("ed_class"),
                                 M.label(F.col("ED_LIST_NO"), M.ED_LIST, "").alias("ed_list"),

@@ -48,8 +48,8 @@ RULES: dict[str, list[Rule]] = {
     "goods_receipt_line": [*_required(*S.STAGING["goods_receipt_line"].required), Rule("vendor missing", INFO, "source_vendor_code IS NULL")],
 }
 
-# Tables whose business key must be unique within a batch.
-UNIQUE_TABLES = ("stock_balance", "stock_lot_balance")
+# Tables whose business key must be unique within a batch.  Lines of orders and receipts may repeat theirs.
+UNIQUE_TABLES = ("item_master", "warehouse_master", "vendor_master", "stock_balance", "stock_lot_balance")
 
 
 def missing_columns(df: DataFrame, table: str) -> list[str]:
@@ -61,6 +61,12 @@ def duplicate_rows(df: DataFrame, key: tuple[str, ...] | list[str]) -> DataFrame
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("row_count")).filter("row_count > 1")
 
 
+def repeated_keys(df: DataFrame, table: str) -> DataFrame:
+    """Business keys that break a table's uniqueness.  A master without a code is another rule's case, not a repeated one."""
+    key = S.STAGING[table].unique
+    return duplicate_rows(df.dropna(subset=list(key)) if table.endswith("_master") else df, key)
+
+
 def report(df: DataFrame, table: str, rules: list[Rule] | None = None) -> DataFrame:
     """One row per rule with checked and failed rows; all rules in a single aggregation."""
     rules = RULES[table] if rules is None else rules
@@ -86,7 +92,7 @@ def split_duplicates(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     marked = df.withColumn("rejected_for", F.lit("duplicate business key"))
     if not key:
         return df, marked.limit(0)
-    again = duplicate_rows(df, key).select(*[F.col(c).alias(f"_{c}") for c in key])
+    again = repeated_keys(df, table).select(*[F.col(c).alias(f"_{c}") for c in key])
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
     return df.join(again, same, "left_anti"), marked.join(again, same, "left_semi")
 
@@ -99,7 +105,7 @@ def enforce(df: DataFrame, table: str) -> None:
     failed = report(df, table).filter((F.col("severity") == ERROR) & (F.col("failed") > 0)).collect()
     if failed:
         raise DataQualityError(f"{table}: " + "; ".join(f"{r['rule']} ({r['failed']} rows)" for r in failed))
-    if table in UNIQUE_TABLES and not duplicate_rows(df, S.STAGING[table].unique).isEmpty():
+    if table in UNIQUE_TABLES and not repeated_keys(df, table).isEmpty():
         raise DataQualityError(f"{table}: duplicate business key {S.STAGING[table].unique}")
 
 

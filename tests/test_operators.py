@@ -200,3 +200,14 @@ def test_date_states(spark):
     df = spark.createDataFrame([(t,) for t in ("20260401", "2026041", "20260230", "18000101", None)], "d string")
     got = {r["d"]: r["date_state"] for r in Q.date_quarantine(df, "d").collect()}
     assert got == {"20260401": "ok", "2026041": "bad format", "20260230": "not a date", "18000101": "unrealistic", None: "bad format"}
+
+
+def test_repeated_master_codes_are_set_aside(spark):
+    """All rows of a repeated code go; vendors without a code are not repeats of one another."""
+    vendors = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "c"), (None, "d"), (None, "e")], "source_vendor_code string, vendor_name string")
+    good, bad = Q.split_duplicates(vendors, "vendor_master")
+    assert sorted(r.vendor_name for r in good.collect()) == ["c", "d", "e"]
+    assert sorted((r.vendor_name, r.rejected_for) for r in bad.collect()) == [("a", "duplicate business key"), ("b", "duplicate business key")]
+    with pytest.raises(Q.DataQualityError, match="duplicate business key"):
+        Q.enforce(vendors, "vendor_master")
+    Q.enforce(good, "vendor_master")
