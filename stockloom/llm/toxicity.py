@@ -22,7 +22,7 @@ FOLDS = 5
 #: Labelled rows that are learned from, at most; beyond it a hash of the id chooses, evenly.
 MAX_LABELLED = 50_000
 #: A term is learned from so many toxic texts, at such a share of toxic among the texts that have it.
-MIN_TOXIC, MIN_SHARE, MAX_TERMS = 5, 0.8, 2000
+MIN_TOXIC, MIN_SHARE = 5, 0.8
 #: A term's log likelihood must pass that of the luckiest of all words that are frequent enough by so much; a misspelling's log odds must reach CLEAR.
 SURE, CLEAR = 0.0, 1.5
 #: Shortest stem that stands for all words it begins, and the different words it must begin.
@@ -177,8 +177,8 @@ def _counted(labelled: DataFrame) -> tuple[DataFrame, int, int]:
 def learn(labelled: DataFrame) -> Model:
     """Terms and stems whose texts are mostly toxic, from (doc_id, text, toxic).
 
-    Words are counted by Spark; only those with enough toxic texts, at most
-    ``MAX_TERMS`` of each kind, reach the driver.  A stem is kept where many
+    Words are counted by Spark; only those with enough toxic texts reach the
+    driver, which ``MAX_LABELLED`` rows bound.  A stem is kept where many
     different words begin with it and no shorter one already covers it; whole
     terms stay beside it, as they allow edits.
     """
@@ -194,7 +194,7 @@ def learn(labelled: DataFrame) -> Model:
     stems = (by_word.select("pos", "n", F.explode(F.transform(F.sequence(F.lit(STEM), F.least(F.length("word"), F.lit(9))), lambda k: F.substr("word", F.lit(1), k))).alias("stem"))
              .where(F.length("stem") >= STEM).groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"), F.count("*").alias("words"))
              .where((F.col("pos") >= 2 * MIN_TOXIC) & (F.col("pos") / F.col("n") >= 0.97) & (F.col("words") >= MIN_WORDS)))
-    take = lambda df, name: [(r[name], r["pos"], r["n"]) for r in df.orderBy(F.desc("pos"), name).limit(MAX_TERMS).collect()]
+    take = lambda df, name: [(r[name], r["pos"], r["n"]) for r in df.orderBy(F.desc("pos"), name).collect()]
     odds = lambda pos, n: math.log((pos + 0.5) / (n - pos + 0.5) * (n_neg + 1) / (n_pos + 1))
     terms: dict[str, tuple[bool, float]] = {}
     for stem, pos, n in sorted(take(stems, "stem"), key=lambda x: len(x[0])):
@@ -328,11 +328,14 @@ def fold(doc_id: str):
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Learn from labelled rows outside the held-out fold, then score all of ``docs``."""
-    train = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isNotNull() & ~fold("doc_id")).dropDuplicates(["doc_id"])
+    """Learn from labelled rows outside the held-out fold, then score all of ``docs``.
+
+    Of an id that repeats, the least label and the least text are learned from.
+    """
+    train = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isNotNull() & ~fold("doc_id")).groupBy("doc_id").agg(F.min("toxic").alias("toxic"))
     total = train.count()
     if total > MAX_LABELLED:
         train = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * MAX_LABELLED / total))
-    texts = docs.select("doc_id", "text").where("text is not null").join(train, "doc_id").dropDuplicates(["doc_id"])
+    texts = docs.select("doc_id", "text").where("text is not null").join(train, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic")
     texts = written(texts)
     return scored(docs, calibrated(texts, learn(texts)))

@@ -1,6 +1,7 @@
 """Operators that compare or learn from the corpus, against brute force and held-out rows."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -209,6 +210,26 @@ def test_misspelt_terms_that_a_stem_covers(spark):
     assert a.match("idoot") == ("idiot", 1) and a.match("idiotic") == ("idiot", 0) and a.match("idootic") is None
 
 
+def test_every_term_that_is_sure_is_learned(spark):
+    """Thousands of terms, none left out."""
+    r = random.Random(5)
+    letters = "bcdfghjklmnpqrstvwxz"
+    words = sorted({"".join(r.choice(letters) for _ in range(9)) for _ in range(2600)})
+    rows = [(i, " ".join(r.sample(words, len(words))), 1) for i in range(10)] + [(100 + i, " ".join(r.choice("one two three four five six seven".split()) + str(r.randrange(50)) for _ in range(60)), 0) for i in range(90)]
+    model = toxicity.learn(spark.createDataFrame(rows, "doc_id bigint, text string, toxic int"))
+    assert len(words) > 2500 and set(words) <= set(model.terms)
+
+
+def test_repeated_ids_learn_alike(spark):
+    """However the rows are dealt: the least label and the least text of an id."""
+    rows = [(i, f"plain words number {i} here", 0) for i in range(40)] + [(i + 100, f"some foulwordx text {i} there", 1) for i in range(40)]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(i + 100, f"zz clean other {i}") for i in range(40)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows] + [(i, 1) for i in range(40)], "doc_id bigint, toxic int")
+    one = sorted(map(str, toxicity.toxicity(docs.coalesce(1), labels.coalesce(1)).select("doc_id", "score", "predicted").collect()))
+    assert one == sorted(map(str, toxicity.toxicity(docs.repartition(5, "text"), labels.repartition(3)).select("doc_id", "score", "predicted").collect()))
+    assert sum("predicted=1" in x for x in one) == 40
+
+
 def test_toxic_terms_count_unrelated_texts_each(spark):
     import random
     rng = random.Random(8)
