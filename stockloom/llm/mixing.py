@@ -59,7 +59,8 @@ def decided(rows: DataFrame) -> DataFrame:
     next stretch goes on behind it with documents small enough, until the
     source is within ``NEAR`` of its target or nothing fits.  What a stretch
     leaves is less than the document that stopped it, so the rest is about
-    halved each time: some ten stretches, whatever the size of the corpus.
+    halved each time where sizes are mixed: some ten stretches are to be
+    expected, whatever the size of the corpus.  Sizes made to resist need more.
     """
     plan = written(targets(rows)
                    .withColumn("_epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)))
