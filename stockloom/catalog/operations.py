@@ -456,6 +456,18 @@ def _(w):
     return runner.ledger.runs().select("job_code", "target_table", "run_status", "row_extracted", "row_inserted", "row_rejected")
 
 
+@query("snk_14b_second_runs", f"""
+WITH n AS (SELECT 'ETL-002' AS job_code, 'dept_id' AS source_table, {CNT} AS row_count FROM warehouse_src UNION ALL SELECT 'ETL-003', 'company', {CNT} FROM vendor_src)
+SELECT CAST(b + CASE job_code WHEN 'ETL-003' THEN 1 ELSE 0 END AS BIGINT) AS etl_batch_id, job_code, source_table, row_count + 1 AS row_inserted,
+ CASE WHEN b = 1 THEN 0 ELSE row_count END AS row_updated, CAST(0 AS BIGINT) AS row_deleted FROM n, (VALUES (1),(3)) AS t(b)""")
+def _(w):
+    """Masters loaded twice: the second run finds every code held."""
+    runner = _runner(w, "again")
+    for code in ("ETL-002", "ETL-003") * 2:
+        runner.run_job(code)
+    return runner.ledger.runs().select("etl_batch_id", "job_code", "source_table", "row_inserted", "row_updated", "row_deleted")
+
+
 # Streaming --------------------------------------------------------------------------
 
 def _stream(w):

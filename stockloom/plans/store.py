@@ -146,30 +146,45 @@ class Store:
         names = self._children(self.path(table))
         return {dt.date.fromisoformat(n.split("=", 1)[1]) for n in names if n.startswith(f"{PART}=") and not n.endswith(NO_DATE)}
 
-    def replace_range(self, df: DataFrame, table: str, date: str, low: dt.date, high: dt.date) -> int:
-        """Make the rows of a closed date range exactly ``df``; returns the rows of ``df``."""
+    def replace_range(self, df: DataFrame, table: str, date: str, low: dt.date, high: dt.date, counts: dict[str, int] | None = None) -> int:
+        """Make the rows of a closed date range exactly ``df``; returns the rows of ``df``.
+
+        ``counts``, here and below, receives the rows taken away as ``deleted``.
+        """
         new = df.withColumn(PART, self.part(F.col(date)))
         first, last = self.part_of(low), self.part_of(high)
         held = {p for p in self.parts(table) if first <= p <= last}
         kept = None
         if held:
             current = self.spark.read.parquet(self.path(table)).filter(F.col(PART).between(F.lit(first), F.lit(last)))
-            kept = current.filter(~F.coalesce(F.col(date).between(F.lit(low), F.lit(high)), F.lit(False)))
+            inside = F.coalesce(F.col(date).between(F.lit(low), F.lit(high)), F.lit(False))
+            kept = current.filter(~inside)
+            if counts is not None:  # before they go; reads the date column alone
+                counts["deleted"] = current.filter(inside).count()
         rows, written = self._overwrite_parts(new, table, kept)
         self._drop_parts(table, held - written)  # ranges the recomputation left empty
         return rows
 
-    def replace_days(self, df: DataFrame, table: str, date: str) -> int:
+    def replace_days(self, df: DataFrame, table: str, date: str, counts: dict[str, int] | None = None) -> int:
         """Replace every day present in ``df``."""
         new, kept = df.withColumn(PART, self.part(F.col(date))), None
-        if self.grain == "month" and self.exists(table):
-            current = self.spark.read.parquet(self.path(table))
+        if not self.exists(table):
+            return self._overwrite_parts(new, table)[0]
+        current = self.spark.read.parquet(self.path(table))
+        # one number per partition, from the file footers
+        held = {} if counts is None else dict(current.groupBy(PART).agg(F.count(F.lit(1))).collect())
+        left = Observation()
+        if self.grain == "month":
             months = new.select(PART).distinct()
-            kept = (current.join(months, PART, "left_semi").join(new.select(date).distinct(), date, "left_anti"))
-        return self._overwrite_parts(new, table, kept)[0]
+            kept = (current.join(months, PART, "left_semi").join(new.select(date).distinct(), date, "left_anti")
+                    .observe(left, F.count(F.lit(1)).alias("n")))
+        rows, written = self._overwrite_parts(new, table, kept)
+        if counts is not None:
+            counts["deleted"] = sum(held.get(p, 0) for p in written) - (_metric(left, "n", 0) if kept is not None else 0)
+        return rows
 
     def replace_keys(self, df: DataFrame, table: str, key: list[str], date: str,
-                     before: Callable[[set[dt.date | None]], None] | None = None) -> int:
+                     before: Callable[[set[dt.date | None]], None] | None = None, counts: dict[str, int] | None = None) -> int:
         """Delete the rows that share a key with ``df`` wherever they are, then add ``df``.
 
         The key index tells which partitions hold such a row; they and the ones
@@ -188,8 +203,12 @@ class Store:
             if not self.exists(table):
                 return self._overwrite_parts(new, table)[0]
             touched = hit | arriving
-            kept = self.read_parts(table, touched).join(wanted.select(*key).distinct(), key, "left_anti")
+            held, left = Observation(), Observation()
+            current = self.read_parts(table, touched).observe(held, F.count(F.lit(1)).alias("n"))
+            kept = current.join(wanted.select(*key).distinct(), key, "left_anti").observe(left, F.count(F.lit(1)).alias("n"))
             rows, written = self._overwrite_parts(new, table, kept)
+            if counts is not None:
+                counts["deleted"] = _metric(held, "n", 0) - _metric(left, "n", 0)
             self._drop_parts(table, touched - written)
             return rows
         finally:
@@ -342,6 +361,16 @@ class Store:
         return old
 
     # housekeeping -------------------------------------------------------------------------
+    def drop_files(self, table: str, old: Column) -> int:
+        """Remove the files of an unpartitioned table all of whose rows are ``old``; returns their rows."""
+        files = (self.spark.read.parquet(self.path(table)).groupBy(F.col("_metadata.file_path").alias("file"))
+                 .agg(F.bool_and(F.coalesce(old, F.lit(False))).alias("gone"), F.count(F.lit(1)).alias("n")).filter("gone").collect())
+        jvm = self.spark.sparkContext._jvm
+        fs, _ = self._fs(self.path(table))
+        for f in files:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f.file)), False)
+        return sum(f.n for f in files)
+
     def drop_before(self, table: str, day: dt.date) -> list[dt.date]:
         """Remove partitions older than ``day``; returns them."""
         old = {p for p in self.parts(table) if p < self.part_of(day)}

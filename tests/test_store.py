@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockloom.plans.jobs import JOBS, Job, JobFailed, Runner
+from stockloom.plans.ledger import BATCH, TABLE_RUN, Ledger
 from stockloom.plans.store import Store, work_folder
 from stockloom.streaming import movements as T
 from tests.conftest import values
@@ -358,6 +359,75 @@ def test_counts_are_rows_loaded_not_rewritten(spark, store):
     assert store.read("f.t").count() == 20
 
 
+def test_rows_a_reload_takes_away_are_counted(spark):
+    for grain in ("day", "month"):
+        s = Store(spark, work_folder(spark, "deleted"), grain)
+        s.append(rows(spark, ("2026-01-05", "a", 1), ("2026-01-05", "b", 2), ("2026-01-09", "c", 3)), "f.t", "d")
+        counts = {}
+        s.replace_keys(rows(spark, ("2026-01-07", "a", 5), ("2026-02-01", "n", 6)), "f.t", ["k"], "d", counts=counts)
+        assert counts == {"deleted": 1}
+        s.replace_range(rows(spark, ("2026-01-06", "x", 1)), "f.t", "d", dt.date(2026, 1, 5), dt.date(2026, 1, 7), counts)
+        assert counts == {"deleted": 2} and values(s.read("f.t"), "k") == [("c",), ("n",), ("x",)]
+        s.replace_days(rows(spark, ("2026-01-09", "y", 1), ("2026-01-09", "z", 1)), "f.t", "d", counts)
+        assert counts == {"deleted": 1} and values(s.read("f.t"), "k") == [("n",), ("x",), ("y",), ("z",)]
+
+
+def test_ledger_counts_of_a_second_run(spark, store, data):
+    runner = Runner(spark, data, store, "quarantine", clock=CLOCK)
+    for _ in range(2):
+        for code in ("ETL-001", "ETL-002", "ETL-003", "ETL-007"):
+            runner.run_job(code)
+    numbers = runner.ledger.runs().orderBy("etl_batch_id").collect()
+    first, second = numbers[:4], numbers[4:]
+    assert [(r.row_updated, r.row_deleted) for r in first] == [(0, 0)] * 4
+    assert [r.row_updated for r in second] == [r.row_inserted - 1 for r in second[:3]] + [0]  # all but the unknown member
+    assert second[3].row_deleted == second[3].row_inserted > 0
+    assert [r.source_table for r in first] == ["drug_gn, company", "dept_id", "company", "ms_po, ms_po_c"]
+
+
+def test_runs_of_an_older_ledger_are_read(spark, store):
+    old = "etl_batch_id bigint, job_code string, target_table string, run_status string, row_inserted bigint"
+    store.append(spark.createDataFrame([(1, "ETL-001", "core.dim_item", "success", 5)], old), TABLE_RUN)
+    ledger = Ledger(store)
+    ledger.table_run(2, "ETL-001", "drug_gn", "core.dim_item", "full", "success", {"inserted": 6, "updated": 5}, CLOCK)
+    assert values(ledger.runs(), "etl_batch_id", "source_table", "row_inserted", "row_updated") == [(1, None, 5, None), (2, "drug_gn", 6, 5)]
+
+
+def test_old_ledger_rows_are_retired(spark, store, monkeypatch):
+    from stockloom.plans import chunks, ledger as ledger_module, refresh
+    times = iter(dt.datetime(2020 + i, 1, 1) for i in range(99))
+
+    def batch(name, status, job="ETL-006", high=None):
+        when = next(times)
+        monkeypatch.setattr(ledger_module, "_now", lambda: when)
+        b = book.open_batch(name, "full", None, high)
+        refresh.Backlog(store, book).note(b, "fact_inventory_movement", {when.date()})
+        if status != "running":
+            book.table_run(b, job, "card", "t", "full", status, {}, when)
+            book.close_batch(b, name, "full", status, None, high)
+        return b
+
+    book = Ledger(store)
+    assert book.retire(dt.datetime(2030, 1, 1)) == {}
+    watermark = batch("daily", "success", high=dt.date(2020, 1, 1))
+    batch("daily", "failed", high=dt.date(2021, 1, 1))
+    resumes = batch("job", "running")
+    chunks.ChunkedExtract(store, book, "t", resumes)._record([(resumes, "t", 0, None, None, 0, 1, 1, "planned", None, dt.datetime(2022, 1, 1))])
+    batch("job", "running")
+    refreshed = batch("marts", "success", "ETL-009")
+    batch("job", "failed")
+    newest = batch("job", "failed")
+    gone = book.retire(dt.datetime(2030, 1, 1))
+    kept = [r[0] for r in store.read(BATCH).select("etl_batch_id").distinct().orderBy("etl_batch_id").collect()]
+    assert kept == [watermark, resumes, refreshed, newest]
+    assert gone[BATCH] == 5 and gone[TABLE_RUN] == 2 and gone[chunks.CHUNK] == 0
+    assert book.last_watermark("daily") == dt.date(2020, 1, 1) and book.last_refresh("ETL-009") == refreshed
+    pending = {dt.date(2025, 1, 1), dt.date(2026, 1, 1)}  # seen by no refresh, so kept whatever their age
+    assert refresh.Backlog(store, book).pending(refreshed) == {"fact_inventory_movement": pending} and gone[refresh.BACKLOG] == 5
+    assert book.open_batch("job", "full") == newest + 1
+    assert sum(book.retire(dt.datetime(2019, 1, 1)).values()) == 0
+
+
 def test_fiscal_running_totals_survive_an_incremental_run(spark, store, data, as_of):
     import datetime as dt
     from stockloom.operators import marts
