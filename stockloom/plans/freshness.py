@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 from stockloom import schemas as S
 
 
+class NewestParts:
+    """The facts of a store, each cut to its newest partition, which holds its newest date."""
+
+    def __init__(self, store):
+        self.store = store
+
+    def __getattr__(self, fact: str) -> DataFrame:
+        table = f"core.{fact}"
+        held = self.store.parts(table)
+        return self.store.read_parts(table, {max(held)}) if held else self.store.read(table)
+
+
 def newest_dates(facts) -> DataFrame:
     """Newest event date per fact; ``facts`` has each fact as an attribute."""
     out = None

@@ -385,6 +385,20 @@ def test_ledger_counts_of_a_second_run(spark, store, data):
     assert [r.source_table for r in first] == ["drug_gn, company", "dept_id", "company", "ms_po, ms_po_c"]
 
 
+def test_freshness_reads_the_newest_partition(spark):
+    from stockloom import schemas as S
+    from stockloom.plans import freshness
+    s = Store(spark, work_folder(spark, "newest"), "month")
+    for fact, date in S.FACT_DATE.items():
+        days = rows(spark, ("2026-01-05", "a", 1), ("2026-03-02", "b", 2), ("2026-03-09", "c", 3), ("2026-01-06", "undated", 4))
+        days = days.withColumn("d", F.when(F.col("k") != "undated", F.col("d")))
+        s.append(days.withColumnRenamed("d", date), f"core.{fact}", date)
+    dates = freshness.newest_dates(freshness.NewestParts(s))
+    scans = [line for line in plan_of(dates).splitlines() if "PartitionFilters" in line]  # before it runs: each scan once
+    assert {r.last_updated for r in dates.collect()} == {dt.date(2026, 3, 9)}
+    assert len(scans) == len(S.FACT_DATE) and all("2026-03-01" in line for line in scans)
+
+
 def test_runs_of_an_older_ledger_are_read(spark, store):
     old = "etl_batch_id bigint, job_code string, target_table string, run_status string, row_inserted bigint"
     store.append(spark.createDataFrame([(1, "ETL-001", "core.dim_item", "success", 5)], old), TABLE_RUN)
