@@ -29,8 +29,9 @@ ROUNDS, FAN_IN, BATCH, RATE = 2, 32, 96, 0.03
 LONGEST = 64
 #: Windows scored at once: few enough that their logits stay in a core's cache.
 AT_ONCE = 96
-#: Word beginnings whose counts every task gets, those of all others come by a join; and the least weight of the attention model beside them.
+#: Of the mixed score: word beginnings whose counts every task gets, those of all others come by a join; and the least weight of the attention model beside them.
 TOP_BEGINNINGS, LEAST_SHARE = 1 << 20, 0.005
+LN_10, NOTHING = np.log(10), np.zeros(0, np.int64)
 
 
 class Pieces:
@@ -191,10 +192,15 @@ def scored_windows(x: np.ndarray, want: np.ndarray, p: dict[str, np.ndarray], t:
     return log_probs(logits, want)
 
 
+def rows_by(a: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Product of the last axis with a matrix, as one matrix product over all rows."""
+    return (a.reshape(-1, a.shape[-1]) @ w).reshape(*a.shape[:-1], w.shape[1])
+
+
 def forward(x: np.ndarray, p: dict[str, np.ndarray], t: Tables) -> dict[str, np.ndarray]:
     """Batched masked attention over windows, up to the logits of the classes."""
     cur, e = x[:, STEP:], p["embed"][x]
-    q, k, v, last = e[:, STEP:] @ p["query"], e @ p["key"], e @ p["value"], e[:, STEP:] @ p["last"]
+    q, k, v, last = rows_by(e[:, STEP:], p["query"]), rows_by(e, p["key"]), rows_by(e, p["value"]), rows_by(e[:, STEP:], p["last"])
     s = q @ k.transpose(0, 2, 1)
     s *= np.float32(WIDTH ** -0.5)
     s += p["place"] + CAUSAL
@@ -220,25 +226,30 @@ def log_probs(logits: np.ndarray, want: np.ndarray) -> np.ndarray:
 
 
 def gradients(x: np.ndarray, want: np.ndarray, p: dict[str, np.ndarray], t: Tables) -> dict[str, np.ndarray]:
+    """Gradient of the mean loss by each weight; of ``embed`` as the rows that occur and theirs.  ``want`` is -1 where none is."""
     f = forward(x, p, t)
-    g = f["logits"] - f["logits"].max(axis=2, keepdims=True)
+    g = f["logits"].reshape(-1, CLASSES)
+    top = g.max(axis=1)
+    if len(top) and np.abs(top).max() > 60:
+        g -= top[:, None]
     np.exp(g, out=g)
-    g /= g.sum(axis=2, keepdims=True)
-    there = want >= 0
-    np.put_along_axis(g, np.maximum(want, 0)[:, :, None], np.take_along_axis(g, np.maximum(want, 0)[:, :, None], 2) - 1, 2)
-    g *= (there / max(1, there.sum()))[:, :, None].astype(np.float32)
+    there = want.ravel() >= 0
+    part = (there / max(1, there.sum())).astype(np.float32)
+    g *= (part / (g @ np.ones(CLASSES, np.float32)))[:, None]
+    g[np.arange(len(g)), np.maximum(want.ravel(), 0)] -= part
     e, cur, scale = f["e"], f["e"][:, STEP:], np.float32(WIDTH ** -0.5)
-    dz = (g @ p["out"].T) * (1 - f["h"] ** 2)
+    dz = (g @ p["out"].T).reshape(f["h"].shape) * (1 - f["h"] ** 2)
     da = dz @ f["v"].transpose(0, 2, 1)
     ds = f["a"] * (da - (da * f["a"]).sum(axis=2, keepdims=True))
     dq, dk, dv = ds @ f["k"] * scale, ds.transpose(0, 2, 1) @ f["q"] * scale, f["a"].transpose(0, 2, 1) @ dz
     flat = lambda a: a.reshape(-1, a.shape[-1])
-    de = dk @ p["key"].T + dv @ p["value"].T
-    de[:, STEP:] += dq @ p["query"].T + dz @ p["last"].T
-    embed = np.zeros_like(p["embed"])
-    np.add.at(embed, x.ravel(), flat(de))
-    return {"embed": embed, "query": flat(cur).T @ flat(dq), "key": flat(e).T @ flat(dk), "value": flat(e).T @ flat(dv), "last": flat(cur).T @ flat(dz),
-            "bias": flat(dz).sum(axis=0), "place": ds.sum(axis=0), "out": flat(f["h"]).T @ flat(g)}
+    de = rows_by(dk, p["key"].T) + rows_by(dv, p["value"].T)
+    de[:, STEP:] += rows_by(dq, p["query"].T) + rows_by(dz, p["last"].T)
+    rows, at = np.unique(x, return_inverse=True)
+    cells = (at.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
+    embed = np.bincount(cells, de.ravel(), len(rows) * WIDTH).astype(np.float32).reshape(-1, WIDTH)
+    return {"embed": (rows, embed), "query": flat(cur).T @ flat(dq), "key": flat(e).T @ flat(dk), "value": flat(e).T @ flat(dv), "last": flat(cur).T @ flat(dz),
+            "bias": flat(dz).sum(axis=0), "place": ds.sum(axis=0), "out": flat(f["h"]).T @ g}
 
 
 def fit(x: np.ndarray, want: np.ndarray, p: dict[str, np.ndarray], t: Tables, seed: int, seen: dict[str, np.ndarray] | None = None) -> None:
@@ -248,8 +259,9 @@ def fit(x: np.ndarray, want: np.ndarray, p: dict[str, np.ndarray], t: Tables, se
     for start in range(0, len(order), BATCH):
         rows = order[start:start + BATCH]
         for k, g in gradients(x[rows], want[rows], p, t).items():
-            seen[k] += g * g
-            p[k] -= (RATE * g / np.sqrt(seen[k])).astype(np.float32)
+            at, g = g if k == "embed" else (slice(None), g)  # rows that don't occur stay as they are
+            seen[k][at] += g * g
+            p[k][at] -= (RATE * g / np.sqrt(seen[k][at])).astype(np.float32)
 
 
 def flattened(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, tuple[pa.Array, np.ndarray, np.ndarray]]:
@@ -514,16 +526,18 @@ def trained(docs: DataFrame, t: Tables, path: str) -> dict[str, np.ndarray]:
     return p
 
 
-def scores(docs: DataFrame, path: str | None = None) -> DataFrame:
+def scores(docs: DataFrame, path: str | None = None, mixed: bool = False) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document.
 
     Tokens of the base are the words with A-Z in small letters, and the end.
-    The model gives the probability of the same sequence, piece by piece: a
-    mixture of the attention model and of what followed the same beginning of a
-    word in training, where that was seen often.  Every word is a run
+    The model gives the probability of the same sequence, piece by piece: the
+    attention model's for every piece and end.  Every word is a run
     of pieces that begins with a space, so no two word sequences share one.  A
     null text is an empty one, whose end is scored; repeated rows score alike;
     an empty table gives no rows.
+
+    ``mixed`` asks for another score: the attention model mixed with counts of
+    what followed the same beginning of a word in training, where that was seen often.
     """
     path = path or public_tokenizers.path(FILE)
     spark = docs.sparkSession
@@ -534,7 +548,7 @@ def scores(docs: DataFrame, path: str | None = None) -> DataFrame:
     found = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, kinds = found["n"] + n_docs, found["v"] + (n_docs > 0)
     tables = corpus_tables(spark, counts, n_docs, path)
-    memory, every = beginnings(counts, float(total), path)
+    memory, every = beginnings(counts, float(total), path) if mixed else (None, None)
     weights = trained(train, tables, path)
     top = counts.orderBy(F.desc("c"), "word").limit(TOP_WORDS)
     common = top.toArrow()
@@ -553,10 +567,14 @@ def scores(docs: DataFrame, path: str | None = None) -> DataFrame:
                 for start in range(0, len(x), AT_ONCE):
                     part = slice(start, start + AT_ONCE)
                     logs_of[part] = scored_windows(x[part], want[part], p, t, made)
-                attention = np.exp(logs_of[want >= 0].astype(np.float64) + t.inside[ids])
-                seen, weight, (cut, places, many, alone) = remembered(own_words, each, memory, n_docs)
-                logs_of = np.log10(weight * attention + (1 - weight) * seen)
-                logs_of[places] = 0  # of words with cut beginnings: see rejoined
+                logs_of = logs_of[want >= 0].astype(np.float64) + t.inside[ids]
+                attention = np.exp(logs_of)
+                if memory is None:
+                    logs_of, cut, places, many, alone = logs_of / LN_10, NOTHING, NOTHING, NOTHING, np.zeros(0)
+                else:
+                    seen, weight, (cut, places, many, alone) = remembered(own_words, each, memory, n_docs)
+                    logs_of = np.log10(weight * attention + (1 - weight) * seen)
+                    logs_of[places] = 0  # of words with cut beginnings: see rejoined
                 score = sums(logs_of, each)
                 open_words = pa.StructArray.from_arrays(
                     [values.cast(pa.string()).take(pa.array(index[cut])), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(many)).astype(np.int32)), pa.array(attention[places])), pa.array(alone)],
@@ -587,7 +605,7 @@ def scores(docs: DataFrame, path: str | None = None) -> DataFrame:
     more = (words.join(counts, "word").groupBy("_of").agg(F.sum("times").alias("_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("_logs")))
     out = first.drop("rare", "cut").join(more, F.col("_row") == F.col("_of"), "left").drop("_of")
     score = F.col("score")
-    if not memory.whole:
+    if memory is not None and not memory.whole:
         out = out.join(rejoined(first, every, path), F.col("_row") == F.col("_of"), "left")
         score = score + F.coalesce("_score", F.lit(0.0))
     end = float(np.log10(n_docs + 1))

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stockloom.llm import common, embeddings, neardup, scoring, toxicity
@@ -269,6 +270,34 @@ def test_rare_beginnings_count_as_well(spark, documents, monkeypatch):
     assert {r.doc_id: r.score for r in scoring.scores(docs).collect()} == pytest.approx(full, rel=1e-6)
 
 
+def test_score_is_the_attention_model_alone(spark, documents, monkeypatch):
+    """The sum over pieces and ends of what the trained weights give, and nothing beside it."""
+    kept = {}
+    trained = scoring.trained
+    monkeypatch.setattr(scoring, "ROUNDS", 1)
+    monkeypatch.setattr(scoring, "trained", lambda docs, t, path: kept.setdefault("p", trained(docs, kept.setdefault("t", t), path)))
+    docs = documents.select("doc_id", "text").limit(60)
+    rows = docs.collect()
+    docs = spark.createDataFrame(rows, docs.schema)
+    got = {r.doc_id: r.score for r in scoring.scores(docs).collect()}
+    p, t = kept["p"], kept["t"]
+    for r in rows[:20]:
+        ids, each, _ = scoring.flattened(pa.array([r.text or ""]), scoring.public_tokenizers.path(scoring.FILE))
+        x, want, _ = scoring.windows(t.row[ids], t.of[ids], each, t)
+        logits = scoring.forward(x, p, t)["logits"].astype(float)
+        logs = np.take_along_axis(logits, np.maximum(want, 0)[:, :, None], 2)[:, :, 0] - np.log(np.exp(logits).sum(axis=2))
+        assert got[r.doc_id] == pytest.approx((logs[want >= 0].sum() + t.inside[ids].sum()) / math.log(10), rel=1e-3)
+
+
+def test_mixed_score_counts_rare_beginnings_as_well(spark, documents, monkeypatch):
+    monkeypatch.setattr(scoring, "ROUNDS", 0)
+    docs = documents.select("doc_id", "text").limit(60)
+    full = {r.doc_id: r.score for r in scoring.scores(docs, mixed=True).collect()}
+    monkeypatch.setattr(scoring, "TOP_BEGINNINGS", 100)
+    assert {r.doc_id: r.score for r in scoring.scores(docs, mixed=True).collect()} == pytest.approx(full, rel=1e-6)
+    assert {r.doc_id: r.score for r in scoring.scores(docs).collect()} != pytest.approx(full, rel=1e-3)
+
+
 def test_all_training_texts_move_the_weights(spark, monkeypatch):
     seen = spark.sparkContext.accumulator(0)
     fit = scoring.fit
