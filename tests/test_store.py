@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from stockloom.plans import jobs
 from stockloom.plans.jobs import JOBS, Job, JobFailed, Runner
 from stockloom.plans.ledger import BATCH, TABLE_RUN, Ledger
 from stockloom.plans.store import Store, work_folder
@@ -487,3 +488,26 @@ def test_reads_over_jdbc_are_split():
     for bad in ({}, {"rows": 10**7}, {"column": "ID"}):
         with pytest.raises(ValueError):
             jdbc_options("jdbc:x", "card", **bad)
+
+
+def test_a_batch_keeps_no_shuffle_files_of_ended_queries(spark, data, store):
+    """Inside a batch Spark drops a query's shuffle files when it ends; the setting is as before afterwards."""
+    name, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    before = spark.conf.get(name, None)
+    job = Job("X-1", "look", "dimension", "core.none", lambda r: seen.append(r.spark.conf.get(name)) or {})
+    Runner(spark, data, store, jobs={"X-1": job}).run_job("X-1")
+    assert seen == ["true"] and spark.conf.get(name, None) == before
+
+
+def test_repeated_keys_are_stored_once_and_set_aside(spark, data, store):
+    """Without a repeated key no row is compared; with one, all its rows are set aside."""
+    day = dt.date(2026, 1, 1)
+    schema = "snapshot_date date, source_item_code string, source_warehouse_code string, qty_on_hand int"
+    for batch, rows in enumerate(([(day, "a", "w", 1), (day, "b", "w", 1)], [(day, "a", "w", 1), (day, "a", "w", 2), (day, "b", "w", 1), (day, None, "w", 1)]), 1):
+        r = jobs.Run(spark, None, store, batch, "full", None, None, "quarantine")
+        kept, counts = jobs._stage(r, spark.createDataFrame(rows, schema), "stock_balance")
+        assert sorted(x.source_item_code for x in kept.collect()) == [["a", "b"], ["b"]][batch - 1]
+        assert counts == {"extracted": len(rows), "rejected": [0, 3][batch - 1]}
+        assert store.read_batch("stg.stock_balance_repeated", batch).count() == batch - 1
+    files = [f for f in store._children(f"{store.path('stg.stock_balance')}/etl_batch_id=1") if f.endswith(".parquet")]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
