@@ -1,14 +1,16 @@
-"""Names found by any part of them: stored trigrams beside the names, dealt into buckets by hash.
+"""Names found by any part of them: stored trigrams beside the names, dealt into buckets, and those into blocks, by hash.
 
-A search reads the buckets of the rarest trigrams of its pattern, keeps the
-names that have all of them, reads those names from the buckets they fall into
-and matches the pattern itself on them.  So the rows are those of a scan, and
-what is read follows the number of candidates.  A pattern without three fixed
+A trigram lists the blocks in which some name has it, not the names: names share most
+trigrams, so the lists grow by a fraction of what the names have.  A search reads the
+buckets of the rarest trigrams of its pattern, reads the blocks that have all of them, keeps
+the names there that have them and matches the pattern itself on those.  So the rows
+are those of a scan, and what is read follows the number of blocks with candidates.  A pattern without three fixed
 characters in a row has no trigram and reads all names.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +19,11 @@ from stockloom.plans.store import Store
 BUCKET = "name_bucket"
 #: Names per bucket that a build aims at, and the fewest buckets.
 NAMES_PER_BUCKET, LEAST_BUCKETS = 200_000, 16
+#: Blocks per bucket, so some thousand names in a block of a full bucket.
+BLOCKS = 64
 #: Trigrams of a pattern that are looked up, the rarest first; all others are left to the match.
 LOOKED_UP = 4
-SCHEMAS = {"names": f"kind string, code string, text string, name_id bigint, {BUCKET} int", "postings": f"gram string, name_id bigint, {BUCKET} int",
+SCHEMAS = {"names": f"kind string, code string, text string, block int, {BUCKET} int", "postings": f"gram string, block int, {BUCKET} int",
            "grams": "gram string, n bigint"}
 
 
@@ -56,25 +60,31 @@ class NameIndex:
     def _whole(self) -> list[str]:
         """Folders of whole builds, oldest first."""
         root = self.store.path(self.name)
-        builds = [n for n in self.store._children(root) if n.startswith("build-") and "_SUCCESS" in self.store._children(f"{root}/{n}/names")]
+        builds = [n for n in self.store._children(root) if n.startswith("build-") and n.count("-") == 3 and "_SUCCESS" in self.store._children(f"{root}/{n}/grams")]
         return sorted(builds, key=lambda n: int(n.split("-")[1]))
 
     def build(self, names: DataFrame) -> int:
         """Index ``names``; returns how many there are.  A null text is no name; equal rows are one."""
         root = self.store.path(self.name)
-        rows = names.filter("text IS NOT NULL").select("kind", "code", "text").distinct()
-        held, buckets = rows.count(), LEAST_BUCKETS
-        while buckets * NAMES_PER_BUCKET < held:
-            buckets *= 2
         old = [n for n in self.store._children(root) if n.startswith("build-")]
         number = max((int(n.split("-")[1]) for n in old), default=0) + 1
-        path = f"{root}/build-{number}-{buckets}"
-        keyed = rows.withColumn("name_id", F.xxhash64("kind", "code", "text"))
-        grams = keyed.select(F.explode(trigrams(F.col("text"))).alias("gram"), "name_id")
+        rows = names.filter("text IS NOT NULL").select("kind", "code", "text").distinct().persist(StorageLevel.DISK_ONLY)
+        try:
+            held, buckets = rows.count(), LEAST_BUCKETS
+            while buckets * NAMES_PER_BUCKET < held:
+                buckets *= 2
+            path = f"{root}/build-{number}-{buckets}-{BLOCKS}"
+            block = self._bucket(F.xxhash64("kind", "code", "text"), buckets * BLOCKS)
+            self._write(rows.withColumn("block", block).withColumn(BUCKET, F.col("block") % buckets), "block", f"{path}/names")
+        finally:
+            rows.unpersist()
+        # the names of a block lie together, so most of what repeats in it goes before the shuffle
+        long = self._read(path, "names").select("block", F.upper("text").alias("t"))
+        grams = (long.filter(F.length("t") >= 3).select("block", "t", F.explode(F.sequence(F.lit(1), F.length("t") - 2)).alias("i"))
+                 .select(F.substr("t", F.col("i"), F.lit(3)).alias("gram"), "block").distinct())
         self._write(grams.withColumn(BUCKET, self._bucket(F.xxhash64("gram"), buckets)), "gram", f"{path}/postings")
         counts = self._read(path, "postings").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
         counts.write.parquet(f"{path}/grams")
-        self._write(keyed.withColumn(BUCKET, self._bucket(F.col("name_id"), buckets)), "name_id", f"{path}/names")
         for n in old:
             fs, p = self.store._fs(f"{root}/{n}")
             fs.delete(p, True)
@@ -110,11 +120,13 @@ class NameIndex:
         rare = [r.gram for r in known[:LOOKED_UP]]
         picked = spark.createDataFrame([(g,) for g in rare], "gram string").select(self._bucket(F.xxhash64("gram"), buckets)).distinct()
         in_buckets = [r[0] for r in picked.collect()]
-        # two names with one id only make more candidates
         found = (self._read(path, "postings").filter(F.col(BUCKET).isin(in_buckets) & F.col("gram").isin(rare))
-                 .groupBy("name_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= len(rare)).select("name_id"))
-        touched = [r[0] for r in found.select(self._bucket(F.col("name_id"), buckets)).distinct().collect()]  # at most one value per bucket
-        return names.filter(F.col(BUCKET).isin(touched)).join(found, "name_id", "left_semi").select("kind", "code", "text")
+                 .groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= len(rare)).select("block"))
+        touched = [r[0] for r in found.select(F.col("block") % buckets).distinct().collect()]  # at most one value per bucket
+        near = names.filter(F.col(BUCKET).isin(touched)).join(found, "block", "left_semi")
+        for gram in rare:
+            near = near.filter(F.contains(F.upper("text"), F.lit(gram)))
+        return near.select("kind", "code", "text")
 
     def search(self, pattern: str) -> DataFrame:
         """(kind, code) of the names like ``pattern``, whatever their capitals; each once."""

@@ -57,3 +57,13 @@ def test_a_build_replaces_the_last_and_a_broken_one_is_not_used(spark, store):
     assert [r.code for r in index.search("%name%").collect()] == ["2"]
     index.build(spark.createDataFrame([], schema))
     assert index.search("%name%").count() == index.search("%").count() == 0
+
+
+def test_trigrams_are_listed_per_block_not_per_name(spark, store):
+    names = spark.range(20_000).selectExpr("'item' AS kind", "CAST(id AS STRING) AS code", "concat('common name of item ', CAST(id % 10 AS STRING), ' ', CAST(id AS STRING)) AS text")
+    index = N.NameIndex(store, "blocks")
+    assert index.build(names) == 20_000
+    folder = f"{store.path('index.blocks')}/{index._whole()[-1]}"
+    held = spark.read.parquet(f"{folder}/postings").count()
+    assert held < names.select(N.F.size(N.trigrams(N.F.col("text"))).alias("n")).agg(N.F.sum("n")).first()[0] / 4
+    assert index.search("%item 7 %77").count() == names.filter("text LIKE '%item 7 %77'").count() > 0
