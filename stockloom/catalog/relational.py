@@ -251,8 +251,9 @@ def _(w):
     lot = ["WORKING_CODE", "TRADE_CODE", "DEPT_ID", "LOT_NO"]
     moved = w.src.card.groupBy(*lot, "EXPIRED_DATE").agg(F.max("OPERATE_DATE").alias("last_move_exact"))
     by_lot = moved.groupBy(*lot).agg(F.max("last_move_exact").alias("last_move"))
-    return (w.src.inv_md_c.select(*lot, "EXPIRED_DATE").join(by_lot, lot, "left")
-            .join(moved, [*lot, "EXPIRED_DATE"], "left"))
+    # lots and movements already lie by all five columns, so the exact match, taken first, moves no row
+    return (w.src.inv_md_c.select(*lot, "EXPIRED_DATE").join(moved, [*lot, "EXPIRED_DATE"], "left")
+            .join(by_lot, lot, "left").select(*lot, "EXPIRED_DATE", "last_move", "last_move_exact"))
 
 
 @query("jon_12_conformed_joins", f"""
