@@ -9,6 +9,7 @@ from stockloom.plans import jobs
 from stockloom.plans.jobs import JOBS, Job, JobFailed, Runner
 from stockloom.plans.ledger import BATCH, TABLE_RUN, Ledger
 from stockloom.plans.store import Store, work_folder
+from stockloom.sources import extract
 from stockloom.streaming import movements as T
 from tests.conftest import values
 
@@ -511,3 +512,71 @@ def test_repeated_keys_are_stored_once_and_set_aside(spark, data, store):
         assert store.read_batch("stg.stock_balance_repeated", batch).count() == batch - 1
     files = [f for f in store._children(f"{store.path('stg.stock_balance')}/etl_batch_id=1") if f.endswith(".parquet")]
     assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def receipts_source(spark, folder):
+    """Three items, suppliers and warehouses, and an invoice of two lines a day for four months."""
+    tables = {
+        "part": "id as p_partkey, concat('part ', id) as p_name, 'b' as p_brand, 't' as p_type, cast(id as int) as p_size, cast(id as double) as p_retailprice",
+        "supplier": "id as s_suppkey, concat('s', id) as s_name, 1D as s_acctbal",
+        "nation": "cast(id as int) as n_nationkey, concat('n', id) as n_name, 0 as n_regionkey"}
+    for name, columns in tables.items():
+        spark.sql(f"SELECT {columns} FROM range(1, 4)").write.parquet(f"{folder}/{name}.parquet")
+    spark.sql("SELECT id*45 + 4 as o_orderkey, id % 3 + 1 as o_custkey, date_add(date'2024-01-01', cast(id as int)) as o_orderdate, "
+              "'F' as o_orderstatus, '1-URGENT' as o_orderpriority FROM range(0, 120)").write.parquet(f"{folder}/orders.parquet")
+    spark.sql("SELECT o_orderkey as l_orderkey, cast(n as int) as l_linenumber, n as l_partkey, n as l_suppkey, 10D as l_quantity, 50D * n as l_extendedprice, 'F' as l_linestatus, "
+              f"o_orderdate as l_shipdate FROM parquet.`{folder}/orders.parquet` LATERAL VIEW explode(array(1L, 2L)) AS n").write.parquet(f"{folder}/lineitem.parquet")
+    return folder
+
+
+def test_a_backfill_reads_its_source_once_for_all_months(spark, tmp_path, monkeypatch):
+    source, reads, real = receipts_source(spark, str(tmp_path)), [], extract.goods_receipt_line
+    monkeypatch.setattr(extract, "goods_receipt_line", lambda *a: reads.append(1) or real(*a))
+    jobs = {c: JOBS[c] for c in ("ETL-001", "ETL-002", "ETL-003", "ETL-008")}
+    chunked, whole = (Runner(spark, source, Store(spark, work_folder(spark, n), "month"), "quarantine", jobs, clock=CLOCK) for n in ("chunked", "whole"))
+    low, high = dt.date(2024, 1, 10), dt.date(2024, 4, 5)
+    batches = chunked.backfill(low, high)
+    assert len(batches) == 4 and len(reads) == 1
+    for code in jobs:
+        whole.run_job(code, "backfill", low, high)
+    fact = "core.fact_goods_receipt_line"
+    assert values(chunked.store.read(fact)) == values(whole.store.read(fact)) and chunked.store.read(fact).count() > 100
+    assert sum(chunked.store.read_batch("stg.goods_receipt_line", b).count() for b in batches) == chunked.store.read(fact).count()
+    assert chunked.store._children(chunked.store.path("land")) == []  # what was landed went
+
+
+def test_a_broken_backfill_leaves_nothing_landed(spark, tmp_path, monkeypatch):
+    jobs = {c: JOBS[c] for c in ("ETL-001", "ETL-002", "ETL-003", "ETL-008")}
+    runner = Runner(spark, receipts_source(spark, str(tmp_path)), Store(spark, work_folder(spark, "broken"), "month"), "quarantine", jobs, clock=CLOCK)
+    monkeypatch.setattr(Store, "replace_keys", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(JobFailed):
+        runner.backfill(dt.date(2024, 1, 10), dt.date(2024, 3, 5))
+    assert runner.store._children(runner.store.path("land")) == []
+
+
+def test_a_load_meets_the_index_once(spark, store, monkeypatch):
+    from stockloom.plans.keyindex import KeyIndex
+    met, real = [], KeyIndex._touched
+    monkeypatch.setattr(KeyIndex, "_touched", lambda self, wanted: met.append(1) or real(self, wanted))
+    store.replace_keys(rows(spark, ("2026-01-05", "a", 1), ("2026-01-05", "a", 2), ("2026-02-05", "b", 2)), "f.t", ["k"], "d")
+    assert not met  # the first load makes the index from the fact
+    index = KeyIndex(store, "f.t", ["k"], "part")
+    held = lambda: values(spark.read.parquet(index._path(index.buckets())), "k", "part")
+    assert held() == [("a", dt.date(2026, 1, 5)), ("b", dt.date(2026, 2, 5))]
+    store.replace_keys(rows(spark, ("2026-02-05", "b", 3), ("2026-03-05", "a", 3), ("2026-03-05", "c", 3)), "f.t", ["k"], "d")
+    assert len(met) == 1
+    assert held() == [("a", dt.date(2026, 1, 5)), ("a", dt.date(2026, 3, 5)), ("b", dt.date(2026, 2, 5)), ("c", dt.date(2026, 3, 5))]  # known pairs aren't repeated
+    assert store.insert_absent(rows(spark, ("2026-04-05", "a", 9), ("2026-04-05", "e", 9)), "f.t", ["k"], "d") == 1
+    assert len(met) == 2 and values(store.read("f.t"), "k", "v") == [("a", 3), ("b", 3), ("c", 3), ("e", 9)]
+
+
+def test_a_first_load_broken_before_its_index_loads_again(spark, store, monkeypatch):
+    from stockloom.plans.keyindex import KeyIndex
+    real = KeyIndex.rebuild
+    monkeypatch.setattr(KeyIndex, "rebuild", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    batch = rows(spark, ("2026-01-05", "a", 1), ("2026-01-06", "b", 2))
+    with pytest.raises(RuntimeError):
+        store.insert_absent(batch, "f.t", ["k"], "d")
+    monkeypatch.setattr(KeyIndex, "rebuild", real)
+    assert store.insert_absent(batch, "f.t", ["k"], "d") == 0
+    assert values(store.read("f.t"), "k", "v") == [("a", 1), ("b", 2)]
