@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -22,26 +23,41 @@ FOLDS, HELD_OUT = 7, 2
 TOP_WORDS = 1 << 18
 #: Pieces with an embedding of their own; the others share SHARED ones.  Output classes, and width of the model.
 OWN, SHARED, CLASSES, WIDTH = 4096, 256, 256, 16
+#: The output is given in two steps, a group of classes and the class in it, so that a token costs GROUPS + INSIDE logits.
+GROUPS = 8
+INSIDE = CLASSES // GROUPS
 #: A window scores its last STEP tokens, each with STEP to 2 * STEP tokens before it, itself included.
 STEP = 16
+#: Windows in a row that are trained or scored together and share the projections of their tokens.
+RUN = 8
 #: Training: rounds of averaging, tasks whose weights one task adds up, windows of a step, rate.
-ROUNDS, FAN_IN, BATCH, RATE = 2, 32, 96, 0.03
+ROUNDS, FAN_IN, BATCH, RATE = 2, 32, 96, 0.12
 LONGEST = 64
-#: Windows scored at once: few enough that their logits stay in a core's cache.
+#: Windows scored at once: few enough that what they need stays in a core's cache.
 AT_ONCE = 96
+#: Bytes of piece ids handled at once.
+ID_BYTES = 4 << 20
 #: Of the mixed score: word beginnings whose counts every task gets, those of all others come by a join; and the least weight of the attention model beside them.
 TOP_BEGINNINGS, LEAST_SHARE = 1 << 20, 0.005
 LN_10, NOTHING = np.log(10), np.zeros(0, np.int64)
 
 
 class Pieces:
-    """Subword ids of words: the merges of the piece model, for many words at once; very long words go in parts."""
+    """Subword ids of words: the merges of the piece model, for many words at once; very long words go in parts.
+
+    The library cuts the words that it leaves as they are, the rest is merged here; both give the same ids.
+    """
+
+    #: Words the library may cut: short, without control characters and its own sign of a space.  A model that changes letters fails at PROBE.
+    PLAIN, PROBE = f"^[^\\x00-\\x20\\x7f{SPACE}]{{1,{LONGEST - 1}}}$", ["word", "Ａ①ﬁ", "e\u0301é", "\u00a0x\u200b", "</s>", "漢字🙂"]
 
     def __init__(self, path: str):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.size, self.end = model.get_piece_size(), model.eos_id()
+        #: How ids are stored.
+        self.kind = np.dtype(np.uint16 if self.size <= 1 << 16 else np.uint32)
         ids = {model.id_to_piece(i): i for i in range(self.size) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
         order = {i: r for r, i in enumerate(sorted(ids.values(), key=lambda i: -model.get_score(i)))}
         rows = [(ids[p[:k]], ids[p[k:]], order[i], i) for p, i in ids.items() for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids]
@@ -51,9 +67,33 @@ class Pieces:
             if len(p) == 1:
                 self.of_char[ord(p)] = i
         self.first_byte = next(i for i in range(self.size) if model.is_byte(i))
+        self.model = model
+        probe = pa.array(self.PROBE)
+        if not all(np.array_equal(a, b) for a, b in zip(self.listed(probe), self.merged(probe))):
+            self.model = None
 
     def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and ids per word; a space stands in front of each word."""
+        plain = pc.match_substring_regex(words, self.PLAIN).to_numpy(zero_copy_only=False)
+        if self.model is None or not plain.any():
+            return self.merged(words)
+        if plain.all():
+            return self.listed(words)
+        counts = np.empty(len(words), np.int64)
+        (some, counts[plain]), (others, counts[~plain]) = self.listed(words.filter(pa.array(plain))), self.merged(words.filter(pa.array(~plain)))
+        starts = np.empty(len(words), np.int64)
+        starts[plain] = np.cumsum(counts[plain]) - counts[plain]
+        starts[~plain] = len(some) + np.cumsum(counts[~plain]) - counts[~plain]
+        return ragged(np.concatenate([some, others]), starts, counts), counts
+
+    def listed(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` by the library."""
+        ids = self.model.encode(words.to_pylist(), num_threads=1)
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum())), counts
+
+    def merged(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` by the merges."""
         n = len(words)
         text = SPACE + SPACE.join(words.to_pylist()) if n else ""
         code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -124,21 +164,28 @@ class Tables:
         self.of[order[:single]] = np.arange(single)
         mass = np.cumsum(smooth[order[single:]])
         self.of[order[single:]] = single + np.minimum((mass / mass[-1] * (CLASSES - single)).astype(int), CLASSES - single - 1)
+        self.of = self.of % GROUPS * INSIDE + self.of // GROUPS  # dealt to the groups in turn
         self.inside = np.log(smooth / np.bincount(self.of, smooth, CLASSES)[self.of]).astype(np.float32)
-        self.odds = np.zeros((self.rows, CLASSES), np.float32)
+        # behind each row and for each group: the odds of all groups, and of the classes in that one
+        self.odds = np.zeros((self.rows, GROUPS, GROUPS + INSIDE), np.float32)
 
     def follow(self, pairs: np.ndarray) -> None:
-        """Class odds from counts of (row, class), smoothed by the classes' own share."""
+        """Odds of classes and of groups from counts of (row, class), smoothed by the classes' own share."""
         share = (pairs.sum(axis=0) + 1) / (pairs.sum() + CLASSES)
-        self.odds[:len(pairs)] = np.log((pairs + 8 * share) / (pairs.sum(axis=1, keepdims=True) + 8))
+        odds = ((pairs + 8 * share) / (pairs.sum(axis=1, keepdims=True) + 8)).reshape(-1, GROUPS, INSIDE)
+        self.odds[:len(pairs), :, GROUPS:] = np.log(odds)
+        self.odds[:len(pairs), :, :GROUPS] = np.log(odds.sum(axis=2))[:, None]
         self.odds[self.none] = 0
 
 
 def fresh(rows: int, seed: int = 2) -> dict[str, np.ndarray]:
+    """First weights; the last row, of no token, stays zero."""
     rng = np.random.default_rng(seed)
     n = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
-    return {"embed": n(rows, WIDTH) * np.sqrt(rows).astype(np.float32) * 0.3, "query": n(WIDTH, WIDTH), "key": n(WIDTH, WIDTH), "value": n(WIDTH, WIDTH), "last": n(WIDTH, WIDTH),
-            "bias": np.zeros(WIDTH, np.float32), "place": np.zeros((STEP, 2 * STEP), np.float32), "out": n(WIDTH, CLASSES) * np.float32(0.1)}
+    p = {"embed": n(rows, WIDTH) * np.sqrt(rows).astype(np.float32) * 0.3, "query": n(WIDTH, WIDTH), "key": n(WIDTH, WIDTH), "value": n(WIDTH, WIDTH), "last": n(WIDTH, WIDTH),
+         "bias": np.zeros(WIDTH, np.float32), "place": np.zeros((STEP, 2 * STEP), np.float32), "out": n(WIDTH, CLASSES) * np.float32(0.1), "groups": n(WIDTH, GROUPS) * np.float32(0.1)}
+    p["embed"][-1] = 0
+    return p
 
 
 #: What a query sees: itself and the tokens before it.
@@ -165,59 +212,113 @@ def windows(rows: np.ndarray, classes: np.ndarray, sizes: np.ndarray, t: Tables)
     return np.concatenate([earlier, own], axis=1), want, per
 
 
-def projected(p: dict[str, np.ndarray], t: Tables) -> dict[str, np.ndarray]:
-    """The projections of every row, made once for scoring.
+def side_by_side(p: dict[str, np.ndarray]) -> np.ndarray:
+    """All projections: key, value, a column for the sum of weights, query and what goes past the attention."""
+    return np.concatenate([p["key"], p["value"], np.zeros((WIDTH, 1), np.float32), p["query"] * np.float32(WIDTH ** -0.5), p["last"]], axis=1)
 
-    A further column of queries and keys is the mask of missing tokens, and one
-    of values sums the weights, so that both come with the products.
-    """
-    e, wide = p["embed"], lambda a, c: np.concatenate([a, c[:, None].astype(np.float32)], axis=1)
-    one, mask = np.ones(t.rows), np.zeros(t.rows)
-    mask[t.none] = -1e9
-    return {"query": wide(e @ p["query"] * np.float32(WIDTH ** -0.5), one), "key": wide(e @ p["key"], mask), "value": wide(e @ p["value"], one), "last": e @ p["last"] + p["bias"]}
 
+def by_group(p: dict[str, np.ndarray]) -> np.ndarray:
+    """For each group the weights of all groups and of its classes: [GROUPS, WIDTH, GROUPS + INSIDE]."""
+    w = np.empty((GROUPS, WIDTH, GROUPS + INSIDE), np.float32)
+    w[:, :, :GROUPS], w[:, :, GROUPS:] = p["groups"], p["out"].reshape(WIDTH, GROUPS, INSIDE).transpose(1, 0, 2)
+    return w
 
-def scored_windows(x: np.ndarray, want: np.ndarray, p: dict[str, np.ndarray], t: Tables, tables: dict[str, np.ndarray]) -> np.ndarray:
-    """Log probability of each wanted class: the same as ``forward`` gives, in fewer passes over memory."""
-    cur = x[:, STEP:]
-    s = tables["query"][cur] @ tables["key"][x].transpose(0, 2, 1)
-    s += p["place"] + CAUSAL
-    if (top := float(s.max(initial=0))) > 60:
-        s -= np.float32(top - 60)
-    np.exp(s, out=s)
-    seen = s @ tables["value"][x]
-    h = np.tanh(seen[:, :, :WIDTH] / np.maximum(seen[:, :, WIDTH:], np.float32(1e-30)) + tables["last"][cur])
-    logits = h.reshape(-1, WIDTH) @ p["out"]
-    logits += t.odds[cur.ravel()]
-    return log_probs(logits, want)
+
+def projections(e: np.ndarray, w: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """Projections of embeddings; where no token is, there is neither value nor part in the sum of weights."""
+    a = e @ w
+    a[:, 2 * WIDTH] = there
+    return a
 
 
-def rows_by(a: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """Product of the last axis with a matrix, as one matrix product over all rows."""
-    return (a.reshape(-1, a.shape[-1]) @ w).reshape(*a.shape[:-1], w.shape[1])
+def projected(p: dict[str, np.ndarray], t: Tables) -> np.ndarray:
+    """The projections of every row, made once for scoring."""
+    return projections(p["embed"], side_by_side(p), np.arange(t.rows) != t.none)
+
+
+def in_runs(x: np.ndarray, run: int) -> np.ndarray:
+    """Tokens of each ``run`` windows in a row, those before the first and then each window's own: [n / run, (run + 1) * STEP]."""
+    return np.concatenate([x[::run, :STEP], x[:, STEP:].reshape(-1, run * STEP)], axis=1)
+
+
+def attended(a: np.ndarray, x: np.ndarray, p: dict[str, np.ndarray], t: Tables, run: int) -> dict[str, np.ndarray]:
+    """Masked attention of windows over the projections ``a`` of their runs: hidden units, and what their gradients need.
+
+    Weights of attention lie by key and query, which spares the products a transposition.
+    """
+    n, each, width = a.shape
+    # keys and values of a window are a view of its run's; windows overlap
+    seen_by = lambda start, many: np.ndarray((n, run, 2 * STEP, many), a.dtype, a, start * 4, (each * width * 4, STEP * width * 4, width * 4, 4))
+    key, value = seen_by(0, WIDTH), seen_by(WIDTH, WIDTH + 1)
+    own = a.reshape(n, run + 1, STEP, width)[:, 1:]
+    query, last = own[..., 2 * WIDTH + 1:3 * WIDTH + 1], own[..., 3 * WIDTH + 1:]
+    u = key @ np.ascontiguousarray(query.transpose(0, 1, 3, 2))
+    u += np.ascontiguousarray((p["place"] + CAUSAL).T)
+    if (top := float(u.max(initial=0))) > 60:
+        u -= np.float32(top - 60)
+    np.exp(u, out=u)
+    if run > 1:  # the first window of a text has nothing before it
+        u.reshape(-1, 2 * STEP, STEP)[np.flatnonzero(x[:, STEP - 1] == t.none), :STEP] = 0
+    seen = u.transpose(0, 1, 3, 2) @ value
+    part = 1 / np.maximum(seen[..., WIDTH:], np.float32(1e-30))
+    mean = seen[..., :WIDTH] * part
+    h = mean + last
+    h += p["bias"]
+    return {"key": key, "value": value, "query": query, "u": u, "part": part, "mean": mean, "h": np.tanh(h, out=h)}
+
+
+def grouped(h: np.ndarray, cur: np.ndarray, want: np.ndarray, w: np.ndarray, t: Tables) -> tuple[np.ndarray, ...]:
+    """Tokens with a wanted class, sorted by its group: their places, ends of groups, hidden units, where the wanted group and class
+    are in a row, and the exponentials of the logits of groups and of the wanted group's classes, with what the logits were there."""
+    group = (want // INSIDE).astype(np.uint8)  # none is 255
+    order = np.argsort(group, kind="stable")
+    ends = [0, *np.cumsum(np.bincount(group, minlength=GROUPS)[:GROUPS]).tolist()]
+    order = order[:ends[-1]]
+    h, want = h.take(order, axis=0), want.take(order)
+    group = want // INSIDE
+    logits = np.empty((len(order), GROUPS + INSIDE), np.float32)
+    for k in range(GROUPS):
+        np.matmul(h[ends[k]:ends[k + 1]], w[k], out=logits[ends[k]:ends[k + 1]])
+    logits += t.odds.reshape(-1, GROUPS + INSIDE).take(cur.take(order) * GROUPS + group, axis=0)
+    # odds are at most 0 and the hidden units at most 1, so only large weights could overflow
+    if (top := float(logits.max(initial=0))) > 60:
+        logits -= np.float32(top - 60)
+    row = np.arange(len(order)) * (GROUPS + INSIDE)
+    chosen = np.stack([row + group, row + (want % INSIDE + GROUPS)], axis=1)
+    were = logits.ravel().take(chosen)
+    return order, ends, h, chosen, np.exp(logits, out=logits), were
+
+
+#: Adds up the exponentials of the groups, and those of the classes.
+BOTH = np.repeat(np.eye(2, dtype=np.float32), [GROUPS, INSIDE], axis=0)
+
+
+def scored_windows(x: np.ndarray, want: np.ndarray, p: dict[str, np.ndarray], t: Tables, tables: np.ndarray, run: int = 1) -> np.ndarray:
+    """Log probability of each wanted class, 0 where none is: the same as ``forward`` gives, without the classes of other groups.
+
+    ``run`` windows in a row must follow each other or begin a text.
+    """
+    h = attended(tables.take(in_runs(x, run), axis=0), x, p, t, run)["h"].reshape(-1, WIDTH)
+    order, _, _, _, exps, were = grouped(h, x[:, STEP:].ravel(), want.ravel(), by_group(p), t)
+    out = np.zeros(want.size, np.float32)
+    out[order] = (were - np.log(exps @ BOTH)).sum(axis=1)
+    return out.reshape(want.shape)
 
 
 def forward(x: np.ndarray, p: dict[str, np.ndarray], t: Tables) -> dict[str, np.ndarray]:
-    """Batched masked attention over windows, up to the logits of the classes."""
-    cur, e = x[:, STEP:], p["embed"][x]
-    q, k, v, last = rows_by(e[:, STEP:], p["query"]), rows_by(e, p["key"]), rows_by(e, p["value"]), rows_by(e[:, STEP:], p["last"])
-    s = q @ k.transpose(0, 2, 1)
-    s *= np.float32(WIDTH ** -0.5)
-    s += p["place"] + CAUSAL
-    s += np.where(x == t.none, np.float32(-1e9), np.float32(0))[:, None, :]
-    s -= s.max(axis=2, keepdims=True)
-    np.exp(s, out=s)
-    s /= s.sum(axis=2, keepdims=True)
-    h = np.tanh(s @ v + last + p["bias"])
-    logits = h.reshape(-1, WIDTH) @ p["out"]
-    logits += t.odds[cur.ravel()]
-    return {"e": e, "q": q, "k": k, "v": v, "a": s, "h": h, "logits": logits.reshape(*cur.shape, CLASSES)}
+    """Batched masked attention over windows, up to the logits of all classes, which are their log probabilities."""
+    cur = x[:, STEP:]
+    h = attended(projected(p, t)[x], x, p, t, 1)["h"].reshape(-1, WIDTH)
+    odds = t.odds[cur.ravel()]
+    tops, logits = h @ p["groups"] + odds[:, 0, :GROUPS], (h @ p["out"]).reshape(-1, GROUPS, INSIDE) + odds[:, :, GROUPS:]
+    log_sum = lambda a: np.log(np.exp(a - a.max(axis=-1, keepdims=True)).sum(axis=-1, keepdims=True)) + a.max(axis=-1, keepdims=True)
+    logits += (tops - log_sum(tops))[:, :, None] - log_sum(logits)
+    return {"h": h, "logits": logits.reshape(*cur.shape, CLASSES)}
 
 
 def log_probs(logits: np.ndarray, want: np.ndarray) -> np.ndarray:
     """Log probability of each wanted class, 0 where none is; overwrites the logits."""
     flat, w = logits.reshape(-1, CLASSES), want.ravel()
-    # class odds are at most 0 and the hidden units at most 1, so only large weights could overflow
     if (top := float(flat.max(initial=0))) > 60:
         flat -= np.float32(top - 60)
     chosen = flat[np.arange(len(w)), np.maximum(w, 0)]
@@ -225,43 +326,88 @@ def log_probs(logits: np.ndarray, want: np.ndarray) -> np.ndarray:
     return np.where(w >= 0, chosen - np.log(flat @ np.ones(CLASSES, np.float32)), 0).reshape(want.shape)
 
 
-def gradients(x: np.ndarray, want: np.ndarray, p: dict[str, np.ndarray], t: Tables) -> dict[str, np.ndarray]:
-    """Gradient of the mean loss by each weight; of ``embed`` as the rows that occur and theirs.  ``want`` is -1 where none is."""
-    f = forward(x, p, t)
-    g = f["logits"].reshape(-1, CLASSES)
-    top = g.max(axis=1)
-    if len(top) and np.abs(top).max() > 60:
-        g -= top[:, None]
-    np.exp(g, out=g)
-    there = want.ravel() >= 0
-    part = (there / max(1, there.sum())).astype(np.float32)
-    g *= (part / (g @ np.ones(CLASSES, np.float32)))[:, None]
-    g[np.arange(len(g)), np.maximum(want.ravel(), 0)] -= part
-    e, cur, scale = f["e"], f["e"][:, STEP:], np.float32(WIDTH ** -0.5)
-    dz = (g @ p["out"].T).reshape(f["h"].shape) * (1 - f["h"] ** 2)
-    da = dz @ f["v"].transpose(0, 2, 1)
-    ds = f["a"] * (da - (da * f["a"]).sum(axis=2, keepdims=True))
-    dq, dk, dv = ds @ f["k"] * scale, ds.transpose(0, 2, 1) @ f["q"] * scale, f["a"].transpose(0, 2, 1) @ dz
-    flat = lambda a: a.reshape(-1, a.shape[-1])
-    de = rows_by(dk, p["key"].T) + rows_by(dv, p["value"].T)
-    de[:, STEP:] += rows_by(dq, p["query"].T) + rows_by(dz, p["last"].T)
-    rows, at = np.unique(x, return_inverse=True)
-    cells = (at.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
-    embed = np.bincount(cells, de.ravel(), len(rows) * WIDTH).astype(np.float32).reshape(-1, WIDTH)
-    return {"embed": (rows, embed), "query": flat(cur).T @ flat(dq), "key": flat(e).T @ flat(dk), "value": flat(e).T @ flat(dv), "last": flat(cur).T @ flat(dz),
-            "bias": flat(dz).sum(axis=0), "place": ds.sum(axis=0), "out": flat(f["h"]).T @ g}
+def gradients(x: np.ndarray, want: np.ndarray, p: dict[str, np.ndarray], t: Tables, run: int = 1) -> dict[str, np.ndarray]:
+    """Gradient of the mean loss by each weight; of ``embed`` as the rows that occur and theirs.  ``want`` is -1 where none is; ``run`` as for scores."""
+    tokens, w, ends_with = in_runs(x, run), side_by_side(p), by_group(p)
+    n, flat = len(tokens), tokens.ravel().astype(np.intp)
+    e = p["embed"].take(flat, axis=0)
+    f = attended(projections(e, w, flat != t.none).reshape(*tokens.shape, -1), x, p, t, run)
+    order, ends, hs, chosen, g, _ = grouped(f["h"].reshape(-1, WIDTH), x[:, STEP:].ravel(), want.ravel(), ends_with, t)
+    mean_of = np.float32(1 / max(1, len(order)))
+    share = mean_of / (g @ BOTH)
+    g[:, :GROUPS] *= share[:, :1]
+    g[:, GROUPS:] *= share[:, 1:]
+    g.ravel()[chosen.ravel()] -= mean_of
+    dh, back, out = np.empty_like(hs), np.ascontiguousarray(ends_with.transpose(0, 2, 1)), np.empty_like(ends_with)
+    for k in range(GROUPS):
+        part = slice(ends[k], ends[k + 1])
+        np.matmul(g[part], back[k], out=dh[part])
+        np.matmul(hs[part].T, g[part], out=out[k])
+    hs *= hs
+    dh *= np.subtract(1, hs, out=hs)
+    dz = np.zeros((f["h"].size // WIDTH, WIDTH), np.float32)
+    dz[order] = dh
+    dz = dz.reshape(f["h"].shape)
+    of_mean = dz * f["part"]
+    of_seen = np.empty((n, run, WIDTH + 1, STEP), np.float32)
+    of_seen[:, :, :WIDTH] = of_mean.transpose(0, 1, 3, 2)
+    np.negative(np.einsum("abij,abij->abi", of_mean, f["mean"]), out=of_seen[:, :, WIDTH])
+    du = f["value"] @ of_seen
+    du *= f["u"]
+    # gradients by the projections: a token's as key and value come from its own window and the next
+    both = np.empty((n, run, 2 * STEP, 2 * WIDTH), np.float32)
+    np.matmul(du, f["query"], out=both[..., :WIDTH])
+    np.matmul(f["u"], of_mean, out=both[..., WIDTH:])
+    seen = np.empty((n, run + 1, STEP, 2 * WIDTH), np.float32)
+    seen[:, :-1] = both[:, :, :STEP]
+    seen[:, -1] = 0
+    seen[:, 1:] += both[:, :, STEP:]
+    own = np.empty((n, run, STEP, 2 * WIDTH), np.float32)
+    np.matmul(du.transpose(0, 1, 3, 2), f["key"], out=own[..., :WIDTH])
+    own[..., WIDTH:] = dz
+    e_own, own, seen = e.reshape(n, -1, WIDTH)[:, STEP:].reshape(-1, WIDTH), own.reshape(-1, 2 * WIDTH), seen.reshape(-1, 2 * WIDTH)
+    of_keys, of_own = e.T @ seen, e_own.T @ own
+    de = (seen @ np.ascontiguousarray(w[:, :2 * WIDTH].T)).reshape(n, -1, WIDTH)
+    de[:, STEP:] += (own @ np.ascontiguousarray(w[:, 2 * WIDTH + 1:].T)).reshape(n, -1, WIDTH)
+    there = np.bincount(flat, minlength=t.rows)
+    there[t.none] = 0
+    there = np.flatnonzero(there)
+    embed = np.bincount(CELLS.take(flat, axis=0).ravel(), de.ravel(), t.rows * WIDTH).reshape(-1, WIDTH).take(there, axis=0).astype(np.float32)
+    return {"embed": (there, embed), "query": of_own[:, :WIDTH] * np.float32(WIDTH ** -0.5), "key": of_keys[:, :WIDTH], "value": of_keys[:, WIDTH:], "last": of_own[:, WIDTH:],
+            "bias": np.ones(len(own), np.float32) @ own[:, WIDTH:], "place": du.sum(axis=(0, 1)).T, "out": out[:, :, GROUPS:].transpose(1, 0, 2).reshape(WIDTH, CLASSES), "groups": out[:, :, :GROUPS].sum(axis=0)}
+
+
+#: Places of a row's embedding in the flat table of all.
+CELLS = np.arange((OWN + SHARED + 2) * WIDTH).reshape(-1, WIDTH)
 
 
 def fit(x: np.ndarray, want: np.ndarray, p: dict[str, np.ndarray], t: Tables, seed: int, seen: dict[str, np.ndarray] | None = None) -> None:
-    """One pass over the windows by Adagrad, in place; ``seen`` carries its sums of squares from part to part."""
+    """One pass over the windows, which are in the order of the texts, by Adagrad, in place; ``seen`` carries its sums of squares from part to part."""
     rng, seen = np.random.default_rng(seed), {k: np.full_like(v, 1e-6) for k, v in p.items()} if seen is None else seen
-    order = rng.permutation(len(x))
-    for start in range(0, len(order), BATCH):
-        rows = order[start:start + BATCH]
-        for k, g in gradients(x[rows], want[rows], p, t).items():
-            at, g = g if k == "embed" else (slice(None), g)  # rows that don't occur stay as they are
-            seen[k][at] += g * g
-            p[k][at] -= (RATE * g / np.sqrt(seen[k][at])).astype(np.float32)
+    whole = len(x) // RUN
+    runs, many = rng.permutation(whole), BATCH // RUN
+    steps = [((runs[i:i + many, None] * RUN + np.arange(RUN)).ravel(), RUN) for i in range(0, whole, many)]
+    if len(x) % RUN:
+        steps.append((np.arange(whole * RUN, len(x)), 1))
+    # all weights but the embeddings in one line
+    line = [k for k in p if k != "embed"]
+    flat, squares = (np.concatenate([a[k].ravel() for k in line]) for a in (p, seen))
+    ends = np.cumsum([p[k].size for k in line])
+    of = lambda a: {k: part.reshape(p[k].shape) for k, part in zip(line, np.split(a, ends[:-1]))}
+    now = {"embed": p["embed"], **of(flat)}
+    for rows, run in steps:
+        g = gradients(x[rows], want[rows], now, t, run)
+        at, embed = g["embed"]  # rows that don't occur stay as they are
+        sums_of = seen["embed"].take(at, axis=0) + embed * embed
+        seen["embed"][at] = sums_of
+        p["embed"][at] -= RATE * embed / np.sqrt(sums_of)
+        step = np.concatenate([g[k].ravel() for k in line])
+        squares += step * step
+        flat -= RATE * step / np.sqrt(squares)
+    for k, part in of(flat).items():
+        p[k][...] = part
+    for k, part in of(squares).items():
+        seen[k][...] = part
 
 
 def flattened(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, tuple[pa.Array, np.ndarray, np.ndarray]]:
@@ -278,6 +424,28 @@ def flattened(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, tuple
     return out, each, (*words, ids, counts)
 
 
+def pieced(docs: DataFrame, path: str) -> DataFrame:
+    """``docs`` with ``ids``, the piece ids of the text and the end as bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, texts in chunks(batch, limit=12 << 20):
+                ids, each, _ = flattened(texts, path)
+                raw = ids.astype(pieces(path).kind)
+                ends = np.append(0, np.cumsum(each) * raw.itemsize).astype(np.int32)
+                column = pa.BinaryArray.from_buffers(pa.binary(), len(each), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_arrays([*rows.columns, column], names=[*rows.schema.names, "ids"])
+
+    return map_arrow(docs, run, f"{', '.join(f'{c.name} {c.dataType.simpleString()}' for c in docs.schema)}, ids binary")
+
+
+def ids_of(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids of ``pieced`` rows, one after the other, and ids per row."""
+    column = column.cast(pa.large_binary())
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int64)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(data, kind, (ends[-1] - ends[0]) // kind.itemsize, ends[0]).astype(np.int32), np.diff(ends) // kind.itemsize
+
+
 def remembered(words: tuple, each: np.ndarray, memory: Memory, n_docs: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
     """For every piece of the texts, ends included: its share among what followed in training, and the weight of the attention model.
 
@@ -317,51 +485,41 @@ def remembered(words: tuple, each: np.ndarray, memory: Memory, n_docs: int) -> t
     return p, w, (cut, places, many, alone)
 
 
-def corpus_tables(spark, counts: DataFrame, n_docs: int, path: str) -> Tables:
-    """Piece statistics from the counts of all words; tables of fixed size reach the driver."""
-    tok = pieces(path)
+def corpus_tables(docs: DataFrame, path: str) -> Tables:
+    """Piece statistics of all ``pieced`` training texts; tables of fixed size reach the driver."""
+    tok, texts = pieces(path), docs.select("ids")
+    size, kind = tok.size, tok.kind
 
     def singles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(tok_size, np.float64)
+        total = np.zeros(size, np.int64)
         for batch in batches:
-            ids, n = pieces(path).encode(batch.column("word"))
-            total += np.bincount(ids, np.repeat(batch.column("c").to_numpy(), n), tok_size)
+            for _, part in chunks(batch, "ids", ID_BYTES):
+                total += np.bincount(ids_of(part, kind)[0], minlength=size)
         yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(total).astype(np.int32)), pa.array(total[total > 0])], names=["piece", "n"])
 
-    tok_size, end = tok.size, tok.end
-    total = np.zeros(tok_size)
-    for r in map_arrow(counts, singles, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect():
-        total[r["piece"]] = r["n"]
-    total[end] = n_docs
+    total = np.zeros(size)
+    found = map_arrow(texts, singles, "piece int, n bigint").groupBy("piece").agg(F.sum("n").alias("n")).toArrow()
+    total[found.column("piece").to_numpy()] = found.column("n").to_numpy()
     t = Tables(total)
-    row, of = t.row, t.of
+    row, of, begin = t.row, t.of, t.begin
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Within words: row and class that follow; at their ends: the first class, and the last row (class -1)."""
-        found = np.zeros((OWN + SHARED + 1, CLASSES + 1))
+        """What follows what: rows, the one before the first piece included, and classes."""
+        seen = np.zeros((begin + 1) * CLASSES, np.int64)
         for batch in batches:
-            ids, n = pieces(path).encode(batch.column("word"))
-            c = batch.column("c").to_numpy().astype(np.float64)
-            ends = np.cumsum(n)
-            weight = np.repeat(c, n)
-            last = np.zeros(len(ids), bool)
-            last[ends - 1] = True
-            a = np.flatnonzero(~last)
-            np.add.at(found, (row[ids[a]], of[ids[np.minimum(a + 1, len(ids) - 1)]]), weight[a])
-            np.add.at(found, (row[ids[last]], CLASSES), c)
-            np.add.at(found, (OWN + SHARED, of[ids[ends - n]]), c)
-        r, k = np.nonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(r.astype(np.int32)), pa.array(k.astype(np.int32)), pa.array(found[r, k])], names=["row", "class", "n"])
-
-    found = np.zeros((OWN + SHARED + 1, CLASSES + 1))
-    for r in map_arrow(counts, pairs, "row int, class int, n double").groupBy("row", "class").agg(F.sum("n").alias("n")).collect():
-        found[r["row"], r["class"]] = r["n"]
-    # a word's end is followed by the first piece of any word, or by the end of the text
-    first = found[-1, :CLASSES].copy()
-    first[of[end]] += n_docs
-    follow = found[:, :CLASSES] + found[:, CLASSES:] * (first / max(1, first.sum()))
-    follow[-1] = first
-    t.follow(follow)
+            for _, part in chunks(batch, "ids", ID_BYTES):
+                ids, sizes = ids_of(part, kind)
+                before = np.empty(len(ids), np.int64)
+                before[1:] = row[ids[:-1]]
+                before[(np.cumsum(sizes) - sizes)] = begin
+                seen += np.bincount(before * CLASSES + of[ids], minlength=len(seen))
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], names=["pair", "n"])
+
+    follow = np.zeros((begin + 1) * CLASSES)
+    found = map_arrow(texts, pairs, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    follow[found.column("pair").to_numpy()] = found.column("n").to_numpy()
+    t.follow(follow.reshape(-1, CLASSES))
     return t
 
 
@@ -483,8 +641,9 @@ def rejoined(first: DataFrame, every: DataFrame, path: str) -> DataFrame:
 
 
 def trained(docs: DataFrame, t: Tables, path: str) -> dict[str, np.ndarray]:
-    """Weights from all training texts: each task trains on the windows of its part, rounds average."""
-    texts = docs.select("text")
+    """Weights from all training texts, ``pieced`` or not: each task trains on the windows of its part, rounds average."""
+    texts = (docs if "ids" in docs.columns else pieced(docs.select("text"), path)).select("ids")
+    kind = pieces(path).kind
     p = fresh(t.rows)
     shapes = {k: v.shape for k, v in p.items()}
     for turn in range(ROUNDS):
@@ -493,8 +652,8 @@ def trained(docs: DataFrame, t: Tables, path: str) -> dict[str, np.ndarray]:
         def train(batches: Iterator[pa.RecordBatch], start=start, turn=turn) -> Iterator[pa.RecordBatch]:
             own, seen, n = {k: v.copy() for k, v in start.items()}, {k: np.full_like(v, 1e-6) for k, v in start.items()}, 0
             for batch in batches:
-                for _, part in chunks(batch, limit=12 << 20):
-                    ids, sizes, _ = flattened(part, path)
+                for _, part in chunks(batch, "ids", ID_BYTES):
+                    ids, sizes = ids_of(part, kind)
                     x, want, _ = windows(t.row[ids], t.of[ids], sizes, t)
                     fit(x, want, own, t, turn, seen)
                     n += len(x)
@@ -542,16 +701,18 @@ def scores(docs: DataFrame, path: str | None = None, mixed: bool = False) -> Dat
     path = path or public_tokenizers.path(FILE)
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text").withColumn("held_out", held_out())
+    docs = written(pieced(docs, path))
     train = docs.where(~F.col("held_out"))
     counts = written(word_counts(train))
     n_docs = train.count()
     found = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, kinds = found["n"] + n_docs, found["v"] + (n_docs > 0)
-    tables = corpus_tables(spark, counts, n_docs, path)
+    tables = corpus_tables(train, path)
     memory, every = beginnings(counts, float(total), path) if mixed else (None, None)
     weights = trained(train, tables, path)
     top = counts.orderBy(F.desc("c"), "word").limit(TOP_WORDS)
     common = top.toArrow()
+    kind = pieces(path).kind
     shared = spark.sparkContext.broadcast((common.column("word").combine_chunks(), common.column("c").to_numpy(), weights, tables, memory))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -560,13 +721,15 @@ def scores(docs: DataFrame, path: str | None = None, mixed: bool = False) -> Dat
         made = projected(p, t)
         for batch in batches:
             for rows, texts in chunks(batch, limit=12 << 20):
-                ids, each, own_words = flattened(texts, path)
+                ids, each = ids_of(rows.column("ids"), kind)
+                own_words = lowered(texts) if memory is None else flattened(texts, path)[2]
                 values, index, sizes = own_words[:3]
-                x, want, per = windows(t.row[ids], t.of[ids], each, t)
+                x, want, _ = windows(t.row[ids], t.of[ids], each, t)
                 logs_of = np.empty(want.shape, np.float32)
-                for start in range(0, len(x), AT_ONCE):
-                    part = slice(start, start + AT_ONCE)
-                    logs_of[part] = scored_windows(x[part], want[part], p, t, made)
+                whole = len(x) // RUN * RUN
+                for start in (*range(0, whole, AT_ONCE), *([whole] if whole < len(x) else [])):
+                    part = slice(start, min(start + AT_ONCE, whole) if start < whole else len(x))
+                    logs_of[part] = scored_windows(x[part], want[part], p, t, made, RUN if start < whole else 1)
                 logs_of = logs_of[want >= 0].astype(np.float64) + t.inside[ids]
                 attention = np.exp(logs_of)
                 if memory is None:
@@ -597,8 +760,8 @@ def scores(docs: DataFrame, path: str | None = None, mixed: bool = False) -> Dat
                      pa.ListArray.from_arrays(pa.array(open_ends), open_words)],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "rare", "cut"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    first = written(map_arrow(docs, run, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, logs double, score double, rare array<struct<word:string,times:int>>, "
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    first = written(map_arrow(docs, run, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, logs double, score double, rare array<struct<word:string,times:int>>, "
                               "cut array<struct<word:string,attention:array<double>,alone:double>>")
                     .withColumn("_row", F.monotonically_increasing_id()))
     words = first.select("_row", F.explode("rare").alias("r")).select(F.col("_row").alias("_of"), "r.word", "r.times")

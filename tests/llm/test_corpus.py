@@ -360,3 +360,48 @@ def test_word_beginnings_are_a_distribution():
     assert share[starts].tolist() == [6 / 12, 6 / 12, 6 / 12, 4 / 12]
     assert share[starts[:3] + 1].tolist() == [5 / 6, 5 / 6, 1 / 6] and share[starts[1] + 2] == 2 / 5
     assert end.tolist() == [3 / 5, 1.0, 1.0, 1.0]
+
+
+def test_library_and_merges_cut_words_alike():
+    """Words of any characters get the same ids from the library as from the merges, in their order."""
+    rng = np.random.default_rng(3)
+    signs = [chr(c) for c in (*range(0x21, 0x7f), *range(0x80, 0x24f), *range(0x300, 0x320), *range(0x400, 0x450), 0x3000, *range(0x4e00, 0x4e80), 0x200b, 0xfb01, 0xff21, 0x1f642)]
+    words = pa.array(["".join(rng.choice(signs, n)) for n in rng.integers(1, 30, 3000)] + ["▁x", "a\0b", "x" * 500, "</s>", "<0x41>", "straße"])
+    tok = scoring.pieces(scoring.public_tokenizers.path(scoring.FILE))
+    assert tok.model is not None
+    for a, b in zip(tok.encode(words), tok.merged(words)):
+        assert np.array_equal(a, b)
+
+
+def test_runs_share_their_tokens():
+    """Windows in runs score and learn as they do one by one, over the borders of texts and with empty texts' ends."""
+    rng = np.random.default_rng(4)
+    sizes = np.array([1, 70, 16, 3, 100, 33, 1, 17], np.int64)
+    ids = rng.integers(0, 300, sizes.sum()).astype(np.int32)
+    t = scoring.Tables(np.bincount(ids, minlength=300).astype(float))
+    t.follow(rng.integers(0, 9, (scoring.OWN + scoring.SHARED + 1, scoring.CLASSES)).astype(float))
+    x, want, per = scoring.windows(t.row[ids], t.of[ids], sizes, t)
+    n = len(x) // 4 * 4
+    x, want, p = x[:n], want[:n], scoring.fresh(t.rows)
+    tables = scoring.projected(p, t)
+    one = scoring.scored_windows(x, want, p, t, tables)
+    assert np.allclose(one, scoring.scored_windows(x, want, p, t, tables, 4), atol=1e-5)
+    assert np.allclose(one, scoring.log_probs(scoring.forward(x, p, t)["logits"], want), atol=1e-4)
+    a, b = scoring.gradients(x, want, p, t), scoring.gradients(x, want, p, t, 4)
+    assert np.array_equal(a["embed"][0], b["embed"][0])
+    for k in a:
+        g, h = (a[k][1], b[k][1]) if k == "embed" else (a[k], b[k])
+        assert np.allclose(g, h, atol=1e-5), k
+
+
+def test_pieces_are_cut_once(spark, monkeypatch, tmp_path):
+    """Both rounds, the counts and the scores read the ids that were written: each text is cut into pieces a single time."""
+    seen = spark.sparkContext.accumulator(0)
+    cut = scoring.flattened
+    def counted(texts, path):
+        seen.add(len(texts))
+        return cut(texts, path)
+    monkeypatch.setattr(scoring, "flattened", counted)
+    docs = spark.createDataFrame([(i, f"one two three w{i}") for i in range(50)], "doc_id bigint, text string")
+    assert len(scoring.scores(docs).collect()) == 50
+    assert seen.value == 50
