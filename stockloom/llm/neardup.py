@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, discard, importable, map_arrow, written
+from .common import again, components, discard, importable, map_arrow, written
 from .words import chunks, distinct, ragged, without_empty
 
 #: Words of a shingle, and the weighted Jaccard similarity of a link.
@@ -23,6 +23,10 @@ HOPEFUL = SIMILAR - 5 * (SIMILAR * (1 - SIMILAR) / COORDINATES) ** 0.5
 WEAK = (2 * SIMILAR - 1) - 5 * (0.25 / COORDINATES) ** 0.5
 #: A group is one task's work up to so many texts and so many texts times words; beyond, ``links`` spreads it.
 TASK_TEXTS, TASK_WORK = 4000, 2 * 10**9
+#: Texts and words of a block, on average; a task compares the texts of two at a time.
+BLOCK_TEXTS, BLOCK_WORDS = 1000, 10**6
+#: Heads of a bucket in the last turn of ``links``; texts that none of them is linked to then meet their whole family.
+MOST_HEADS = 4
 #: Expected darts for a signature: all coordinates are hit with these, but for one text in some thousands, which throws on.
 DARTS = COORDINATES * (np.log(COORDINATES) + 8)
 
@@ -150,44 +154,75 @@ def banded(sigs: DataFrame) -> DataFrame:
     return map_arrow(sigs.where("total > 0").select("id", "sig"), run, "id bigint, bucket bigint")
 
 
-def agreeing(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose lengths and signatures leave a distance of twice a link's possible; hopeful: also a link."""
-    a, b = (sigs.select(F.col("id").alias(k), F.col("total").alias(f"n_{k}"), F.col("sig").alias(f"s_{k}")) for k in "ab")
+def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose lengths and signatures leave a distance of twice a link's possible; good: their texts have
+    a weighted Jaccard similarity of ``SIMILAR`` or more, counted exactly.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                s, t = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, COORDINATES) for c in ("s_a", "s_b"))
-                share = (s == t).mean(axis=1)
-                hopeful = pc.and_(batch.column("fits"), pa.array(share >= HOPEFUL))
-                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), hopeful], names=["a", "b", "hopeful"]).filter(pa.array(share >= WEAK))
+    Pairs are dealt by the blocks of their texts, and a text is sent once to each two blocks that
+    compare it, however many of their pairs it is in.
+    """
+    def run(pairs: pa.Table, rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        ids, total = rows.column("id").to_numpy(), rows.column("total").to_numpy()
+        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint32).reshape(-1, COORDINATES)
+        order = np.argsort(ids)
+        a, b = (order[np.searchsorted(ids, pairs.column(c).to_numpy(), sorter=order)] for c in "ab")
+        ratio = np.minimum(total[a], total[b]) / np.maximum(total[a], total[b])
+        share = np.zeros(len(a))
+        for k in range(0, len(a), 50_000):
+            share[k:k + 50_000] = (sig[a[k:k + 50_000]] == sig[b[k:k + 50_000]]).mean(axis=1)
+        near = (ratio >= 2 * SIMILAR - 1) & (share >= WEAK)
+        a, b, hopeful = a[near], b[near], ((ratio >= SIMILAR) & (share >= HOPEFUL))[near]
+        good = np.zeros(len(a), bool)
+        good[hopeful] = similar(rows.column("text"), a[hopeful], b[hopeful])
+        return pa.table({"a": ids[a], "b": ids[b], "good": good})
+
+    at = texts.select("id", "block")
+    a, b = (at.select(F.col("id").alias(k), F.col("block").alias(f"block_{k}")) for k in "ab")
+    placed = written(pairs.join(a, "a").join(b, "b").select("a", "b", F.least("block_a", "block_b").alias("one"), F.greatest("block_a", "block_b").alias("two")))
+    sent = again(placed).select("one", "two", F.explode(F.array("a", "b")).alias("id")).distinct().join(texts.drop("block"), "id")
+    importable(pairs.sparkSession)
+    return placed.groupBy("one", "two").cogroup(sent.groupBy("one", "two")).applyInArrow(run, "a bigint, b bigint, good boolean")
+
+
+def similar(texts: pa.ChunkedArray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs of positions in ``texts`` have a similarity of ``SIMILAR`` or more."""
+    out = np.zeros(len(a), bool)
+    if not len(a):
+        return out
+    used, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = place[:len(a)], place[len(a):]
+    if len(np.unique(b)) < len(np.unique(a)):
+        a, b = b, a
+    reaches = meeting(*shingled(texts.take(pa.array(used)).combine_chunks()))
+    order = np.argsort(a, kind="stable")
+    for mine in np.split(order, np.flatnonzero(np.diff(a[order])) + 1):
+        out[mine] = reaches(a[mine[0]], b[mine])
+    return out
 
-    ratio = F.least("n_a", "n_b") / F.greatest("n_a", "n_b")
-    both = pairs.join(a, "a").join(b, "b").where(ratio >= 2 * SIMILAR - 1).withColumn("fits", ratio >= SIMILAR)
-    return map_arrow(both.select("a", "b", "fits", "s_a", "s_b"), run, "a bigint, b bigint, hopeful boolean")
 
+def shingled(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles of several texts, as ``shingles`` gives them; a null text counts as an empty one."""
+    values, index, sizes = distinct(pc.ascii_split_whitespace(pc.fill_null(texts, "")))
+    index, sizes = without_empty(values, index, sizes)
+    return shingles(word_hashes(values)[index], sizes)
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose texts have a weighted Jaccard similarity of ``SIMILAR`` or more, counted exactly."""
-    a, b = (texts.select(F.col("id").alias(k), F.col("text").alias(f"t_{k}")) for k in "ab")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, left in chunks(batch, "t_a", 4 << 20):
-                right = pc.fill_null(rows.column("t_b"), "")
-                values, index, sizes = distinct(pc.ascii_split_whitespace(pa.concat_arrays([left, right])))
-                index, sizes = without_empty(values, index, sizes)
-                x, weight, per = shingles(word_hashes(values)[index], sizes)
-                n = len(left)
-                pair = np.repeat(np.arange(2 * n) % n, per)
-                order = np.lexsort((x, pair))
-                x, weight, pair = x[order], weight[order], pair[order]
-                both = np.flatnonzero((x[1:] == x[:-1]) & (pair[1:] == pair[:-1]))
-                common = np.bincount(pair[both], np.minimum(weight[both], weight[both + 1]), n)
-                total = np.bincount(pair, weight, n)
-                yield rows.select(["a", "b"]).filter(pa.array(common >= SIMILAR * (total - common) - 1e-9))
+def meeting(x: np.ndarray, weight: np.ndarray, per: np.ndarray) -> Callable[[int, np.ndarray], np.ndarray]:
+    """A function that tells which of several texts are similar to one; all have words."""
+    owner, starts = np.repeat(np.arange(len(per)), per), np.cumsum(per) - per
+    code = np.unique(x, return_inverse=True)[1]
+    total, own = np.bincount(owner, weight, len(per)), np.zeros(len(x), np.int64)
+
+    def reaches(u: int, others: np.ndarray) -> np.ndarray:
+        mine = slice(starts[u], starts[u] + per[u])
+        own[code[mine]] = weight[mine]
+        at = ragged(np.arange(len(x)), starts[others], per[others])
+        common = np.add.reduceat(np.minimum(weight[at], own[code[at]]), np.cumsum(per[others]) - per[others])
+        own[code[mine]] = 0
+        return common >= SIMILAR * (total[others] + total[u] - common) - 1e-9
 
-    return map_arrow(pairs.join(a, "a").join(b, "b").select("a", "b", "t_a", "t_b"), run, "a bigint, b bigint")
+    return reaches
 
 
 def both_ways(pairs: DataFrame) -> DataFrame:
@@ -198,17 +233,19 @@ def as_pairs(meets: DataFrame) -> DataFrame:
     return meets.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
 
 
-def links(held: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) enough to connect all similar texts that share a bucket of ``held(bucket, id)``.
+def links(held: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) enough to connect all similar texts that share a bucket of ``held(bucket, id)``; texts(id, family, total, sig, text, block).
 
-    The texts of a bucket are compared with its heads, never all with each
-    other.  In each turn some of the texts that no head is linked to, those
-    with the most company first, become heads, twice as many as in the turn before, and meet all texts of the
-    bucket; it ends when every text is a head or linked to one, so a large
-    family of near copies costs a few passes.  Then only two texts linked to
-    heads of different components may still be an unseen link.  Each is within
-    twice a link's distance of the other's head, so texts that come so near to
-    a head of another component meet the whole bucket as well.
+    The texts of a bucket are compared with its heads.  In each turn some of the
+    texts that no head is linked to, those with the most company first, become
+    heads, twice as many as in the turn before, and meet all texts of the
+    bucket, so a large family of near copies costs a few passes.  Texts that
+    are alike but no copies stay open for long; those left after the last turn
+    are compared with their whole families, block by block (``open_links``).
+    Then only two texts linked to heads of different components may still be
+    an unseen link.  Each is within twice a link's distance of the other's
+    head, so texts that come so near to a head of another component meet the
+    whole bucket as well.
     """
     # the text that meets the most others is nearest the middle of its family, and links the most
     crowd = held.groupBy("bucket").agg(F.count("*").alias("n"))
@@ -217,21 +254,23 @@ def links(held: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFrame:
     heads, met, known, close = 1, None, None, None
     add = lambda old, new: new if old is None else old.union(new)
     while True:
-        chosen = (open_.groupBy("bucket", F.pmod("rank", F.lit(heads)).alias("slot")).agg(F.min(F.struct("crowd", "rank", "id")).alias("h"))
-                  .select("bucket", F.col("h.id").alias("head")))
+        chosen = written(open_.groupBy("bucket", F.pmod("rank", F.lit(heads)).alias("slot")).agg(F.min(F.struct("crowd", "rank", "id")).alias("h"))
+                         .select("bucket", F.col("h.id").alias("head")))
         meets = written(held.join(chosen, "bucket").where("id <> head"))
         pairs = as_pairs(meets) if known is None else as_pairs(meets).join(known.select("a", "b"), ["a", "b"], "left_anti")
         pairs = written(pairs)
-        near = written(agreeing(pairs, sigs))
-        good = written(verified(near.where("hopeful"), texts))
-        met, known, close = add(met, meets), add(known, pairs), add(close, good)
+        near = written(compared(pairs, texts))
+        met, known, close = add(met, meets), add(known, pairs), add(close, near.where("good").select("a", "b"))
         linked = meets.join(both_ways(close).select(F.col("a").alias("id"), F.col("b").alias("head")), ["id", "head"], "left_semi")
-        done = linked.select("bucket", "id").union(meets.select("bucket", F.col("head").alias("id"))).distinct()
+        # a head is done though it met no one: its bucket may hold no other text of a large family
+        done = linked.select("bucket", "id").union(chosen.select("bucket", F.col("head").alias("id"))).distinct()
         open_ = written(open_.join(done, ["bucket", "id"], "left_anti"))
         weak = near.select("a", "b") if heads == 1 else weak.union(near.select("a", "b"))
-        if open_.isEmpty():
+        if heads == MOST_HEADS or open_.isEmpty():
             break
         heads *= 2
+    if not open_.isEmpty():
+        close = written(close.union(open_links(texts, open_.select("id").distinct())))
     if close.isEmpty():
         return close
     # texts close to a head of another component than their own
@@ -243,7 +282,43 @@ def links(held: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFrame:
     pairs = written(as_pairs(border).join(known.select("a", "b"), ["a", "b"], "left_anti"))
     if pairs.isEmpty():
         return close
-    return written(close.union(verified(agreeing(pairs, sigs).where("hopeful"), texts)))
+    return written(close.union(compared(pairs, texts).where("good").select("a", "b")))
+
+
+def open_links(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """All links (a, b) between the texts of ``ids`` and the texts of their families.
+
+    Both are dealt into blocks, and a task meets one block of either; so a text
+    is sent once for each block of the other side, and no pair is a row.
+    """
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        group = group.take(np.argsort(~group.column("is_open").to_numpy(zero_copy_only=False), kind="stable"))
+        ids, total, n = group.column("id").to_numpy(), group.column("total").to_numpy(), int(pc.sum(group.column("is_open")).as_py() or 0)
+        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint32).reshape(-1, COORDINATES)
+        reaches = meeting(*shingled(group.column("text").combine_chunks()))
+        a, b = [], []
+        for u in range(n):
+            hopeful = n + np.flatnonzero(((sig[n:] == sig[u]).mean(axis=1) >= HOPEFUL) & (ids[n:] != ids[u])
+                                         & (np.minimum(total[n:], total[u]) >= SIMILAR * np.maximum(total[n:], total[u])))
+            if len(hopeful):
+                near = hopeful[reaches(u, hopeful)]
+                a.append(np.full(len(near), ids[u]))
+                b.append(ids[near])
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    opened = ids.join(texts.select("id", "family", "total"), "id")
+    size = lambda df: df.groupBy("family").agg(F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("total") / BLOCK_WORDS)).alias("blocks"))
+    sizes = written(size(opened).withColumnRenamed("blocks", "open_blocks").join(size(texts), "family"))
+    one, two = (F.pmod(F.xxhash64("id", F.lit(k)), F.col(n)).alias(k) for k, n in (("one", "open_blocks"), ("two", "blocks")))
+    every = lambda n, k: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)).alias(k)
+    all_ = texts.drop("block").join(sizes, "family")
+    columns = ["family", "id", "total", "sig", "text"]
+    meet = (all_.join(ids, "id", "left_semi").select(*columns, F.lit(True).alias("is_open"), one, every("blocks", "two"))
+            .union(all_.select(*columns, F.lit(False).alias("is_open"), every("open_blocks", "one"), two)))
+    importable(texts.sparkSession)
+    return meet.groupBy("family", "one", "two").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
 def spanning(held: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -336,14 +411,16 @@ def classes(docs: DataFrame) -> DataFrame:
     family = components(spanning(held, signs)).select(F.col("node").alias("id"), F.col("component").alias("family"))
     family = written(family.join(sigs.select("id", "key", "total"), "id"))
     size = family.groupBy("family").agg((F.count("*") * F.sum("total")).alias("work"), F.count("*").alias("n"))
-    family = written(family.join(size, "family").withColumn("large", (F.col("n") > TASK_TEXTS) | (F.col("work") > TASK_WORK)))
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_TEXTS, F.col("work") / F.col("n") / BLOCK_WORDS))
+    family = written(family.join(size, "family").withColumn("large", (F.col("n") > TASK_TEXTS) | (F.col("work") > TASK_WORK))
+                     .withColumn("block", F.xxhash64("family", F.pmod(F.xxhash64("id"), blocks))))
     # families grow with the documents: joined by a shuffle at every size, never broadcast
-    texts = written(docs.select("text", text_key().alias("key")).join(family.select("id", "key", "family", "large").hint("merge"), "key")
-                    .groupBy("id", "family", "large").agg(F.first("text").alias("text")))
+    texts = written(docs.select("text", text_key().alias("key")).join(family.select("id", "key", "family", "large", "block").hint("merge"), "key")
+                    .groupBy("id", "family", "large", "block").agg(F.first("text").alias("text")))
     found = told_apart(texts.where("not large").select("family", "id", "text"))
-    large = texts.where("large")
-    if not large.isEmpty():
-        found = found.union(links(written(held.join(large.select("id"), "id", "left_semi").select("bucket", "id")), signs, large.select("id", "text")))
+    if not texts.where("large").isEmpty():
+        large = written(texts.where("large").select("id", "family", "block", "text").join(signs, "id"))
+        found = found.union(links(written(held.join(large.select("id"), "id", "left_semi").select("bucket", "id")), large))
     part = components(found).withColumnRenamed("node", "id")
     whole = written(sigs.select("id", "key", "least_id").join(part, "id", "left").withColumn("component", F.coalesce("component", "id")))
     # nulls sort first in a struct, so an id goes before none by the flag

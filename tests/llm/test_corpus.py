@@ -62,6 +62,33 @@ def test_near_copies_equal_brute_force(spark, documents, monkeypatch, in_one_tas
     assert neardup.without_copies(documents).count() == len(set(got.values()))
 
 
+def test_links_end_where_a_text_is_alone_in_its_bucket(spark, monkeypatch):
+    text = lambda n, last: " ".join(f"w{n}x{k}" for k in range(60)) + f" {last}"
+    docs = spark.createDataFrame([(1, text(1, "x")), (2, text(1, "y")), (3, text(2, "x"))], "doc_id bigint, text string")
+    texts = neardup.signed(docs).selectExpr("doc_id AS id", "1L AS family", "doc_id % 2 AS block", "total", "sig").join(docs.withColumnRenamed("doc_id", "id"), "id")
+    held = spark.createDataFrame([(10, 1), (10, 2), (10, 3), (11, 1), (12, 3)], "bucket bigint, id bigint")
+    rounds = []
+    monkeypatch.setattr(neardup, "compared", lambda *x, f=neardup.compared: rounds.append(1) or f(*x) if len(rounds) < 9 else pytest.fail("no end"))
+    assert [tuple(r) for r in neardup.links(held, texts).collect()] == [(1, 2)]
+
+
+def test_texts_no_head_is_linked_to_meet_their_family(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "TASK_TEXTS", 1)
+    monkeypatch.setattr(neardup, "MOST_HEADS", 1)
+    monkeypatch.setattr(neardup, "BLOCK_TEXTS", 7)
+    draw, rows = random.Random(3), []
+    for family in range(3):
+        words = [f"f{family}w{k}" for k in range(120)]
+        for _ in range(25):  # each text is some words away from the one before, so few are copies of the first
+            words = [w if draw.random() > 0.015 else f"x{draw.random()}" for w in words]
+            rows.append((len(rows), " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    met = []
+    monkeypatch.setattr(neardup, "open_links", lambda *x, f=neardup.open_links: met.append(1) or f(*x))
+    assert {r.doc_id: r.class_id for r in neardup.classes(docs).collect()} == brute_classes(docs.collect())
+    assert met
+
+
 def test_near_copies_of_odd_rows(odd, empty):
     got = neardup.classes(odd.drop("kept")).collect()
     assert len(got) == 8
