@@ -44,3 +44,29 @@ def test_stored_tables_are_made_in_slices(spark, data, store, monkeypatch):
     assert values(layer.read("serving.exec_dashboard")) == want
     assert layer.read("model.dispensing").count() == M.dispensing(whole, snap).count()
     assert layer.refresh(("serving.exec_dashboard",)) == []
+
+
+def test_a_large_load_is_written_in_portions_and_can_be_repeated(spark, store, tmp_path, monkeypatch):
+    day = lambda k: dt.date(2000, 1 + k % 6, 3)
+    kind = "k bigint, d date, v bigint"
+    saved = lambda name, rows: spark.createDataFrame(rows, kind).coalesce(1).write.parquet(f"{tmp_path}/{name}") or spark.read.parquet(f"{tmp_path}/{name}")
+    first = saved("first", [(k, day(k), 1) for k in range(60)] + [(60, None, 1)])
+    moved = saved("moved", [(k, day(k + 1), 2) for k in range(0, 70, 3)])
+    monkeypatch.setattr(slices, "SLICE_BYTES", sum(f.stat().st_size for f in (tmp_path / "first").glob("*.parquet")) // 3 + 1)
+    assert slices.number(first) == 3
+    written = []
+    monkeypatch.setattr(store, "_overwrite_parts", lambda *x, f=store._overwrite_parts: written.append(1) or f(*x))
+    assert store.replace_keys(first, "core.t", ["k"], "d") == 61 and len(written) == 3
+    writes, counts = len(written), {}
+    broken = lambda *x, f=store._overwrite_parts: f(*x) if len(written) == writes else pytest.fail("broken on purpose")
+    with monkeypatch.context() as m:
+        m.setattr(store, "_overwrite_parts", broken)
+        with pytest.raises(pytest.fail.Exception):
+            store.replace_keys(moved, "core.t", ["k"], "d")
+    store.replace_keys(moved, "core.t", ["k"], "d", counts=counts)
+    assert len(written) >= writes + 3
+    want = [(k, day(k), 1) for k in range(60) if k % 3] + [(k, day(k + 1), 2) for k in range(0, 70, 3) if k != 60] + [(60, day(61), 2)]
+    assert values(store.read("core.t"), "k", "d", "v") == sorted(want, key=str)
+    store.replace_keys(moved, "core.t", ["k"], "d", counts=counts)
+    assert counts["deleted"] == 24 and values(store.read("core.t"), "k", "d", "v") == sorted(want, key=str)
+    assert not store.exists("work")
